@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions import json as J
 from larkspur.functions import text as TX
 from larkspur.functions import time as TM
 from larkspur.operators import logs as L
@@ -210,3 +211,148 @@ def csv_parse(spark, d):
     return s.select("seq", TX.csv_field("value", 0).alias("name"),
                     TX.csv_field("value", 1).cast("bigint").alias("score"),
                     TX.csv_field("value", 2).cast("bigint").alias("epoch_ms"))
+
+
+# ------------------------------------------------------- CDC and routing
+from larkspur.operators import cdc as CDC  # noqa: E402
+from larkspur.operators import routing as RT  # noqa: E402
+
+FROM_TS_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
+PRUNE_LISTS = ("o_orderkey,o_custkey", "o_orderkey, o_custkey", "o_totalprice,o_orderstatus,missing")
+
+
+def _ord(seq, shipdate=None, line=None, part=None, supp=None, price=None):
+    def n(c, t):
+        return F.col(c) if c else F.lit(None).cast(t)
+    return F.struct(F.col(seq).alias("seq"), n(shipdate, "timestamp_ntz").alias("l_shipdate"),
+                    n(line, "int").alias("l_linenumber"), n(part, "bigint").alias("l_partkey"),
+                    n(supp, "bigint").alias("l_suppkey"), n(price, "double").alias("l_extendedprice"))
+
+
+def _change_feed(spark, d):
+    """Raw change events of orders + lineitem with a total arrival order ``ord``."""
+    o = R.order_change_events(table(spark, d, "orders")).withColumn("ord", _ord("seq"))
+    li = R.lineitem_change_events(table(spark, d, "lineitem"))
+    li = li.withColumn("ord", _ord("seq", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
+                                   "l_extendedprice")).select("seq", "topic", "value", "ord")
+    return o.unionByName(li)
+
+
+def _normalized(spark, d):
+    return CDC.normalize_change_events(_change_feed(spark, d))
+
+
+def _data_json(c="data"):
+    return F.to_json(F.to_variant_object(F.col(c)))
+
+
+def _kept(c="data"):
+    return F.array_join(F.array_sort(F.map_keys(F.col(c))), ",")
+
+
+def _versions(spark, d):
+    return RT.config_versions(R.config_feed(table(spark, d, "orders")))
+
+
+@query
+def cdc_normalize(spark, d):
+    n = _normalized(spark, d)
+    return n.select("table", "seq", "operation", "dbname", F.size("data").cast("bigint").alias("n_keys"),
+                    _data_json().alias("data_json"))
+
+
+@query
+def cdc_topic_split(spark, d):
+    f = _change_feed(spark, d)
+    db, tb = TX.topic_db_table("topic")
+    return f.select("seq", db.alias("db"), tb.alias("tbl"))
+
+
+@query
+def filter_has_data(spark, d):
+    env = CDC.filter_has_data(R.cdc_envelopes(table(spark, d, "orders")))
+    v = F.try_parse_json("value")
+    return env.select("seq", F.try_variant_get(v, "$.operation", "string").alias("operation"),
+                      F.try_variant_get(v, "$.data.o_orderstatus", "string").alias("status"))
+
+
+@query
+def src_from_timestamp(spark, d):
+    e = CDC.from_timestamp(_events(spark, d), "ts", FROM_TS_MS)
+    return e.select("event_id", TM.ntz_to_ms(F.col("ts")).alias("ts_ms"))
+
+
+@query
+def decode_config(spark, d):
+    return RT.decode_config_feed(R.config_feed(table(spark, d, "orders")))
+
+
+@query
+def config_latest(spark, d):
+    return RT.latest_config(_versions(spark, d))
+
+
+@query
+def config_ddl_text(spark, d):
+    return RT.ddl_text(_versions(spark, d)).select("seq", "sink_table", "ddl")
+
+
+_ROUTE_COLS = ("table", "seq", "operation", "sink_type", "sink_table")
+
+
+def _routed_latest(spark, d):
+    return RT.route_latest(_normalized(spark, d), RT.latest_config(_versions(spark, d)))
+
+
+def _kafka_hbase(routed):
+    k, h = RT.split_by_sink(routed)
+    return k.unionByName(h)
+
+
+@query
+def route_latest(spark, d):
+    r = _kafka_hbase(_routed_latest(spark, d))
+    return r.select(*_ROUTE_COLS, _kept().alias("kept_keys"), _data_json().alias("data_json"))
+
+
+@query
+def route_asof(spark, d):
+    r = _kafka_hbase(RT.route_asof(_normalized(spark, d), _versions(spark, d)))
+    return r.select(*_ROUTE_COLS, "cfg_seq", _kept().alias("kept_keys"), _data_json().alias("data_json"))
+
+
+@query
+def route_sink_split(spark, d):
+    k, h = RT.split_by_sink(_routed_latest(spark, d))
+    both = k.withColumn("stream", F.lit("main")).unionByName(h.withColumn("stream", F.lit("side")))
+    return both.groupBy("stream", "sink_type", "sink_table").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def route_topic_value(spark, d):
+    k, _ = RT.split_by_sink(_routed_latest(spark, d))
+    return RT.topic_value(k)
+
+
+@query
+def dim_upsert_latest(spark, d):
+    _, h = RT.split_by_sink(_routed_latest(spark, d))
+    dims = RT.dim_upsert_latest(h, "ord")
+    return RT.dim_columns(dims, R.LINEITEM_DIM_COLUMNS.split(","))
+
+
+@query
+def map_prune_columns(spark, d):
+    n = _normalized(spark, d).where(F.col("table") == "orders")
+    key = F.coalesce(F.try_variant_get(F.element_at("data", F.lit("o_orderkey")), "$", "bigint"),
+                     (F.col("seq") / 10).cast("bigint"))
+    lists = F.when(key % 3 == 0, F.lit(PRUNE_LISTS[0])).when(key % 3 == 1, F.lit(PRUNE_LISTS[1])) \
+        .otherwise(F.lit(PRUNE_LISTS[2]))
+    p = n.select("seq", J.prune_columns(F.col("data"), lists).alias("pruned"))
+    return p.select("seq", _kept("pruned").alias("kept_keys"), F.size("pruned").cast("bigint").alias("n_keys"))
+
+
+@query
+def json_object_keys(spark, d):
+    lines = R.app_log_lines(_events(spark, d))
+    return lines.select("rec_id", F.array_join(F.json_object_keys("value"), ",").alias("keys"))

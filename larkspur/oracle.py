@@ -147,3 +147,168 @@ FROM ev"""),
     "csv_parse": _with("""
 SELECT event_id AS seq, event_type AS name, k AS score, ts_ms AS epoch_ms FROM ev"""),
 }
+
+
+# ------------------------------------------------------------ CDC / routing
+def _sql_lit(v):
+    return "NULL" if v is None else ("'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v))
+
+
+def _snapshot_values() -> str:
+    from larkspur.sources.records import CONFIG_SNAPSHOT
+    return ",\n    ".join("(" + ", ".join(_sql_lit(v) for v in row) + ")" for row in CONFIG_SNAPSHOT)
+
+
+_CDC = """
+cdc AS (
+  SELECT 'orders' AS "table", o_orderkey * 10 AS seq,
+         CASE o_orderstatus WHEN 'F' THEN 'create' WHEN 'O' THEN 'update' ELSE 'delete' END AS operation,
+         'shop' AS dbname,
+         CASE WHEN o_orderstatus = 'P' THEN [] ELSE [
+           {'k': 'o_custkey', 'v': CAST(o_custkey AS VARCHAR), 's': CAST(o_custkey AS VARCHAR)},
+           {'k': 'o_orderdate', 'v': '"' || strftime(o_orderdate, '%Y-%m-%d') || '"',
+            's': strftime(o_orderdate, '%Y-%m-%d')},
+           {'k': 'o_orderkey', 'v': CAST(o_orderkey AS VARCHAR), 's': CAST(o_orderkey AS VARCHAR)},
+           {'k': 'o_orderpriority', 'v': '"' || o_orderpriority || '"', 's': o_orderpriority},
+           {'k': 'o_orderstatus', 'v': '"' || o_orderstatus || '"', 's': o_orderstatus},
+           {'k': 'o_totalprice', 'v': '"' || CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR) || '"',
+            's': CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR)}] END AS kv,
+         o_orderkey AS okey,
+         CAST(NULL AS TIMESTAMP) AS l_shipdate, CAST(NULL AS INTEGER) AS l_linenumber,
+         CAST(NULL AS BIGINT) AS l_partkey, CAST(NULL AS BIGINT) AS l_suppkey,
+         CAST(NULL AS DOUBLE) AS l_extendedprice
+  FROM orders
+  UNION ALL
+  SELECT 'lineitem', l_orderkey * 10 + 1, CASE WHEN l_linenumber = 1 THEN 'create' ELSE 'update' END, 'shop',
+         [{'k': 'l_extendedprice', 'v': '"' || CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS VARCHAR) || '"',
+           's': CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS VARCHAR)},
+          {'k': 'l_linenumber', 'v': CAST(l_linenumber AS VARCHAR), 's': CAST(l_linenumber AS VARCHAR)},
+          {'k': 'l_orderkey', 'v': CAST(l_orderkey AS VARCHAR), 's': CAST(l_orderkey AS VARCHAR)},
+          {'k': 'l_partkey', 'v': CAST(l_partkey AS VARCHAR), 's': CAST(l_partkey AS VARCHAR)},
+          {'k': 'l_quantity', 'v': '"' || CAST(CAST(l_quantity AS DECIMAL(16,2)) AS VARCHAR) || '"',
+           's': CAST(CAST(l_quantity AS DECIMAL(16,2)) AS VARCHAR)},
+          {'k': 'l_returnflag', 'v': '"' || l_returnflag || '"', 's': l_returnflag},
+          {'k': 'l_shipdate', 'v': '"' || strftime(l_shipdate, '%Y-%m-%d') || '"',
+           's': strftime(l_shipdate, '%Y-%m-%d')},
+          {'k': 'l_suppkey', 'v': CAST(l_suppkey AS VARCHAR), 's': CAST(l_suppkey AS VARCHAR)}],
+         l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+  FROM lineitem),
+cfg AS (
+  SELECT seq, type, source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend,
+         true AS accepted
+  FROM (VALUES
+    __SNAPSHOT__
+  ) t(seq, type, source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend)
+  UNION ALL
+  SELECT o_orderkey * 10 + 5,
+         CASE WHEN o_orderkey % 500 = 400 THEN 'delete' ELSE 'update' END,
+         CASE WHEN o_orderkey % 500 = 400 THEN NULL ELSE 'orders' END,
+         CASE WHEN o_orderkey % 500 = 250 THEN 'update' WHEN o_orderkey % 500 = 400 THEN NULL
+              WHEN o_orderkey % 2000 = 1000 THEN 'create' WHEN o_orderkey % 3000 = 1500 THEN 'delete'
+              ELSE 'update' END,
+         CASE WHEN o_orderkey % 500 = 400 THEN NULL
+              WHEN o_orderkey % 500 <> 250 AND o_orderkey % 2000 <> 1000 AND o_orderkey % 3000 = 1500
+               AND (o_orderkey // 3000) % 2 = 1 THEN 'clickhouse'
+              ELSE 'kafka' END,
+         CASE WHEN o_orderkey % 500 = 250 THEN 'dwd_order_update' WHEN o_orderkey % 500 = 400 THEN NULL
+              WHEN o_orderkey % 2000 = 1000 THEN 'dwd_order_create'
+              WHEN o_orderkey % 3000 = 1500 THEN 'dwd_order_delete' ELSE 'dwd_order_bad' END,
+         CASE WHEN o_orderkey % 500 = 250 THEN
+                CASE (o_orderkey // 500) % 3 WHEN 0 THEN 'o_orderkey,o_orderstatus'
+                     WHEN 1 THEN 'o_orderkey,o_orderstatus,o_orderpriority' ELSE 'o_orderkey, o_orderstatus' END
+              WHEN o_orderkey % 500 = 400 THEN NULL
+              WHEN o_orderkey % 2000 = 1000 THEN 'o_orderkey,o_custkey'
+              WHEN o_orderkey % 3000 = 1500 THEN 'o_orderkey,o_orderstatus' ELSE 'o_orderkey' END,
+         CASE WHEN o_orderkey % 500 = 400 THEN NULL ELSE 'o_orderkey' END,
+         CAST(NULL AS VARCHAR),
+         NOT (o_orderkey % 500 = 400 OR (o_orderkey % 5000 = 4999 AND o_orderkey % 500 NOT IN (250, 400)
+              AND o_orderkey % 2000 <> 1000 AND o_orderkey % 3000 <> 1500))
+  FROM orders
+  WHERE o_orderkey % 500 IN (250, 400) OR o_orderkey % 2000 = 1000 OR o_orderkey % 3000 = 1500
+     OR o_orderkey % 5000 = 4999),
+ver AS (SELECT * FROM cfg WHERE accepted),
+lat AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_table, operate_type ORDER BY seq DESC) AS rn
+                       FROM ver) WHERE rn = 1),
+rl AS (
+  SELECT c.*, l.sink_type, l.sink_table, l.sink_pk, l.seq AS cfg_seq,
+         list_filter(c.kv, lambda p: list_contains(string_split(l.sink_columns, ','), p.k)) AS pkv
+  FROM cdc c JOIN lat l ON c."table" = l.source_table AND c.operation = l.operate_type),
+ra AS (
+  SELECT c.*, v.sink_type, v.sink_table, v.sink_pk, v.seq AS cfg_seq,
+         list_filter(c.kv, lambda p: list_contains(string_split(v.sink_columns, ','), p.k)) AS pkv
+  FROM cdc c ASOF JOIN ver v
+    ON c."table" = v.source_table AND c.operation = v.operate_type AND c.seq > v.seq)
+""".replace("__SNAPSHOT__", _snapshot_values())
+
+
+def _json_of(kv: str) -> str:
+    return f"""'{{' || array_to_string(list_transform({kv}, lambda p: '"' || p.k || '":' || p.v), ',') || '}}'"""
+
+
+def _keys_of(kv: str) -> str:
+    return f"array_to_string(list_transform({kv}, lambda p: p.k), ',')"
+
+
+def _dim_col(c: str) -> str:
+    return f"list_filter(pkv, lambda p: p.k = '{c}')[1].s AS {c}"
+
+
+SQL.update({
+    "cdc_normalize": _with(_CDC + f"""
+SELECT "table", seq, operation, dbname, CAST(len(kv) AS BIGINT) AS n_keys, {_json_of('kv')} AS data_json FROM cdc"""),
+    "cdc_topic_split": _with(_CDC + """
+SELECT seq, 'shop' AS db, "table" AS tbl FROM cdc"""),
+    "filter_has_data": _with("""
+SELECT o_orderkey AS seq,
+       CASE o_orderstatus WHEN 'F' THEN 'create' WHEN 'O' THEN 'update' ELSE 'delete' END AS operation,
+       o_orderstatus AS status
+FROM orders WHERE o_orderkey % 50 <> 0"""),
+    "src_from_timestamp": _with("""
+SELECT event_id, ts_ms FROM ev WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""".replace(
+        "FROM ev WHERE ts", "FROM (SELECT ev.*, e.ts FROM ev JOIN events e USING (event_id)) WHERE ts")),
+    "decode_config": _with(_CDC + """
+SELECT seq, type, source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend, accepted
+FROM cfg"""),
+    "config_latest": _with(_CDC + """
+SELECT source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend, seq FROM lat"""),
+    "config_ddl_text": _with(_CDC + """
+SELECT seq, sink_table,
+       'create table if not exists DIM.' || sink_table || '(' ||
+       array_to_string(list_transform(string_split(sink_columns, ','),
+         lambda f: f || CASE WHEN f = coalesce(sink_pk, 'id') THEN ' varchar primary key' ELSE ' varchar' END), ',')
+       || ')' || coalesce(sink_extend, '') AS ddl
+FROM ver WHERE sink_type = 'hbase'"""),
+    "route_latest": _with(_CDC + f"""
+SELECT "table", seq, operation, sink_type, sink_table, {_keys_of('pkv')} AS kept_keys, {_json_of('pkv')} AS data_json
+FROM rl WHERE sink_type IN ('kafka', 'hbase')"""),
+    "route_asof": _with(_CDC + f"""
+SELECT "table", seq, operation, sink_type, sink_table, cfg_seq, {_keys_of('pkv')} AS kept_keys,
+       {_json_of('pkv')} AS data_json
+FROM ra WHERE sink_type IN ('kafka', 'hbase')"""),
+    "route_sink_split": _with(_CDC + """
+SELECT CASE WHEN sink_type = 'kafka' THEN 'main' ELSE 'side' END AS stream, sink_type, sink_table, count(*) AS n
+FROM rl WHERE sink_type IN ('kafka', 'hbase') GROUP BY ALL"""),
+    "route_topic_value": _with(_CDC + f"""
+SELECT sink_table AS topic, {_json_of('pkv')} AS value FROM rl WHERE sink_type = 'kafka'"""),
+    "dim_upsert_latest": _with(_CDC + """,
+d AS (
+  SELECT *, list_filter(pkv, lambda p: p.k = coalesce(sink_pk, 'id'))[1].s AS pk,
+         row_number() OVER (PARTITION BY sink_table, list_filter(pkv, lambda p: p.k = coalesce(sink_pk, 'id'))[1].s
+                            ORDER BY seq DESC, l_shipdate DESC, l_linenumber DESC, l_partkey DESC,
+                                     l_suppkey DESC, l_extendedprice DESC) AS rn
+  FROM rl WHERE sink_type = 'hbase' AND len(pkv) > 0)
+SELECT sink_table, pk, """ + ", ".join(_dim_col(c) for c in
+                                     "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_shipdate".split(","))
+    + " FROM d WHERE rn = 1"),
+    "map_prune_columns": _with(_CDC + """,
+p AS (SELECT seq, list_filter(kv, lambda p: list_contains(string_split(
+        CASE okey % 3 WHEN 0 THEN 'o_orderkey,o_custkey' WHEN 1 THEN 'o_orderkey, o_custkey'
+             ELSE 'o_totalprice,o_orderstatus,missing' END, ','), p.k)) AS pkv
+      FROM cdc WHERE "table" = 'orders')
+SELECT seq, array_to_string(list_transform(pkv, lambda p: p.k), ',') AS kept_keys, CAST(len(pkv) AS BIGINT) AS n_keys
+FROM p"""),
+    "json_object_keys": _with("""
+SELECT rec_id, 'common,' || CASE WHEN is_start THEN 'start' ELSE 'page' END
+       || CASE WHEN k % 4 > 0 THEN ',displays' ELSE '' END || ',ts' AS keys
+FROM lg"""),
+})

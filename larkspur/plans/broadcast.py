@@ -1,0 +1,18 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when ``df`` has at most ``max_rows`` rows.
+
+    The check is a short-circuiting ``limit(max_rows + 1).count()`` on the
+    (small) side; beyond the bound the plain frame is returned and Spark /
+    AQE pick a shuffled join from runtime sizes."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

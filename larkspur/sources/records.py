@@ -165,3 +165,87 @@ def cdc_envelopes(orders: DataFrame) -> DataFrame:
     value = F.when(F.col("o_orderkey") % NO_DATA_EVERY == 0, F.concat(F.lit("{"), tail)) \
         .otherwise(F.concat(F.lit('{"data":'), data, F.lit(","), tail))
     return orders.select(F.col("o_orderkey").alias("seq"), value.alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# Routing-config change feed (``table_process`` rows).
+# Fixed initial snapshot: (seq, type, source_table, operate_type, sink_type,
+# sink_table, sink_columns, sink_pk, sink_extend).
+# ---------------------------------------------------------------------------
+LINEITEM_DIM_COLUMNS = "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_shipdate"
+CONFIG_SNAPSHOT = [
+    (5, "insert", "orders", "create", "kafka", "dwd_order_create",
+     "o_orderkey,o_custkey,o_totalprice,o_orderdate", "o_orderkey", None),
+    (15, "insert", "orders", "update", "kafka", "dwd_order_update",
+     "o_orderkey,o_orderstatus", "o_orderkey", None),
+    (25, "insert", "orders", "delete", "clickhouse", "ck_order_delete", "o_orderkey", "o_orderkey", None),
+    (35, "insert", "lineitem", "create", "hbase", "dim_lineitem", LINEITEM_DIM_COLUMNS, "l_orderkey",
+     " SALT_BUCKETS = 4"),
+    (45, "insert", "lineitem", "update", "hbase", "dim_lineitem", LINEITEM_DIM_COLUMNS, "l_orderkey",
+     " SALT_BUCKETS = 4"),
+    (55, "insert", "customer", "create", "hbase", "dim_customer", "id,name,nation", None, None),
+]
+# Rules of the config updates derived from orders (o_orderkey = key):
+#   key % 500 = 250  -> update of (orders, update): columns by (key / 500) % 3
+#   key % 500 = 400  -> delete envelope with empty data (ignored)
+#   key % 2000 = 1000 -> update of (orders, create) to "o_orderkey,o_custkey"
+#   key % 3000 = 1500 -> (orders, delete) alternating kafka / clickhouse
+#   key % 5000 = 4999 -> record with an unknown field (rejected by strict decode)
+CONFIG_UPDATE_COLUMNS = ("o_orderkey,o_orderstatus", "o_orderkey,o_orderstatus,o_orderpriority",
+                         "o_orderkey, o_orderstatus")
+CONFIG_DB = "shop_config"
+
+
+def _cfg_struct(st, ot, sk, stbl, cols, pk, ext):
+    return F.struct(st.alias("source_table"), ot.alias("operate_type"), sk.alias("sink_type"),
+                    stbl.alias("sink_table"), cols.alias("sink_columns"), pk.alias("sink_pk"),
+                    ext.alias("sink_extend"))
+
+
+def config_feed(orders: DataFrame) -> DataFrame:
+    """Config change envelopes ``{data, type, database, table}`` as JSON
+    text with arrival ``seq``: the fixed snapshot plus updates derived
+    from ``orders`` (see the rules above)."""
+    spark = orders.sparkSession
+    snap = spark.createDataFrame(
+        CONFIG_SNAPSHOT,
+        "seq long, type string, source_table string, operate_type string, sink_type string, "
+        "sink_table string, sink_columns string, sink_pk string, sink_extend string")
+    snap = snap.select("seq", "type", _cfg_struct(*[F.col(c) for c in (
+        "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk",
+        "sink_extend")]).alias("cfg"), F.lit(None).cast("string").alias("extra"))
+    key = F.col("o_orderkey")
+    lit = F.lit
+    cols = (F.when((key / 500).cast("long") % 3 == 0, lit(CONFIG_UPDATE_COLUMNS[0]))
+            .when((key / 500).cast("long") % 3 == 1, lit(CONFIG_UPDATE_COLUMNS[1]))
+            .otherwise(lit(CONFIG_UPDATE_COLUMNS[2])))
+    null = lit(None).cast("string")
+    upd = _cfg_struct(lit("orders"), lit("update"), lit("kafka"), lit("dwd_order_update"), cols,
+                      lit("o_orderkey"), null)
+    crt = _cfg_struct(lit("orders"), lit("create"), lit("kafka"), lit("dwd_order_create"),
+                      lit("o_orderkey,o_custkey"), lit("o_orderkey"), null)
+    dlt = _cfg_struct(lit("orders"), lit("delete"),
+                      F.when((key / 3000).cast("long") % 2 == 0, lit("kafka")).otherwise(lit("clickhouse")),
+                      lit("dwd_order_delete"), lit("o_orderkey,o_orderstatus"), lit("o_orderkey"), null)
+    bad = _cfg_struct(lit("orders"), lit("update"), lit("kafka"), lit("dwd_order_bad"),
+                      lit("o_orderkey"), lit("o_orderkey"), null)
+    derived = (orders
+               .where((key % 500 == 250) | (key % 500 == 400) | (key % 2000 == 1000)
+                      | (key % 3000 == 1500) | (key % 5000 == 4999))
+               .select(
+                   (key * 10 + 5).alias("seq"),
+                   F.when(key % 500 == 400, lit("delete")).otherwise(lit("update")).alias("type"),
+                   F.when(key % 500 == 250, upd).when(key % 500 == 400, lit(None))
+                    .when(key % 2000 == 1000, crt).when(key % 3000 == 1500, dlt)
+                    .otherwise(bad).alias("cfg"),
+                   F.when((key % 5000 == 4999) & (key % 500 != 250) & (key % 500 != 400)
+                          & (key % 2000 != 1000) & (key % 3000 != 1500), lit("unexpected"))
+                    .alias("extra")))
+    feed = snap.unionByName(derived)
+    data = F.when(F.col("cfg").isNull(), lit("{}")).otherwise(
+        F.when(F.col("extra").isNull(), F.to_json(F.col("cfg"), {"ignoreNullFields": "false"}))
+         .otherwise(F.to_json(F.struct(F.col("cfg.*"), F.col("extra").alias("comment")),
+                              {"ignoreNullFields": "false"})))
+    value = F.concat(lit('{"data":'), data, lit(',"type":"'), F.col("type"),
+                     lit(f'","database":"{CONFIG_DB}","table":"table_process"}}'))
+    return feed.select("seq", value.alias("value"))
