@@ -356,3 +356,69 @@ def map_prune_columns(spark, d):
 def json_object_keys(spark, d):
     lines = R.app_log_lines(_events(spark, d))
     return lines.select("rec_id", F.array_join(F.json_object_keys("value"), ",").alias("keys"))
+
+
+# ------------------------------------------------------- windows and lateness
+from larkspur.operators import windows as W  # noqa: E402
+
+DAY_MS, HOUR_MS = 86_400_000, 3_600_000
+WINDOW_SIZE, SLIDE = "1 day", "6 hours"          # reference: 20 s, 20 s / 5 s
+DELAY_MS, LATENESS_MS = HOUR_MS, 6 * HOUR_MS     # reference: 10 s, 1 min
+
+
+def _scores(spark, d):
+    return W.parse_scores(R.score_lines(_events(spark, d)))
+
+
+@query
+def window_tumbling_sum(spark, d):
+    return W.window_sum(_scores(spark, d), WINDOW_SIZE)
+
+
+@query
+def window_sliding_sum(spark, d):
+    return W.window_sum(_scores(spark, d), WINDOW_SIZE, SLIDE)
+
+
+@query
+def window_ingest_tumbling(spark, d):
+    s = _scores(spark, d).withColumn("ingest_ts", TM.ms_to_ts(F.col("arrival_ms")))
+    return W.window_sum(s, WINDOW_SIZE, ts="ingest_ts")
+
+
+@query
+def window_sum_last(spark, d):
+    return W.window_sum_last(_scores(spark, d), WINDOW_SIZE)
+
+
+@query
+def window_bounds_text(spark, d):
+    t = W.bounds_text(W.window_sum_last(_scores(spark, d), WINDOW_SIZE))
+    return t.select("name", "window_start_ms", "text")
+
+
+def _classified(spark, d):
+    return W.classify_lateness(_scores(spark, d), DAY_MS, DELAY_MS, LATENESS_MS)
+
+
+@query
+def late_classify(spark, d):
+    return _classified(spark, d).select("seq", "name", "window_start_ms", "wm_before", "class")
+
+
+@query
+def window_refire(spark, d):
+    return W.refire_results(_classified(spark, d))
+
+
+@query
+def order_time_parts(spark, d):
+    o = table(spark, d, "orders")
+    parts = TM.order_time_parts(F.col("o_orderdate"))
+    return o.select("o_orderkey", *[c.alias(n) for n, c in parts.items()])
+
+
+@query
+def cdc_envelope_json(spark, d):
+    n = CDC.envelope_json(_normalized(spark, d))
+    return n.select("table", "seq", "envelope")

@@ -312,3 +312,69 @@ SELECT rec_id, 'common,' || CASE WHEN is_start THEN 'start' ELSE 'page' END
        || CASE WHEN k % 4 > 0 THEN ',displays' ELSE '' END || ',ts' AS keys
 FROM lg"""),
 })
+
+
+# ------------------------------------------------------------------ windows
+_SC = """
+sc AS (SELECT event_id AS seq, event_type AS name, k AS score, ts_ms,
+              ts_ms + ((event_id * 7919) % 97) * 600000 AS arrival_ms,
+              (ts_ms // 86400000) * 86400000 AS wstart FROM ev),
+cl AS (
+  SELECT *, CASE WHEN wm_before IS NULL OR wstart + 86400000 - 1 > wm_before THEN 'on_time'
+                 WHEN wstart + 86400000 - 1 + 21600000 <= wm_before THEN 'late' ELSE 'refire' END AS class
+  FROM (SELECT *, max(ts_ms) OVER (ORDER BY arrival_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                  - 3600000 - 1 AS wm_before FROM sc)),
+ot AS (SELECT name, wstart, CAST(sum(score) AS BIGINT) AS s, count(*) AS n FROM cl WHERE class = 'on_time'
+       GROUP BY name, wstart)
+"""
+
+
+def _fmt12(ms: str) -> str:
+    return f"strftime(epoch_ms({ms}), '%Y-%m-%d %I:%M:%S')"
+
+
+_SUM_LAST = """,
+sl AS (SELECT name, wstart AS window_start_ms, wstart + 86400000 AS window_end_ms,
+              CAST(sum(score) AS BIGINT) AS score_sum, arg_max(ts_ms, (arrival_ms, seq)) AS last_ts
+       FROM sc GROUP BY name, wstart)
+"""
+
+SQL.update({
+    "window_tumbling_sum": _with(_SC + """
+SELECT name, wstart AS window_start_ms, wstart + 86400000 AS window_end_ms,
+       CAST(sum(score) AS BIGINT) AS score_sum, count(*) AS n FROM sc GROUP BY name, wstart"""),
+    "window_sliding_sum": _with(_SC + """
+SELECT name, s AS window_start_ms, s + 86400000 AS window_end_ms, CAST(sum(score) AS BIGINT) AS score_sum,
+       count(*) AS n
+FROM (SELECT name, score, (ts_ms // 21600000 - unnest(range(0, 4))) * 21600000 AS s FROM sc)
+GROUP BY name, s"""),
+    "window_ingest_tumbling": _with(_SC + """
+SELECT name, (arrival_ms // 86400000) * 86400000 AS window_start_ms,
+       (arrival_ms // 86400000) * 86400000 + 86400000 AS window_end_ms,
+       CAST(sum(score) AS BIGINT) AS score_sum, count(*) AS n FROM sc GROUP BY ALL"""),
+    "window_sum_last": _with(_SC + _SUM_LAST + f"""
+SELECT *, {_fmt12('last_ts')} AS last_time FROM sl"""),
+    "window_bounds_text": _with(_SC + _SUM_LAST + f"""
+SELECT name, window_start_ms, {_fmt12('window_start_ms')} || '-' || {_fmt12('window_end_ms')} || ',' || name
+       || ',' || CAST(score_sum AS VARCHAR) || ',' || {_fmt12('last_ts')} AS text FROM sl"""),
+    "late_classify": _with(_SC + """
+SELECT seq, name, wstart AS window_start_ms, wm_before, class FROM cl"""),
+    "window_refire": _with(_SC + """
+SELECT name, wstart AS window_start_ms, CAST(0 AS BIGINT) AS fire_no, s AS score_sum, n AS n_rows FROM ot
+UNION ALL
+SELECT r.name, r.wstart, row_number() OVER w AS fire_no,
+       CAST(coalesce(o.s, 0) + sum(r.score) OVER w AS BIGINT), coalesce(o.n, 0) + count(*) OVER w
+FROM cl r LEFT JOIN ot o ON r.name = o.name AND r.wstart = o.wstart
+WHERE r.class = 'refire'
+WINDOW w AS (PARTITION BY r.name, r.wstart ORDER BY r.arrival_ms, r.seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
+})
+
+SQL.update({
+    "order_time_parts": _with("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour,
+       epoch_us(o_orderdate) // 1000 AS create_ts FROM orders"""),
+    "cdc_envelope_json": _with(_CDC + f"""
+SELECT "table", seq, '{{"data":' || {_json_of('kv')} || ',"operation":"' || operation || '","dbname":"' || dbname
+       || '","table":"' || "table" || '"}}' AS envelope FROM cdc"""),
+})
