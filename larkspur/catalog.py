@@ -49,8 +49,8 @@ def _clean(spark, d):
 
 
 def _pages(spark, d):
-    """dwd_page_log stand-in: clean page records."""
-    return L.page_logs(_clean(spark, d))
+    """dwd_page_log: the typed page-log layer read by the DWM operators."""
+    return R.page_log_typed(_events(spark, d))
 
 
 def _logins(spark, d):
@@ -105,7 +105,7 @@ def page_log(spark, d):
 
 @query
 def displays_explode(spark, d):
-    return L.display_logs(_pages(spark, d))
+    return L.display_logs(L.page_logs(_clean(spark, d)))
 
 
 @query
@@ -305,8 +305,9 @@ def _routed_latest(spark, d):
 
 
 def _kafka_hbase(routed):
-    k, h = RT.split_by_sink(routed)
-    return k.unionByName(h)
+    """Both sink outputs in one pass (a union of the two splits would
+    evaluate the routing plan twice)."""
+    return routed.where(F.col("sink_type").isin(RT.SINK_KAFKA, RT.SINK_HBASE))
 
 
 @query
@@ -323,8 +324,7 @@ def route_asof(spark, d):
 
 @query
 def route_sink_split(spark, d):
-    k, h = RT.split_by_sink(_routed_latest(spark, d))
-    both = k.withColumn("stream", F.lit("main")).unionByName(h.withColumn("stream", F.lit("side")))
+    both = RT.tag_by_sink(_routed_latest(spark, d))
     return both.groupBy("stream", "sink_type", "sink_table").agg(F.count(F.lit(1)).alias("n"))
 
 

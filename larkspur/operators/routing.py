@@ -69,24 +69,62 @@ def route_latest(data: DataFrame, latest: DataFrame) -> DataFrame:
     return _apply(j)
 
 
+def config_intervals(versions: DataFrame, seq: str = "seq", max_rows: int | None = None) -> DataFrame:
+    """Validity interval of every config version: ``(valid_from, valid_to)``
+    in arrival sequence; ``valid_to`` is NULL for the last version of a key.
+    Runs on the segmented plan, so one busy key does not land in one task."""
+    keys = ["source_table", "operate_type"]
+    x = S.assign_segments(versions, keys, seq, max_rows)
+    x = S.with_neighbors(x, keys, [seq], [seq], n_next=1)
+    return (S.drop_segments(x)
+            .withColumn("valid_from", F.col(seq))
+            .withColumn("valid_to", F.col(f"next_1.{seq}"))
+            .drop("next_1"))
+
+
 def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq",
                max_rows: int | None = None) -> DataFrame:
     """RTE3: a data record sees only config rows that arrived before it.
 
-    Data and config rows are merged per (table, operation) in arrival
-    order; a running max of config ``seq`` (segmented, skew-safe) gives the
-    version in force, then an equi-join fetches its attributes."""
-    keys = ["table", "operation"]
-    d = data.withColumn("_is_cfg", F.lit(False)).withColumn("_cfg_seq", F.lit(None).cast("long"))
-    c = versions.select(F.col("source_table").alias("table"), F.col("operate_type").alias("operation"),
-                        F.col(seq), F.lit(True).alias("_is_cfg"), F.col(seq).alias("_cfg_seq"))
-    u = d.unionByName(c, allowMissingColumns=True)
-    u = S.assign_segments(u, keys, seq, max_rows)
-    u = S.with_running(u, keys, [F.col(seq), F.col("_is_cfg").desc()], "_cfg_seq", "cfg_seq", how="max")
-    u = S.drop_segments(u).where(~F.col("_is_cfg") & F.col("cfg_seq").isNotNull()).drop("_is_cfg", "_cfg_seq")
-    cfg = versions.select(F.col("source_table").alias("table"), F.col("operate_type").alias("operation"),
-                          F.col(seq).alias("cfg_seq"), *[F.col(c) for c in CFG_FIELDS[2:]])
-    return _apply(u.join(cfg, keys + ["cfg_seq"], "inner"))
+    The data stream passes once through two joins:
+
+    * closed intervals ``(valid_from, valid_to)`` are cut into arrival
+      buckets of width ``B`` (about one version per bucket, a scalar
+      subquery over the versions) and equi-joined on
+      ``(table, operation, bucket)`` with the range as a join condition;
+    * the open last interval of each key (one row per key, checked size)
+      is broadcast and joined on ``(table, operation)``.
+    """
+    keys = ["source_table", "operate_type"]
+    attrs = CFG_FIELDS[2:]
+    iv = config_intervals(versions, seq, max_rows)
+    span = versions.select(F.greatest(F.lit(1), F.ceil(
+        (F.max(seq) - F.min(seq) + F.lit(1)) / F.count(F.lit(1)))).cast("long").alias("b")).scalar()
+    closed = iv.where(F.col("valid_to").isNotNull())
+    closed = closed.select(
+        F.col("source_table").alias("_c_table"), F.col("operate_type").alias("_c_op"),
+        F.explode(F.sequence(F.floor(F.col("valid_from") / span).cast("long"),
+                             F.floor(F.col("valid_to") / span).cast("long"))).alias("_c_bucket"),
+        F.col("valid_from").alias("_c_from"), F.col("valid_to").alias("_c_to"),
+        *[F.col(a).alias(f"_c_{a}") for a in attrs])
+    # ~2 rows per config version: broadcast when the check passes, else a
+    # shuffled join on (table, operation, bucket) that spreads a busy key.
+    closed = broadcast_if_small(closed)
+    last = broadcast_if_small(iv.where(F.col("valid_to").isNull()).select(
+        F.col("source_table").alias("_o_table"), F.col("operate_type").alias("_o_op"),
+        F.col("valid_from").alias("_o_from"), *[F.col(a).alias(f"_o_{a}") for a in attrs]))
+    d = data.withColumn("_bucket", F.floor(F.col(seq) / span).cast("long"))
+    j = d.join(closed, (d["table"] == closed["_c_table"]) & (d["operation"] == closed["_c_op"])
+               & (d["_bucket"] == closed["_c_bucket"]) & (d[seq] > closed["_c_from"])
+               & (d[seq] < closed["_c_to"]), "left")
+    j = j.join(last, (j["table"] == last["_o_table"]) & (j["operation"] == last["_o_op"])
+               & (j[seq] > last["_o_from"]), "left")
+    hit_closed = F.col("_c_from").isNotNull()
+    out = j.where(hit_closed | F.col("_o_from").isNotNull()).select(
+        *[F.col(c) for c in data.columns],
+        F.when(hit_closed, F.col("_c_from")).otherwise(F.col("_o_from")).alias("cfg_seq"),
+        *[F.when(hit_closed, F.col(f"_c_{a}")).otherwise(F.col(f"_o_{a}")).alias(a) for a in attrs])
+    return _apply(out)
 
 
 def split_by_sink(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,6 +133,14 @@ def split_by_sink(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
             routed.where(F.col("sink_type") == SINK_HBASE))
 
 
+def tag_by_sink(routed: DataFrame) -> DataFrame:
+    """RTE4 in one pass: ``stream`` = main (kafka) / side (hbase); other sink
+    types are dropped.  Use this when both outputs are written together."""
+    return (routed.where(F.col("sink_type").isin(SINK_KAFKA, SINK_HBASE))
+                  .withColumn("stream", F.when(F.col("sink_type") == SINK_KAFKA, F.lit("main"))
+                              .otherwise(F.lit("side"))))
+
+
 def topic_value(kafka_rows: DataFrame) -> DataFrame:
     """SNK2: record-chosen topic: ``topic = sink_table``, ``value = data`` JSON."""
     return kafka_rows.select(F.col("sink_table").alias("topic"),
