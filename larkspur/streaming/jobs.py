@@ -87,11 +87,17 @@ def base_log_query(lines: DataFrame, out_root: str, checkpoint: str,
 
 # --------------------------------------------------------------------- DWM
 def unique_visit_stream(pages: DataFrame, ttl_ms: int | None = PR.DAY_MS) -> DataFrame:
-    """STA2 (stream): entry pages, processing-time TTL on the stored day."""
+    """STA2 (stream): entry pages, processing-time TTL on the stored day.
+
+    TTL needs ``timeMode="ProcessingTime"``; such a query keeps running
+    no-data batches to expire state, so drive it with a processing-time
+    trigger, not ``availableNow``.  ``ttl_ms=None`` keeps state forever
+    (time mode "None")."""
     e = pages.where(~F.col("has_last_page")).withColumn("day", epoch_to_day("ts_ms"))
     schema = _schema(pages.sparkSession, UV_SCHEMA)
+    mode = "None" if ttl_ms is None else "ProcessingTime"
     return e.groupBy("mid").transformWithState(
-        PR.UniqueVisitProcessor(schema, ttl_ms=ttl_ms), schema, "Append", "ProcessingTime")
+        PR.UniqueVisitProcessor(schema, ttl_ms=ttl_ms), schema, "Append", mode)
 
 
 def bounce_stream(pages: DataFrame, window_ms: int = 10_000) -> DataFrame:
