@@ -27,6 +27,17 @@ def parse_lenient(text: Column | str) -> Column:
     return F.try_parse_json(_c(text))
 
 
+def with_parsed(df, text: Column | str, name: str, strict: bool = False):
+    """Add the parsed VARIANT of ``text`` as column ``name``, parsed once.
+
+    The value comes out of a one-element ``explode``: the optimizer pushes
+    filters on parsed fields below a plain projection, substituting the
+    parse into the filter (so each record would be parsed twice); it cannot
+    push them below a generator output, so the parse stays single."""
+    v = parse_strict(text) if strict else parse_lenient(text)
+    return df.select("*", F.explode(F.array(v)).alias(name))
+
+
 def is_json_object(v: Column) -> Column:
     """A parsed value that is a JSON object (records must be objects)."""
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))

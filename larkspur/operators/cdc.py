@@ -22,8 +22,7 @@ def normalize_change_events(df: DataFrame, value: str = "value", topic: str | No
     ``before`` is ignored; a delete therefore carries empty ``data``.  The
     database / table come from ``source`` and fall back to the topic
     ``<server>.<db>.<table>``."""
-    v = J.parse_lenient(value)
-    x = df.withColumn("_cv", v)
+    x = J.with_parsed(df, value, "_cv")
     v = F.col("_cv")
     after = F.try_variant_get(v, "$.after", DATA_TYPE)
     op = F.lower(J.path(v, "$.op", "string"))

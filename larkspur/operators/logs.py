@@ -19,8 +19,7 @@ def parse_app_log(lines: DataFrame, value: str = "value") -> DataFrame:
     ``dirty`` is true for malformed text, non-object values and records
     without ``common.mid`` or ``ts`` (these fail the job in a strict
     pipeline; here they go to the dirty output)."""
-    v = J.parse_lenient(value)
-    x = lines.withColumn(VARIANT_COL, v)
+    x = J.with_parsed(lines, value, VARIANT_COL)
     v = F.col(VARIANT_COL)
     mid = J.path(v, "$.common.mid", "string")
     ts = J.path(v, "$.ts", "bigint")

@@ -29,14 +29,15 @@ def decode_config_feed(feed: DataFrame, value: str = "value") -> DataFrame:
     """JSN8: decode config envelopes.  ``accepted`` is false for records
     without ``source_table`` (e.g. deletes with empty data) and for records
     carrying unknown fields (strict binding)."""
-    v = J.parse_lenient(value)
+    feed = J.with_parsed(feed, value, "_fv")
+    v = F.col("_fv")
     m = F.try_variant_get(v, "$.data", "map<string,variant>")
     known = F.array(*[F.lit(c) for c in CFG_FIELDS])
     unknown = F.coalesce(F.size(F.array_except(F.map_keys(m), known)) > 0, F.lit(False))
     cfg = F.try_variant_get(v, "$.data", f"struct<{_CFG_DDL}>")
     x = feed.select("*", J.path(v, "$.type", "string").alias("type"), cfg.alias("_cfg"),
                     unknown.alias("_unknown"))
-    return (x.select(*[c for c in feed.columns if c != value], "type",
+    return (x.select(*[c for c in feed.columns if c not in (value, "_fv")], "type",
                      *[F.col(f"_cfg.{c}").alias(c) for c in CFG_FIELDS],
                      (F.col("_cfg.source_table").isNotNull() & ~F.col("_unknown")).alias("accepted")))
 
@@ -64,7 +65,10 @@ def route_latest(data: DataFrame, latest: DataFrame) -> DataFrame:
     The config side is one row per (table, operation): broadcast after a
     size check."""
     cfg = broadcast_if_small(latest.withColumnRenamed("seq", "cfg_seq"))
-    j = data.join(cfg, (data["table"] == cfg["source_table"]) & (data["operation"] == cfg["operate_type"]),
+    # null-safe keys: an inferred isnotnull() filter would otherwise be pushed
+    # into the scan and re-run the record parse there
+    j = data.join(cfg, data["table"].eqNullSafe(cfg["source_table"])
+                  & data["operation"].eqNullSafe(cfg["operate_type"]),
                   "inner").drop("source_table", "operate_type")
     return _apply(j)
 
@@ -114,10 +118,10 @@ def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq",
         F.col("source_table").alias("_o_table"), F.col("operate_type").alias("_o_op"),
         F.col("valid_from").alias("_o_from"), *[F.col(a).alias(f"_o_{a}") for a in attrs]))
     d = data.withColumn("_bucket", F.floor(F.col(seq) / span).cast("long"))
-    j = d.join(closed, (d["table"] == closed["_c_table"]) & (d["operation"] == closed["_c_op"])
+    j = d.join(closed, d["table"].eqNullSafe(closed["_c_table"]) & d["operation"].eqNullSafe(closed["_c_op"])
                & (d["_bucket"] == closed["_c_bucket"]) & (d[seq] > closed["_c_from"])
                & (d[seq] < closed["_c_to"]), "left")
-    j = j.join(last, (j["table"] == last["_o_table"]) & (j["operation"] == last["_o_op"])
+    j = j.join(last, j["table"].eqNullSafe(last["_o_table"]) & j["operation"].eqNullSafe(last["_o_op"])
                & (j[seq] > last["_o_from"]), "left")
     hit_closed = F.col("_c_from").isNotNull()
     out = j.where(hit_closed | F.col("_o_from").isNotNull()).select(

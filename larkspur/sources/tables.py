@@ -9,5 +9,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """Read one table.
+
+    A file with a single row group scans as one task; when the scan has
+    fewer partitions than ``min_partitions`` (default: the session's
+    parallelism) it is spread round-robin so CPU-heavy per-row work (JSON
+    encode / parse) uses every core.  On large inputs the scan already has
+    more splits than that and nothing is added.  Filters and column pruning
+    still reach the scan (they are pushed below the repartition)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
