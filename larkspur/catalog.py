@@ -160,8 +160,8 @@ def bounce_timeout(spark, d):
 
 @query
 def bounce_branches_union(spark, d):
-    m, t = P.bounce_branches(_pages(spark, d), window_ms=BOUNCE_WINDOW_MS)
-    return P.union_branches(m.select(*_BOUNCE_COLS), t.select(*_BOUNCE_COLS))
+    b = P.bounce(_pages(spark, d), window_ms=BOUNCE_WINDOW_MS).select(*_BOUNCE_COLS)
+    return P.union_of_branches(b, F.col("kind") == P.MATCHED, F.col("kind") == P.TIMEOUT)
 
 
 # ---------------------------------------------------------- login patterns

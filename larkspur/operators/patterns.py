@@ -50,10 +50,21 @@ def bounce_branches(pages: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
 
 
 def union_branches(a: DataFrame, b: DataFrame) -> DataFrame:
-    """UNI1: union keeping duplicates, by column name."""
+    """UNI1: union keeping duplicates, by column name (independent inputs)."""
     return a.unionByName(b)
 
 
+def union_of_branches(df: DataFrame, *conds: Column) -> DataFrame:
+    """UNI1 for branches of one frame (main + side output): the union of
+    ``df.where(c)`` for every ``c``, duplicates kept, in a single pass over
+    ``df`` (a union of two filtered copies would evaluate ``df`` twice)."""
+    x = df.withColumn("_branch", F.explode(F.sequence(F.lit(0), F.lit(len(conds) - 1))))
+    keep = F.lit(False)
+    for i, c in enumerate(conds):
+        keep = keep | ((F.col("_branch") == i) & F.coalesce(c, F.lit(False)))
+    return x.where(keep).drop("_branch")
+
+
 def strict_times(df: DataFrame, cond: Column, n: int, key: str, ts: str, tie: str,
                  payload: Sequence[str] = (), max_rows: int | None = None) -> DataFrame:
     """CEP4 / CEP5: ``n`` consecutive events (strict contiguity) all meeting

@@ -23,6 +23,7 @@ CFG_FIELDS = [f.name for f in J.TABLE_PROCESS_SCHEMA.fields]
 _CFG_DDL = ", ".join(f"{f} string" for f in CFG_FIELDS)
 DEFAULT_PK = "id"
 DEFAULT_DIM_SCHEMA = "DIM"
+DEFAULT_MAX_INTERVALS = 50_000   # config versions broadcast to the data side
 
 
 def decode_config_feed(feed: DataFrame, value: str = "value") -> DataFrame:
@@ -111,12 +112,18 @@ def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq",
                              F.floor(F.col("valid_to") / span).cast("long"))).alias("_c_bucket"),
         F.col("valid_from").alias("_c_from"), F.col("valid_to").alias("_c_to"),
         *[F.col(a).alias(f"_c_{a}") for a in attrs])
-    # ~2 rows per config version: broadcast when the check passes, else a
-    # shuffled join on (table, operation, bucket) that spreads a busy key.
-    closed = broadcast_if_small(closed)
-    last = broadcast_if_small(iv.where(F.col("valid_to").isNull()).select(
+    last = iv.where(F.col("valid_to").isNull()).select(
         F.col("source_table").alias("_o_table"), F.col("operate_type").alias("_o_op"),
-        F.col("valid_from").alias("_o_from"), *[F.col(a).alias(f"_o_{a}") for a in attrs]))
+        F.col("valid_from").alias("_o_from"), *[F.col(a).alias(f"_o_{a}") for a in attrs])
+    # One size check covers both sides: with B = span / versions the explode
+    # yields at most about 2 rows per version, and ``last`` has one row per
+    # key.  Beyond the bound the closed side is a shuffled join on
+    # (table, operation, bucket), which spreads a busy key.
+    if iv.limit(DEFAULT_MAX_INTERVALS + 1).count() <= DEFAULT_MAX_INTERVALS:
+        closed, last = F.broadcast(closed), F.broadcast(last)
+    else:
+        # few keys: a shuffled join on (table, operation) would be skewed
+        last = broadcast_if_small(last)
     d = data.withColumn("_bucket", F.floor(F.col(seq) / span).cast("long"))
     j = d.join(closed, d["table"].eqNullSafe(closed["_c_table"]) & d["operation"].eqNullSafe(closed["_c_op"])
                & (d["_bucket"] == closed["_c_bucket"]) & (d[seq] > closed["_c_from"])

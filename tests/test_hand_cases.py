@@ -216,3 +216,9 @@ def test_late_data_classes(spark):
     assert got[1_000][0] == "on_time" and got[95_000][0] == "on_time"
     fires = W.refire_results(c).where("window_start_ms = 0").orderBy("fire_no").collect()
     assert [(r.fire_no, r.n_rows) for r in fires] == [(0, 1), (1, 2)]
+
+
+def test_union_of_branches_keeps_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "i long, k string")
+    u = P.union_of_branches(df, F.col("k") == "a", F.col("i") >= 1)
+    assert sorted(r.i for r in u.collect()) == [1, 1, 2, 3, 3]
