@@ -62,3 +62,13 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     log = spark.read.parquet(path)
     return (log.groupBy("sink_table", "pk")
                .agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data")))
+
+
+def compact_dimension(spark: SparkSession, path: str, upto_batch: int) -> None:
+    """Fold batches ``<= upto_batch`` of an upsert log into one snapshot
+    written to ``<path>_compact`` (as batch ``upto_batch``, same layout).
+    Readers can union the snapshot with the log's later batches; the folded
+    log partitions can then be retired.  Re-running is idempotent."""
+    log = spark.read.parquet(path).where(F.col("batch_id") <= upto_batch)
+    snap = log.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data"))
+    write_batch(snap, f"{path.rstrip('/')}_compact", upto_batch, partition_by=("sink_table",))

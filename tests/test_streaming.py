@@ -187,3 +187,6 @@ def test_routing_query_and_restart(spark, scratch):
     got = {(r.sink_table, r.pk): r.data["l_partkey"] for r in dims.collect()}
     want = {(r.sink_table, r.pk): r.l_partkey for r in C.dim_upsert_latest(spark, SF).collect()}
     assert got == want
+    SK.compact_dimension(spark, f"{scratch}/out/dims", 10**6)
+    snap = SK.read_dimension(spark, f"{scratch}/out/dims_compact")
+    assert {(r.sink_table, r.pk): r.data["l_partkey"] for r in snap.collect()} == want
