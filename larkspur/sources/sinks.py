@@ -72,3 +72,11 @@ def compact_dimension(spark: SparkSession, path: str, upto_batch: int) -> None:
     log = spark.read.parquet(path).where(F.col("batch_id") <= upto_batch)
     snap = log.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data"))
     write_batch(snap, f"{path.rstrip('/')}_compact", upto_batch, partition_by=("sink_table",))
+
+
+def write_kafka_batch(df: DataFrame, bootstrap: str, topic: str | None = None) -> None:
+    """SNK1 / SNK2 from ``foreachBatch``: ``value`` (+ ``topic``) columns."""
+    w = df.write.format("kafka")
+    for k, v in kafka_sink_options(bootstrap, topic).items():
+        w = w.option(k, v)
+    w.save()

@@ -2,6 +2,7 @@
 (several files, one per micro-batch) and compare with the batch operators."""
 
 import os
+import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def _write_chunks(df, path, order, n=4):
     idx = df.withColumn("_i", F.row_number().over(Window.orderBy(*order)) - 1)  # small test input
     t0 = time.time() - 1000
     for i in range(n):
-        tmp = f"{path}/../_chunk{i}"
+        tmp = tempfile.mkdtemp(prefix="chunk-", dir=os.path.dirname(path.rstrip("/"))) + "/d"
         idx.where((F.col("_i") >= i * size) & (F.col("_i") < (i + 1) * size)).drop("_i") \
             .coalesce(1).write.parquet(tmp)
         part = [f for f in os.listdir(tmp) if f.endswith(".parquet")][0]
