@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.operators import cdc as CDC
 from larkspur.operators import logs as L
+from larkspur.operators import windows as W
 from larkspur.session import build_session, checkpoint_root
 from larkspur.sources import connectors as SC
 from larkspur.sources import sinks as SK
@@ -29,7 +30,7 @@ CHANGE_SCHEMA = "seq long, topic string, value string"
 # Output names of the log layers (fixed topic names).
 TOPICS = {"page": "dwd_page_log", "display": "dwd_display_log", "start": "dwd_start_log",
           "dirty": "dwd_dirty_log", "uv": "dwm_unique_visit", "jump": "dwm_user_jump_detail",
-          "db": "ods_base_db"}
+          "db": "ods_base_db", "window": "window_result", "alert": "login_alert"}
 
 
 def read_source(spark: SparkSession, spec: str, schema: str, starting: str | int = "earliest") -> DataFrame:
@@ -120,8 +121,40 @@ def base_db(spark, source, sink, ckpt, config_path, trigger=None, dim_schema=Non
     return [q]
 
 
+def window_demo(spark, source, sink, ckpt, trigger=None, size="20 seconds", delay_ms=10_000,
+                lateness_ms=60_000):
+    """Score lines ``name,score,epoch_ms``: windowed sums in update mode
+    (allowed-late rows re-fire) plus the late-record side output (files)."""
+    scores = W.parse_scores(read_source(spark, source, LINE_SCHEMA))
+    sums = J.window_sum_stream(scores, size, delay_ms, lateness_ms)
+    sums = _as_json(sums, sums.columns)
+    q1 = (sums.writeStream.outputMode("update").option("checkpointLocation", f"{ckpt}/window")
+          .foreachBatch(lambda df, b: write_output(df, b, sink, "window"))
+          .trigger(**(trigger or {"processingTime": "3 seconds"})).start())
+    kind, _, root = sink.partition(":")
+    late_root = f"{root.rstrip('/')}/late" if kind == "files" else f"{ckpt}/late-output"
+    size_ms = int(spark.sql(f"SELECT unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {size})")
+                  .first()[0])
+    q2 = J.late_split_query(scores, late_root, f"{ckpt}/late", size_ms, delay_ms, lateness_ms,
+                            trigger or {"processingTime": "3 seconds"})
+    return [q1, q2]
+
+
+def login_alert(spark, source, sink, ckpt, trigger=None, n=3):
+    """JSON login events ``{userId, ipAddress, eventType, timestamp}``:
+    ``n`` consecutive failures per user (strict contiguity)."""
+    raw = read_source(spark, source, LINE_SCHEMA)
+    ev = raw.select("rec_id", F.from_json("value", "userId string, ipAddress string, eventType string, "
+                                                    "timestamp long").alias("e")).select("rec_id", "e.*")
+    m = J.strict_times_stream(ev, F.col("eventType") == "fail", n, "userId", ts="timestamp", seq="rec_id")
+    alert = m.select("key", "ts_list", F.concat(F.col("key"), F.lit(f" failed to log in {n} times in a row at: "),
+                                                F.regexp_replace("ts_list", ",", ", ")).alias("value"))
+    return [_start(alert, "alert", ckpt, lambda df, b: write_output(df, b, sink, "alert"), trigger)]
+
+
 APPS = {"cdc-ingest": cdc_ingest, "base-log": base_log, "unique-visit": unique_visit,
-        "jump-detail": jump_detail, "base-db": base_db}
+        "jump-detail": jump_detail, "base-db": base_db, "window-demo": window_demo,
+        "login-alert": login_alert}
 
 
 def main(argv=None) -> None:

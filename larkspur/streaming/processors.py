@@ -136,3 +136,62 @@ class BounceProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+_RUN = "ts long, seq long, c boolean"
+
+
+class StrictTimesProcessor(StatefulProcessor):
+    """CEP4 / CEP5 in event time: ``n`` consecutive events meeting the
+    condition (strict contiguity, overlapping matches kept).
+
+    Rows are buffered until the watermark passes them and consumed in
+    ``(ts, seq)`` order; the last ``n - 1`` matching events of the current
+    run are kept as state.  Output rows: ``key, first_seq, first_ts,
+    last_ts, ts_list``."""
+
+    def __init__(self, n: int = 3):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.h = handle
+        self.buf = handle.getListState("buffer", _RUN)
+        self.run = handle.getListState("run", _RUN)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(r.ts, r.seq, bool(r.c)) for r in rows]
+        if new:
+            self.buf.appendList(new)
+            self.h.registerTimer(min(x[0] for x in new))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
+        ready = [x for x in rows if x[0] <= wm]
+        rest = [x for x in rows if x[0] > wm]
+        run = sorted(tuple(x) for x in self.run.get()) if self.run.exists() else []
+        out = []
+        for e in ready:
+            if not e[2]:
+                run = []
+                continue
+            run.append(e)
+            if len(run) >= self.n:
+                m = run[-self.n:]
+                out.append(Row(key=key[0], first_seq=m[0][1], first_ts=m[0][0], last_ts=m[-1][0],
+                               ts_list=",".join(str(x[0]) for x in m)))
+            run = run[-(self.n - 1):] if self.n > 1 else []
+        if ready:
+            self.buf.clear()
+            if rest:
+                self.buf.appendList(rest)
+            self.run.clear()
+            if run:
+                self.run.appendList(run)
+        if rest:
+            self.h.registerTimer(rest[0][0])
+        return iter(out)
+
+    def close(self) -> None:
+        pass

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from larkspur import apps as A
 from larkspur import catalog as C
 from larkspur.sources import records as R
@@ -40,3 +42,29 @@ def test_cdc_ingest_app(spark, scratch):
                        tables=["shop.orders"]))
     out = spark.read.parquet(f"{scratch}/ods/ods_base_db")
     assert out.count() == table(spark, SF, "orders").count()
+
+
+def test_window_demo_app(spark, scratch):
+    lines = R.score_lines(table(spark, SF, "events")).select(F.col("seq").alias("rec_id"), "value", "arrival_ms")
+    _write_chunks(lines.select("rec_id", "value", "arrival_ms"), f"{scratch}/in", ["arrival_ms", "rec_id"], n=8)
+    _wait(A.window_demo(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW,
+                        size="1 day", delay_ms=C.DELAY_MS, lateness_ms=C.LATENESS_MS))
+    res = spark.read.parquet(f"{scratch}/out/window_result")
+    assert res.count() > 0 and "score_sum" in res.columns
+    def rows(path):   # an output with no rows in any batch has no partitions
+        parts = [d for d in os.listdir(path) if d.startswith("batch_id=")] if os.path.isdir(path) else []
+        return spark.read.parquet(path).count() if parts else 0
+
+    assert rows(f"{scratch}/out/late/main") + rows(f"{scratch}/out/late/late") == lines.count()
+
+
+def test_login_alert_app(spark, scratch):
+    rows = [(i, '{"userId":"%s","ipAddress":"ip","eventType":"%s","timestamp":%d}' % (u, t, ts))
+            for i, (u, t, ts) in enumerate([("user_1", "fail", 2000), ("user_1", "fail", 3000),
+                                            ("user_2", "fail", 4000), ("user_1", "fail", 5000),
+                                            ("user_2", "success", 6000), ("user_2", "fail", 7000),
+                                            ("user_2", "fail", 8000), ("zz", "success", 10 ** 9)])]
+    spark.createDataFrame(rows, "rec_id long, value string").coalesce(1).write.parquet(f"{scratch}/in")
+    _wait(A.login_alert(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW))
+    out = [r.value for r in spark.read.parquet(f"{scratch}/out/login_alert").collect()]
+    assert out == ["user_1 failed to log in 3 times in a row at: 2000, 3000, 5000"]

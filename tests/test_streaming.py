@@ -126,6 +126,23 @@ def test_bounce_stream(spark, scratch):
     assert got_rows == sorted(map(tuple, exp.select("rec_id", "kind").collect()))
 
 
+def test_strict_times_stream(spark, scratch):
+    logins = R.login_events(table(spark, SF, "events"))
+    schema = _write_chunks(logins, f"{scratch}/in", ["timestamp", "seq"])
+    far = logins.agg(F.max("timestamp")).first()[0] + 10 ** 9
+    sentinel = spark.createDataFrame([("~sentinel", "ip", "view", far, -1)], schema)
+    sentinel.coalesce(1).write.parquet(f"{scratch}/_sentinel")
+    part = [f for f in os.listdir(f"{scratch}/_sentinel") if f.endswith(".parquet")][0]
+    os.rename(f"{scratch}/_sentinel/{part}", f"{scratch}/in/part-999.parquet")
+    s = _stream(spark, f"{scratch}/in", schema)
+    got = _memory(J.strict_times_stream(s, F.col("event_type") == "fail", C.ALERT_RUN, "user_id",
+                                        ts="timestamp"), "strict_s", f"{scratch}/ck")
+    exp = C.strict_times_n(spark, SF)
+    assert exp.count() > 0
+    assert sorted(map(tuple, got.select("key", "first_seq", "ts_list").collect())) == \
+        sorted(map(tuple, exp.select("user_id", "first_seq", "ts_list").collect()))
+
+
 def test_window_stream_update_mode(spark, scratch):
     scores = C._scores(spark, SF).drop("ts")
     schema = _write_chunks(scores, f"{scratch}/in", ["arrival_ms", "seq"])
