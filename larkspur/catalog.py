@@ -408,7 +408,9 @@ def late_classify(spark, d):
 
 @query
 def window_refire(spark, d):
-    return W.refire_results(_classified(spark, d))
+    scores = _scores(spark, d).withColumn(
+        "window_start_ms", F.floor(F.col("ts_ms") / F.lit(DAY_MS)).cast("long") * F.lit(DAY_MS))
+    return W.refire_results(_classified(spark, d), records=scores)
 
 
 @query

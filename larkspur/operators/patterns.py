@@ -86,14 +86,17 @@ def strict_times(df: DataFrame, cond: Column, n: int, key: str, ts: str, tie: st
 def strict_runs(df: DataFrame, cond: Column, key: str, ts: str, tie: str,
                 min_len: int = 1, max_rows: int | None = None) -> DataFrame:
     """CEP7: maximal runs of consecutive events meeting ``cond`` (gaps and
-    islands): ``(key, run_start_ts, run_end_ts, run_len)``."""
+    islands): ``(key, run_start_ts, run_end_ts, run_len)``.
+
+    Within a run, the running count of all events and the running count of
+    matching events grow together, so their difference identifies the run:
+    one segmented pass, then a partial aggregate per (key, run)."""
     x = df.withColumn("_c", F.coalesce(cond, F.lit(False)))
     x = S.assign_segments(x, [key], ts, max_rows)
-    x = S.with_neighbors(x, [key], [ts, tie], ["_c"], n_prev=1)
-    start = F.col("_c") & ~F.coalesce(F.col("prev_1._c"), F.lit(False))
-    x = x.withColumn("_start", start.cast("long"))
-    x = S.with_running(x, [key], [ts, tie], "_start", "_run", how="sum")
-    runs = (x.where(F.col("_c")).groupBy(key, "_run")
+    x = S.with_running(x, [key], [ts, tie], aggs=[(F.lit(1).cast("long"), "_n_all", "sum"),
+                                                 (F.col("_c").cast("long"), "_n_c", "sum")])
+    runs = (x.where(F.col("_c")).withColumn("_run", F.col("_n_all") - F.col("_n_c"))
+             .groupBy(key, "_run")
              .agg(F.min(ts).alias("run_start_ts"), F.max(ts).alias("run_end_ts"),
                   F.count(F.lit(1)).alias("run_len")))
     return runs.where(F.col("run_len") >= min_len).drop("_run")

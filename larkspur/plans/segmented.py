@@ -54,12 +54,17 @@ def max_rows_for(df: DataFrame, max_rows: int | None) -> int:
 
 
 def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str,
-                    max_rows: int | None = None, seed: int = 17) -> DataFrame:
+                    max_rows: int | None = None, seed: int = 17,
+                    stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``_seg`` (bigint) and ``_hot`` (boolean) columns.
 
     ``order_value`` is a numeric column that is non-decreasing in the
     sequence order (e.g. epoch ms when ordering by ``(ts, id)``).
     ``keys=[]`` treats the whole frame as one (always hot) key.
+    ``stats_from`` (same key and order-value columns) supplies the sample
+    when ``df`` is expensive to recompute: a cheaper superset of its rows
+    gives valid (if conservative) statistics, since any monotone
+    segmentation is exact.
     """
     limit = max_rows_for(df, max_rows)
     keys = list(keys)
@@ -67,7 +72,10 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str,
         df = df.withColumn(GLOBAL_KEY, F.lit(0))
         keys = [GLOBAL_KEY]
     frac = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / float(limit))
-    src = df.select(*keys, order_value)
+    base = stats_from if stats_from is not None else df
+    if stats_from is not None and keys == [GLOBAL_KEY]:
+        base = base.withColumn(GLOBAL_KEY, F.lit(0))
+    src = base.select(*keys, order_value)
     if frac < 1.0:
         src = src.sample(withReplacement=False, fraction=frac, seed=seed)
     o = F.col(order_value)
@@ -151,31 +159,43 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 
 
 def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                 value: Column | str, out: str, how: str = "sum",
-                 inclusive: bool = True) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``value`` per key in ``order``.
-
-    ``inclusive=False`` gives the aggregate over strictly earlier rows
-    (NULL when there are none).  Requires ``assign_segments``.
-    """
+                 value: Column | str | None = None, out: str | None = None, how: str = "sum",
+                 inclusive: bool = True,
+                 aggs: Sequence[tuple[Column | str, str, str]] | None = None) -> DataFrame:
+    """Running ``sum`` or ``max`` per key in ``order``.
+
+    Either one aggregate (``value``, ``out``, ``how``) or several at once
+    with ``aggs=[(value, out, how), ...]``: they share one window pass and
+    one per-segment summary, so chaining is not needed.  ``inclusive=False``
+    aggregates strictly earlier rows (NULL when there are none).  Requires
+    ``assign_segments``."""
     keys = _keys(df, keys)
     g = keys + [SEG]
-    agg = {"sum": F.sum, "max": F.max}[how]
-    v = F.col(value) if isinstance(value, str) else value
-    x = df.withColumn("_v", v)
+    specs = list(aggs) if aggs else [(value, out, how)]
+    fns = {"sum": F.sum, "max": F.max}
+    x = df
+    for i, (v, _o, _h) in enumerate(specs):
+        x = x.withColumn(f"_v{i}", F.col(v) if isinstance(v, str) else v)
     end = 0 if inclusive else -1
     w = Window.partitionBy(*g).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    x = x.withColumn("_loc", agg("_v").over(w))
-    totals = x.where(F.col(HOT)).groupBy(*g).agg(agg("_v").alias("_tot"))
+    for i, (_v, _o, h) in enumerate(specs):
+        x = x.withColumn(f"_loc{i}", fns[h](f"_v{i}").over(w))
+    totals = x.where(F.col(HOT)).groupBy(*g).agg(
+        *[fns[h](f"_v{i}").alias(f"_tot{i}") for i, (_v, _o, h) in enumerate(specs)])
     kw = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, agg("_tot").over(kw).alias("_off"))
+    offsets = totals.select(*g, *[fns[h](f"_tot{i}").over(kw).alias(f"_off{i}")
+                                  for i, (_v, _o, h) in enumerate(specs)])
     x = x.join(offsets, g, "left")
-    if how == "sum":
-        res = F.when(F.col("_loc").isNull() & F.col("_off").isNull(), F.lit(None)).otherwise(
-            F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_loc"), F.lit(0)))
-    else:
-        res = F.greatest(F.col("_off"), F.col("_loc"))
-    return x.withColumn(out, res).drop("_v", "_loc", "_off")
+    for i, (_v, o, h) in enumerate(specs):
+        loc, off = F.col(f"_loc{i}"), F.col(f"_off{i}")
+        if h == "sum":
+            res = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
+                F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0)))
+        else:
+            res = F.greatest(off, loc)
+        x = x.withColumn(o, res)
+    drop = [f"_{p}{i}" for i in range(len(specs)) for p in ("v", "loc", "off")]
+    return x.drop(*drop)
 
 
 def drop_segments(df: DataFrame) -> DataFrame:

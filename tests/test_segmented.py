@@ -65,3 +65,16 @@ def test_bounce_hot_path_equals_default(spark):
     b = P.bounce(pages, window_ms=C.BOUNCE_WINDOW_MS, max_rows=7).select("rec_id", "kind", "next_ts")
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == 1701
+
+
+def test_refire_hot_path_equals_default(spark):
+    from larkspur import catalog as C
+    from larkspur.operators import windows as W
+    d = "/root/testdata/sf0.01"
+    scores = C._scores(spark, d).withColumn(
+        "window_start_ms", F.floor(F.col("ts_ms") / F.lit(C.DAY_MS)).cast("long") * F.lit(C.DAY_MS))
+    cl = W.classify_lateness(C._scores(spark, d), C.DAY_MS, C.DELAY_MS, C.LATENESS_MS, max_rows=500)
+    a = W.refire_results(cl, max_rows=3, records=scores)
+    b = W.refire_results(cl, max_rows=7)
+    c = C.window_refire(spark, d)
+    assert sorted(a.collect()) == sorted(b.collect()) == sorted(c.collect())
