@@ -222,3 +222,22 @@ def test_union_of_branches_keeps_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "i long, k string")
     u = P.union_of_branches(df, F.col("k") == "a", F.col("i") >= 1)
     assert sorted(r.i for r in u.collect()) == [1, 1, 2, 3, 3]
+
+
+def test_typed_schemas_agree_with_variant_parse(spark):
+    from larkspur import schemas as SC
+    recs = [_log("a", 7, "1", page={"page_id": "home", "last_page_id": "x"}, displays=[{"item": "p"}]),
+            '{"name":"n","age":22,"student":{"name":"n","age":22}}']
+    df = _lines(spark, recs[:1])
+    typed = df.select(F.from_json("value", SC.APP_LOG).alias("r")).select("r.common.mid", "r.ts", "r.page.page_id")
+    v = L.parse_app_log(df).select("mid", "ts_ms", "page_id")
+    assert tuple(typed.first()) == tuple(v.first()) == ("a", 7, "home")
+    st = _lines(spark, recs[1:]).select(F.from_json("value", SC.STUDENT).alias("s")).first().s
+    assert (st.name, st.age, st.student.age) == ("n", 22, 22)
+    assert _lines(spark, recs[1:]).select(F.array_join(J.object_keys("value"), ",")).first()[0] == "name,age,student"
+
+
+def test_strict_parse_fails_on_bad_record(spark):
+    import pytest
+    with pytest.raises(Exception):
+        _lines(spark, ["{bad"]).select(J.parse_strict("value")).collect()
