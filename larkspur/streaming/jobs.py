@@ -100,6 +100,17 @@ def unique_visit_stream(pages: DataFrame, ttl_ms: int | None = PR.DAY_MS) -> Dat
         PR.UniqueVisitProcessor(schema, ttl_ms=ttl_ms), schema, "Append", mode)
 
 
+def unique_visit_dedup_stream(pages: DataFrame, delay: str = "1 day") -> DataFrame:
+    """STA2 in-order form (stream), without a custom processor: one row per
+    (mid, day) via ``dropDuplicatesWithinWatermark``.  The delay must be at
+    least a day plus the arrival disorder, or a key is forgotten and a
+    same-day repeat is emitted again.  Which of several same-day rows inside
+    one micro-batch is kept is not defined."""
+    e = (pages.where(~F.col("has_last_page")).withColumn("day", epoch_to_day("ts_ms"))
+         .withColumn("ts", ms_to_ts(F.col("ts_ms"))).withWatermark("ts", delay))
+    return e.dropDuplicatesWithinWatermark(["mid", "day"]).select("mid", "day", "rec_id", "ts_ms")
+
+
 def bounce_stream(pages: DataFrame, window_ms: int = 10_000) -> DataFrame:
     """CEP1-CEP3 (stream): monotonous watermark on ``ts``, event-time timers."""
     x = (pages.withColumn("ts", ms_to_ts(F.col("ts_ms"))).withWatermark("ts", "0 seconds")

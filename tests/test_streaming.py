@@ -101,6 +101,16 @@ def test_unique_visit_stream(spark, scratch):
         sorted(map(tuple, exp.select("rec_id", "day").collect()))
 
 
+def test_unique_visit_dedup_stream(spark, scratch):
+    pages = C._pages(spark, SF)
+    schema = _write_chunks(pages, f"{scratch}/in", ["arrival_ms", "rec_id"])
+    got = _memory(J.unique_visit_dedup_stream(_stream(spark, f"{scratch}/in", schema), "2 days"), "uv_dd",
+                  f"{scratch}/ck")
+    exp = C.unique_visit(spark, SF)
+    assert sorted(map(tuple, got.select("mid", "day").collect())) == \
+        sorted(map(tuple, exp.select("mid", "day").collect()))
+
+
 def test_unique_visit_stream_with_ttl(spark, scratch):
     pages = C._pages(spark, SF)
     schema = _write_chunks(pages, f"{scratch}/in", ["arrival_ms", "rec_id"], n=2)
