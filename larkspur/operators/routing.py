@@ -43,9 +43,22 @@ def decode_config_feed(feed: DataFrame, value: str = "value") -> DataFrame:
                      (F.col("_cfg.source_table").isNotNull() & ~F.col("_unknown")).alias("accepted")))
 
 
-def config_versions(feed: DataFrame) -> DataFrame:
-    """Accepted config rows with their arrival ``seq``."""
-    return decode_config_feed(feed).where(F.col("accepted")).drop("accepted")
+# Optional operation-name aliases for config rows (config tables often say
+# ``insert`` where change events say ``create``).  Off by default: exact match.
+INSERT_AS_CREATE = {"insert": "create"}
+
+
+def config_versions(feed: DataFrame, op_aliases: dict[str, str] | None = None) -> DataFrame:
+    """Accepted config rows with their arrival ``seq``.  ``op_aliases`` maps
+    config operation names onto change-event names (e.g. INSERT_AS_CREATE)."""
+    v = decode_config_feed(feed).where(F.col("accepted")).drop("accepted")
+    if op_aliases:
+        ot = F.col("operate_type")
+        mapped = ot
+        for src, dst in op_aliases.items():
+            mapped = F.when(ot == src, F.lit(dst)).otherwise(mapped)
+        v = v.withColumn("operate_type", mapped)
+    return v
 
 
 def latest_config(versions: DataFrame, seq: str = "seq") -> DataFrame:

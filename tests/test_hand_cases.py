@@ -241,3 +241,11 @@ def test_strict_parse_fails_on_bad_record(spark):
     import pytest
     with pytest.raises(Exception):
         _lines(spark, ["{bad"]).select(J.parse_strict("value")).collect()
+
+
+def test_insert_alias_is_opt_in(spark):
+    feed = _cfg_feed(spark, [(1, "t", "insert", "kafka", "out", "id")])
+    data = _data(spark, [(5, "t", "c", {"id": 1})])
+    exact = RT.route_latest(data, RT.latest_config(RT.config_versions(feed)))
+    alias = RT.route_latest(data, RT.latest_config(RT.config_versions(feed, RT.INSERT_AS_CREATE)))
+    assert exact.count() == 0 and alias.count() == 1
