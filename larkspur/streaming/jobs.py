@@ -195,7 +195,14 @@ def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession]
     routed = RT.tag_by_sink(RT.route_latest(norm, latest)).persist()
     try:
         SK.write_topics(RT.topic_value(routed.where(F.col("stream") == "main")), f"{out_root}/topics", batch_id)
-        SK.upsert_dimension(routed.where(F.col("stream") == "side"), f"{out_root}/dims", batch_id, order)
+        side = routed.where(F.col("stream") == "side")
+        SK.upsert_dimension(side, f"{out_root}/dims", batch_id, order)
+        # per-batch counts: routed records and empty payloads the upsert skipped
+        metrics = routed.agg(
+            F.sum((F.col("stream") == "main").cast("long")).alias("topic_records"),
+            F.sum((F.col("stream") == "side").cast("long")).alias("dimension_records"),
+            F.sum(((F.col("stream") == "side") & (F.size("data") == 0)).cast("long")).alias("skipped_empty"))
+        SK.write_batch(metrics, f"{out_root}/metrics", batch_id)
     finally:
         routed.unpersist()
 

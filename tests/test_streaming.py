@@ -215,6 +215,9 @@ def test_routing_query_and_restart(spark, scratch):
     got = {(r.sink_table, r.pk): r.data["l_partkey"] for r in dims.collect()}
     want = {(r.sink_table, r.pk): r.l_partkey for r in C.dim_upsert_latest(spark, SF).collect()}
     assert got == want
+    m = spark.read.parquet(f"{scratch}/out/metrics").agg(F.sum("topic_records"), F.sum("dimension_records")).first()
+    assert m[0] == exp.count() and m[1] == C.route_sink_split(spark, SF).where("stream = 'side'").agg(
+        F.sum("n")).first()[0]
     SK.compact_dimension(spark, f"{scratch}/out/dims", 10**6)
     snap = SK.read_dimension(spark, f"{scratch}/out/dims_compact")
     assert {(r.sink_table, r.pk): r.data["l_partkey"] for r in snap.collect()} == want
