@@ -77,15 +77,7 @@ def base_log(spark, source, sink, ckpt, trigger=None):
     repaired = J.repair_is_new_stream(clean)
 
     def split(df, batch_id):
-        p = L.parse_app_log(df.select("rec_id", "value", F.col("is_new").alias("_fixed")))
-        p = L.with_repaired_json(p.withColumn("is_new", F.col("_fixed"))).persist()
-        try:
-            write_output(L.start_logs(p).select("rec_id", F.col("out_value").alias("value")), batch_id, sink, "start")
-            pages = L.page_logs(p)
-            write_output(pages.select("rec_id", F.col("out_value").alias("value")), batch_id, sink, "page")
-            write_output(L.display_logs(pages, keep=("rec_id",)), batch_id, sink, "display")
-        finally:
-            p.unpersist()
+        J.split_log_outputs(df, lambda out, name: write_output(out, batch_id, sink, name))
 
     return [_start(repaired, "main", ckpt, split, trigger),
             _start(dirty, "dirty", ckpt, lambda df, b: write_output(df, b, sink, "dirty"), trigger)]

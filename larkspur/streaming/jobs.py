@@ -56,22 +56,26 @@ def repair_is_new_stream(clean: DataFrame, order=("rec_id",)) -> DataFrame:
         PR.IsNewRepairProcessor(schema, order=order), schema, "Append", "None")
 
 
-def write_log_outputs(batch: DataFrame, batch_id: int, out_root: str) -> None:
+def split_log_outputs(batch: DataFrame, write: Callable[[DataFrame, str], None]) -> None:
     """SPL1 / SPL2 + JSN4 for one micro-batch: the repaired records are
-    re-encoded and written to start / page / display outputs."""
+    re-encoded and handed to ``write(frame, name)`` as ``start``, ``page``
+    and ``display`` outputs (the batch is parsed once and persisted)."""
     p = L.parse_app_log(batch.select("rec_id", "value", F.col("is_new").alias("_fixed")))
-    p = L.with_repaired_json(p.withColumn("is_new", F.col("_fixed")))
-    p = p.persist()
+    p = L.with_repaired_json(p.withColumn("is_new", F.col("_fixed"))).persist()
     try:
-        SK.write_batch(L.start_logs(p).select("rec_id", F.col("out_value").alias("value")),
-                       f"{out_root}/start", batch_id)
+        write(L.start_logs(p).select("rec_id", F.col("out_value").alias("value")), "start")
         pages = L.page_logs(p)
-        SK.write_batch(pages.select("rec_id", F.col("out_value").alias("value")), f"{out_root}/page", batch_id)
-        SK.write_batch(L.display_logs(pages, keep=("rec_id",)), f"{out_root}/display", batch_id)
+        write(pages.select("rec_id", F.col("out_value").alias("value")), "page")
+        write(L.display_logs(pages, keep=("rec_id",)), "display")
     finally:
         p.unpersist()
 
 
+def write_log_outputs(batch: DataFrame, batch_id: int, out_root: str) -> None:
+    """``split_log_outputs`` into idempotent per-batch files under ``out_root``."""
+    split_log_outputs(batch, lambda df, name: SK.write_batch(df, f"{out_root}/{name}", batch_id))
+
+
 def base_log_query(lines: DataFrame, out_root: str, checkpoint: str,
                    trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Entry A: (main query, dirty-output query)."""
