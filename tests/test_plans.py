@@ -50,3 +50,11 @@ def test_create_dimension_tables(spark):
     cols = [f.name for f in spark.table("dimtest.dim_lineitem").schema.fields]
     assert cols[0] == "l_orderkey" and len(cols) == 6
     assert [f.name for f in spark.table("dimtest.dim_customer").schema.fields][0] == "id"
+
+
+def test_json_parsed_once_per_record(spark):
+    # the dirty / start filters sit on parsed fields; the parse must not be
+    # substituted into them (one parse per record in a single-branch query)
+    for q in (C.json_extract_paths, C.displays_explode, C.cdc_normalize):
+        p = _plan(q(spark, SF))
+        assert p.count("parseJson") == 1, (q.__name__, p.count("parseJson"))
