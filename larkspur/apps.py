@@ -127,8 +127,9 @@ def window_demo(spark, source, sink, ckpt, trigger=None, size="20 seconds", dela
     late_root = f"{root.rstrip('/')}/late" if kind == "files" else f"{ckpt}/late-output"
     size_ms = int(spark.sql(f"SELECT unix_millis(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {size})")
                   .first()[0])
+    # arrival order = source offset
     q2 = J.late_split_query(scores, late_root, f"{ckpt}/late", size_ms, delay_ms, lateness_ms,
-                            trigger or {"processingTime": "3 seconds"})
+                            trigger or {"processingTime": "3 seconds"}, order=("rec_id",), order_value="rec_id")
     return [q1, q2]
 
 

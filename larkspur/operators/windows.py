@@ -73,17 +73,22 @@ def bounds_text(sum_last: DataFrame, key: str = "name") -> DataFrame:
 
 def classify_lateness(df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: int,
                       ts: str = "ts_ms", order: Sequence[str] = ("arrival_ms", "seq"),
-                      order_value: str = "arrival_ms", max_rows: int | None = None) -> DataFrame:
+                      order_value: str = "arrival_ms", max_rows: int | None = None,
+                      initial_max_ts: int | None = None) -> DataFrame:
     """WIN5 (batch): ``wm_before`` (watermark seen by each record) and
     ``class`` in {on_time, refire, late} for tumbling windows of
     ``size_ms``.  The running max over arrival order is a segmented global
     scan: per-segment maxima are carried across segments, so no task holds
-    more than one segment."""
+    more than one segment.  ``initial_max_ts`` is the max event time of
+    records that arrived before ``df`` (a micro-batch's carried state)."""
     x = S.assign_segments(df, [], order_value, max_rows)
     x = S.with_running(x, [], [F.col(c) for c in order], F.col(ts), "_maxprev", how="max", inclusive=False)
     x = S.drop_segments(x)
     start = F.floor(F.col(ts) / F.lit(size_ms)).cast("long") * F.lit(size_ms)
-    wm = F.col("_maxprev") - F.lit(delay_ms) - F.lit(1)
+    prev = F.col("_maxprev")
+    if initial_max_ts is not None:
+        prev = F.greatest(prev, F.lit(int(initial_max_ts)))
+    wm = prev - F.lit(delay_ms) - F.lit(1)
     max_ts = F.col("window_start_ms") + F.lit(size_ms - 1)
     cls = (F.when(F.col("wm_before").isNull() | (max_ts > F.col("wm_before")), F.lit(ON_TIME))
            .when(max_ts + F.lit(lateness_ms) <= F.col("wm_before"), F.lit(LATE))

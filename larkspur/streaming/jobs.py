@@ -149,24 +149,22 @@ def window_sum_stream(scores: DataFrame, size: str, delay_ms: int, lateness_ms:
 
 
 def late_split_batch(batch: DataFrame, batch_id: int, state_path: str, out_root: str,
-                     size_ms: int, delay_ms: int, lateness_ms: int) -> None:
-    """WIN5 for one micro-batch: records are classified against the
-    watermark at the start of the batch (max event time of earlier batches
-    minus delay minus 1 ms); late records go to the ``late`` output."""
+                     size_ms: int, delay_ms: int, lateness_ms: int,
+                     order=("arrival_ms", "seq"), order_value: str = "arrival_ms") -> None:
+    """WIN5 for one micro-batch with the per-record watermark rule: a
+    record's watermark is the max event time of everything that arrived
+    before it (earlier batches, carried as a one-row state per batch, and
+    earlier records of this batch in ``order``) minus delay minus 1 ms.
+    Late records go to the ``late`` output.  Batches must follow arrival
+    order (as a topic / file stream does)."""
     spark = batch.sparkSession
     try:
         prev = (spark.read.parquet(state_path).where(F.col("batch_id") < batch_id)
                 .agg(F.max("max_ts")).first()[0])
     except Exception:  # noqa: BLE001 - no state yet
         prev = None
-    wm = None if prev is None else prev - delay_ms - 1
-    start = F.floor(F.col("ts_ms") / F.lit(size_ms)).cast("long") * F.lit(size_ms)
-    max_ts = start + F.lit(size_ms - 1)
-    cls = F.lit(W.ON_TIME) if wm is None else (
-        F.when(max_ts > F.lit(wm), F.lit(W.ON_TIME))
-         .when(max_ts + F.lit(lateness_ms) <= F.lit(wm), F.lit(W.LATE))
-         .otherwise(F.lit(W.REFIRE)))
-    x = batch.withColumn("window_start_ms", start).withColumn("class", cls).persist()
+    x = W.classify_lateness(batch, size_ms, delay_ms, lateness_ms, order=order, order_value=order_value,
+                            initial_max_ts=prev).persist()
     try:
         SK.write_batch(x.where(F.col("class") != W.LATE), f"{out_root}/main", batch_id)
         SK.write_batch(x.where(F.col("class") == W.LATE), f"{out_root}/late", batch_id)
@@ -177,11 +175,12 @@ def late_split_batch(batch: DataFrame, batch_id: int, state_path: str, out_root:
 
 
 def late_split_query(scores: DataFrame, out_root: str, checkpoint: str, size_ms: int, delay_ms: int,
-                     lateness_ms: int, trigger: dict | None = None) -> StreamingQuery:
+                     lateness_ms: int, trigger: dict | None = None, order=("arrival_ms", "seq"),
+                     order_value: str = "arrival_ms") -> StreamingQuery:
     state = f"{checkpoint}/watermark"
     return (scores.writeStream.option("checkpointLocation", f"{checkpoint}/query")
             .foreachBatch(lambda df, bid: late_split_batch(df, bid, state, out_root, size_ms, delay_ms,
-                                                           lateness_ms))
+                                                           lateness_ms, order, order_value))
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
