@@ -102,14 +102,15 @@ def jump_detail(spark, source, sink, ckpt, trigger=None, window_ms=10_000):
 
 
 def base_db(spark, source, sink, ckpt, config_path, trigger=None, dim_schema=None):
-    """Entry B: route change events with the config snapshot at ``config_path``
-    (parquet with ``seq, value`` config envelopes), re-read every batch."""
-    changes = CDC.filter_has_data(read_source(spark, source, CHANGE_SCHEMA))
+    """Entry B: route the normalised envelopes of ``ods_base_db`` (written by
+    ``cdc-ingest``) with the config snapshot at ``config_path`` (parquet with
+    ``seq, value`` config envelopes), re-read every batch."""
+    changes = CDC.filter_has_data(read_source(spark, source, "seq long, value string"))
     kind, _, root = sink.partition(":")
     if kind != "files":
         raise ValueError("base-db writes topic records and dimension logs to files:<root>")
     q = J.routing_query(changes, lambda s: s.read.parquet(config_path), root, f"{ckpt}/route",
-                        trigger or {"processingTime": "3 seconds"}, dim_schema=dim_schema)
+                        trigger or {"processingTime": "3 seconds"}, dim_schema=dim_schema, envelopes=True)
     return [q]
 
 

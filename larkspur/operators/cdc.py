@@ -41,6 +41,19 @@ def normalize_change_events(df: DataFrame, value: str = "value", topic: str | No
              .drop("_cv"))
 
 
+def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
+    """Read normalised envelopes ``{data, operation, dbname, table}`` (the
+    output of CDC1 as JSON text) back into the columns routing expects."""
+    x = J.with_parsed(df, value, "_ev")
+    v = F.col("_ev")
+    return (x.withColumn("data", F.coalesce(F.try_variant_get(v, "$.data", DATA_TYPE),
+                                            F.create_map().cast(DATA_TYPE)))
+             .withColumn("operation", J.path(v, "$.operation", "string"))
+             .withColumn("dbname", J.path(v, "$.dbname", "string"))
+             .withColumn("table", J.path(v, "$.table", "string"))
+             .drop("_ev"))
+
+
 def envelope_json(norm: DataFrame) -> DataFrame:
     """JSN7: encode the normalised envelope as JSON text."""
     rec = F.struct(F.to_variant_object(F.col("data")).alias("data"), "operation", "dbname", "table")

@@ -186,15 +186,18 @@ def late_split_query(scores: DataFrame, out_root: str, checkpoint: str, size_ms:
 
 # ------------------------------------------------------------------ routing
 def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession], DataFrame],
-                out_root: str, order: str = "seq", dim_schema: str | None = None) -> None:
+                out_root: str, order: str = "seq", dim_schema: str | None = None,
+                envelopes: bool = False) -> None:
     """Entry B for one micro-batch: normalise, route with the current config
     snapshot, write topic records and upsert dimensions.  With
-    ``dim_schema`` the dimension tables of the config are created first."""
+    ``dim_schema`` the dimension tables of the config are created first.
+    ``envelopes=True`` reads normalised envelopes (a CDC1 topic) instead of
+    raw change events."""
     spark = batch.sparkSession
     latest = RT.latest_config(RT.config_versions(config(spark)))
     if dim_schema:
         RT.create_dimension_tables(spark, latest, schema=dim_schema)
-    norm = CDC.normalize_change_events(batch)
+    norm = CDC.parse_envelopes(batch) if envelopes else CDC.normalize_change_events(batch)
     routed = RT.tag_by_sink(RT.route_latest(norm, latest)).persist()
     try:
         SK.write_topics(RT.topic_value(routed.where(F.col("stream") == "main")), f"{out_root}/topics", batch_id)
@@ -212,7 +215,7 @@ def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession]
 
 def routing_query(changes: DataFrame, config: Callable[[SparkSession], DataFrame], out_root: str,
                   checkpoint: str, trigger: dict | None = None, order: str = "seq",
-                  dim_schema: str | None = None) -> StreamingQuery:
+                  dim_schema: str | None = None, envelopes: bool = False) -> StreamingQuery:
     return (changes.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: route_batch(df, bid, config, out_root, order, dim_schema))
+            .foreachBatch(lambda df, bid: route_batch(df, bid, config, out_root, order, dim_schema, envelopes))
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -35,13 +35,22 @@ def test_base_log_and_jump_detail_apps(spark, scratch):
     assert jump.count() > 0 and set(jump.columns) >= {"mid", "rec_id", "kind", "value"}
 
 
-def test_cdc_ingest_app(spark, scratch):
+def test_cdc_ingest_and_base_db_apps(spark, scratch):
     feed = C._change_feed(spark, SF).select("seq", "topic", "value")
     _write_chunks(feed, f"{scratch}/cdc", ["seq"], n=2)
     _wait(A.cdc_ingest(spark, f"files:{scratch}/cdc", f"files:{scratch}/ods", f"{scratch}/ck", NOW,
                        tables=["shop.orders"]))
     out = spark.read.parquet(f"{scratch}/ods/ods_base_db")
     assert out.count() == table(spark, SF, "orders").count()
+    # ods_base_db feeds the routing application
+    R.config_feed(table(spark, SF, "orders")).write.parquet(f"{scratch}/config")
+    os.makedirs(f"{scratch}/ods_in")
+    _write_chunks(out.select("seq", "value"), f"{scratch}/ods_in", ["seq"], n=2)
+    _wait(A.base_db(spark, f"files:{scratch}/ods_in", f"files:{scratch}/dwd", f"{scratch}/ck2",
+                    f"{scratch}/config", NOW))
+    topics = spark.read.json(f"{scratch}/dwd/topics").select("topic", "value")
+    exp = C.route_topic_value(spark, SF)
+    assert sorted(map(tuple, topics.collect())) == sorted(map(tuple, exp.collect()))
 
 
 def test_window_demo_app(spark, scratch):
