@@ -77,3 +77,15 @@ def test_login_alert_app(spark, scratch):
     _wait(A.login_alert(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW))
     out = [r.value for r in spark.read.parquet(f"{scratch}/out/login_alert").collect()]
     assert out == ["user_1 failed to log in 3 times in a row at: 2000, 3000, 5000"]
+
+
+def test_unique_visit_app(spark, scratch):
+    lines = R.app_log_lines(table(spark, SF, "events")).select("rec_id", "value")
+    pages = lines.where(~F.col("value").contains('"start":'))
+    _write_chunks(pages, f"{scratch}/pages", ["rec_id"], n=2)
+    _wait(A.unique_visit(spark, f"files:{scratch}/pages", f"files:{scratch}/dwm", f"{scratch}/ck", NOW, ttl_ms=None))
+    got = spark.read.parquet(f"{scratch}/dwm/dwm_unique_visit").select("mid", "day")
+    # arrival = offset order here, so the in-order and exact forms agree
+    from larkspur.operators import visits as V
+    exp = V.unique_visit_exact(C._pages(spark, SF).withColumn("arrival_ms", F.col("rec_id"))).select("mid", "day")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
