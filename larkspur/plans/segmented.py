@@ -77,7 +77,11 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str,
         base = base.withColumn(GLOBAL_KEY, F.lit(0))
     src = base.select(*keys, order_value)
     if frac < 1.0:
-        src = src.sample(withReplacement=False, fraction=frac, seed=seed)
+        # hash-based sample: a pure function of the row, so every branch and
+        # every recomputation (lost executor, retried stage) sees the same
+        # hot-key table whatever the partitioning
+        h = F.xxhash64(*[F.col(k) for k in keys], F.col(order_value), F.lit(seed))
+        src = src.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(frac * (1 << 30))))
     o = F.col(order_value)
     stats = src.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))

@@ -78,3 +78,17 @@ def test_refire_hot_path_equals_default(spark):
     b = W.refire_results(cl, max_rows=7)
     c = C.window_refire(spark, d)
     assert sorted(a.collect()) == sorted(b.collect()) == sorted(c.collect())
+
+
+def test_neighbors_with_hash_sample(spark):
+    # max_rows=200 -> sampled fraction 0.32: the hash-based sample decides hot keys
+    df = _data(spark, n=3000, seed=11)
+    x = S.assign_segments(df, ["k"], "t", max_rows=200)
+    assert x.where("_hot").select("_seg").distinct().count() > 3
+    x = S.with_neighbors(x, ["k"], ["t", "id"], ["id"], n_next=2, n_prev=1)
+    got = {r.id: (r.next_1 and r.next_1.id, r.next_2 and r.next_2.id, r.prev_1 and r.prev_1.id)
+           for r in x.collect()}
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = df.select("id", F.lead("id", 1).over(w).alias("a"), F.lead("id", 2).over(w).alias("b"),
+                    F.lag("id", 1).over(w).alias("c"))
+    assert got == {r.id: (r.a, r.b, r.c) for r in ref.collect()}
