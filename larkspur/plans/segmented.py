@@ -7,7 +7,8 @@ rows becomes a third of the job in one task.
 
 The plan here splits *hot* keys into ordered segments:
 
-1. ``assign_segments`` samples the input, finds keys whose estimated row
+1. ``assign_segments`` takes a hash-based sample of the input (the same
+   rows in every branch and recomputation), finds keys whose estimated row
    count exceeds ``max_rows`` and cuts each such key into segments by
    ranges of a numeric order value (monotone in the ordering).  The hot-key
    table holds at most ``sample rows / (max_rows * fraction)`` rows, so its
@@ -16,8 +17,9 @@ The plan here splits *hot* keys into ordered segments:
    about ``max_rows`` rows of one key.
 3. Segment boundaries are stitched with small per-segment summaries (the
    first / last ``n`` rows, or a segment total) that exist only for hot
-   keys; a window over those summaries (partitioned by key, at most a few
-   thousand rows per key) carries values across segments.
+   keys; a window over those summaries (partitioned by key, one row per
+   segment, i.e. a key's rows / ``max_rows``) carries values across
+   segments.
 
 Any monotone segmentation gives exact results; the statistics only affect
 balance, so sampling is safe.
