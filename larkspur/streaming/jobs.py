@@ -49,11 +49,15 @@ def parse_log_stream(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, dirty.select("rec_id", "value")
 
 
-def repair_is_new_stream(clean: DataFrame, order=("rec_id",)) -> DataFrame:
-    """STA1 (stream): keyed ``transformWithState``, no timers."""
+def repair_is_new_stream(clean: DataFrame, order=("rec_id",), ttl_ms: int | None = None) -> DataFrame:
+    """STA1 (stream): keyed ``transformWithState``, no timers.  State never
+    expires by default (as in the source); ``ttl_ms`` bounds its growth with
+    a processing-time TTL (then drive the query with a processing-time
+    trigger)."""
     schema = _schema(clean.sparkSession, REPAIR_SCHEMA)
+    mode = "None" if ttl_ms is None else "ProcessingTime"
     return clean.groupBy("mid").transformWithState(
-        PR.IsNewRepairProcessor(schema, order=order), schema, "Append", "None")
+        PR.IsNewRepairProcessor(schema, order=order, ttl_ms=ttl_ms), schema, "Append", mode)
 
 
 def split_log_outputs(batch: DataFrame, write: Callable[[DataFrame, str], None]) -> None:
