@@ -28,7 +28,7 @@ from .sketch import build, estimate
 from .words import U, mix, rolling, short_grams, sliding_min, text_slices, windows, word_hashes
 
 WIDTH, GRAM, DEPTH, LOG2_WIDTH = 50, 8, 2, 25
-SLICE = 8 << 20
+SLICE = 4 << 20
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -92,20 +92,29 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
                 new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
                 first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
                 one = new | np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])
-                h1, h2, text, pos, doc, sure = (x[one] for x in (h1, h2, text, pos, doc, doc > first))
-                spread = mix(doc.astype(U) * U(0x9E3779B97F4A7C15) + pos.astype(U))
+                h1, h2, text, pos, doc, sure = (x[one] for x in (h1, h2, text, pos.astype(np.int32), doc, doc > first))
+                # Settled repeats: one row per document, spread by its own hash.  The others: one row per window.
+                by = np.argsort(text[sure], kind="stable")
+                gone, gone_pos = text[sure][by], pos[sure][by]
+                cuts = np.flatnonzero(np.concatenate([[len(gone) > 0], gone[1:] != gone[:-1]])) if len(gone) else []
+                ends = np.append(cuts[1:], len(gone)) if len(gone) else []
+                own = gone[cuts] if len(gone) else np.zeros(0, np.int64)
+                who = np.concatenate([text[~sure], own])
+                spread = mix(ids[lo:hi][own].astype(U) * U(0x9E3779B97F4A7C15) + own.astype(U))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(doc, pa.int64()), "tkey": pa.array(tkeys[lo:hi][text], pa.int64()),
-                    "pos": pa.array(pos.astype(np.int32)), "sure": pa.array(sure),
-                    "h1": pa.array(np.where(sure, spread, h1).view(np.int64)),
-                    "h2": pa.array(np.where(sure, U(0), h2).view(np.int64))})
-
-    found = rows.mapInArrow(candidates, "doc_id long, tkey long, pos int, sure boolean, h1 long, h2 long")
-    by_window = (Window.partitionBy("h1", "h2", "sure").orderBy("doc_id")
+                    "doc_id": pa.array(ids[lo:hi][who], pa.int64()), "tkey": pa.array(tkeys[lo:hi][who], pa.int64()),
+                    "pos": pa.array([*pos[~sure].tolist(), *[None] * len(own)], pa.int32()),
+                    "settled": pa.array([*[None] * int((~sure).sum()),
+                                         *(gone_pos[a:b].tobytes() for a, b in zip(cuts, ends))], pa.binary()),
+                    "h1": pa.array(np.concatenate([h1[~sure], spread]).view(np.int64)),
+                    "h2": pa.array(np.concatenate([h2[~sure], np.zeros(len(own), U)]).view(np.int64))})
+
+    found = rows.mapInArrow(candidates, "doc_id long, tkey long, pos int, settled binary, h1 long, h2 long")
+    by_window = (Window.partitionBy("h1", "h2", F.isnull("settled")).orderBy("doc_id")
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     removed = (found.withColumn("lowest", F.first("doc_id").over(by_window))
-               .where("sure or doc_id > lowest")
-               .groupBy("doc_id", "tkey").agg(F.collect_list("pos").alias("pos")))
+               .where("settled is not null or doc_id > lowest")
+               .groupBy("doc_id", "tkey").agg(F.collect_list("pos").alias("pos"), F.collect_list("settled").alias("settled")))
 
     def finish_clean(batches):
         for batch in batches:
@@ -126,7 +135,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
 
     def cut_words(batches):
         for batch in batches:
-            pend, pos = batch.column("text"), batch.column("pos")
+            pend, pos, settled = (batch.column(c) for c in ("text", "pos", "settled"))
             lost = np.zeros(len(pend), np.int64)
             sha, kept = batch.column("kept_sha256").to_pylist(), batch.column("kept_text").to_pylist()
             for lo, hi, h, ptr in text_word_slices(pend):
@@ -136,7 +145,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
                     words = pend[i].as_py().encode().split()
                     if pos[i].is_valid:
                         hs = h[ptr[i - lo]:ptr[i - lo + 1]]
-                        drop = covered(hs, np.asarray(pos[i].values.to_numpy(), dtype=np.int64), width)
+                        drop = covered(hs, starts(pos[i], settled[i]), width)
                         lost[i] = int(drop.sum())
                         words = [w for w, d in zip(words, drop) if not d]
                     out = b" ".join(words)
@@ -148,7 +157,13 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
     clean = rows.mapInArrow(finish_clean, "doc_id long, tkey long, n_words long, text string, "
                                           "kept_sha256 string, kept_text string")
     return (clean.join(removed, ["doc_id", "tkey"], "left")
-            .select("doc_id", "n_words", "text", "kept_sha256", "kept_text", "pos").mapInArrow(cut_words, OUT))
+            .select("doc_id", "n_words", "text", "kept_sha256", "kept_text", "pos", "settled").mapInArrow(cut_words, OUT))
+
+
+def starts(pos: pa.ListScalar, settled: pa.ListScalar) -> np.ndarray:
+    """First words of a document's removed windows, from both forms of rows."""
+    return np.concatenate([np.asarray(pos.values, dtype=np.int64),
+                           *(np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in settled.values)])
 
 
 def text_word_slices(col: pa.Array):

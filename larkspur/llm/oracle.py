@@ -31,7 +31,58 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_r
   sha256(CASE WHEN lost.n IS NULL THEN array_to_string(w.w, ' ') ELSE coalesce(array_to_string(list_filter(w.w, lambda x, i: NOT list_contains(lost.gone, i)), ' '), '') END) AS kept_sha256
 FROM w LEFT JOIN lost ON lost.doc_id = w.doc_id"""
 
+_AFTER = "CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END"
+OP2 = rf"""WITH a AS (SELECT page_id, url, {_AFTER} AS a FROM pages),
+h AS (SELECT *, {_LOWER.format("regexp_extract(a, '^[^/?#]*')")} AS host, regexp_replace(a, '^[^/?#]*', '') AS rest FROM a),
+p AS (SELECT *, regexp_extract(rest, '^[^?#]*') AS path, host || rest AS subject FROM h),
+r(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+best AS (SELECT p.page_id, p.url, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS v
+  FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY ALL),
+q AS (SELECT p.*, best.rule, best.v, CASE WHEN regexp_matches(subject, '^[^?#]*\.html(#|$)') THEN 'document'
+  WHEN regexp_matches(subject, '[?&]page=[0-9]+([&#]|$)') THEN 'paged' WHEN regexp_matches(subject, '[?&]ref=[^&#]') THEN 'referral' END AS other
+  FROM p LEFT JOIN best ON p.page_id IS NOT DISTINCT FROM best.page_id AND p.url IS NOT DISTINCT FROM best.url)
+SELECT page_id, host, path, rule, CASE WHEN position('://' IN coalesce(url, '')) = 0 THEN 'block' WHEN rule IS NOT NULL THEN v
+  WHEN other IN ('paged', 'referral') THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN other END AS pattern FROM q"""
+
+_HEX = "('0x' || substr(hex || '0', (i * 5) // 4 + 1, 3))::INTEGER"
+OP6 = f"""WITH s AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM s)
+SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({_HEX} >> (7 - (i * 5) % 4)::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f"""
+
+OP4 = rf"""WITH d AS (SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size,
+  ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT AS u FROM {{docs}}),
+t AS (SELECT source, sum(size)::BIGINT AS s FROM d GROUP BY source),
+w AS (SELECT *, 2 * s AS cap, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS w FROM t),
+l AS (SELECT *, sum(s) OVER () * 150 AS total, coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
+  sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_ FROM w WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
+v AS (SELECT *, max((total / 100 - full_) / left_) OVER () AS level FROM l),
+a AS (SELECT source, s, least(cap::DOUBLE, level * w) AS target FROM v),
+b AS (SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS certain FROM a),
+c AS (SELECT *, target - certain * s AS rest, CASE WHEN s > 0 THEN (target - certain * s) / s ELSE 0 END AS p FROM b),
+x AS (SELECT d.*, c.s, c.target, c.certain, c.rest, c.p, sum(size) OVER (PARTITION BY d.source ORDER BY u, size, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, s AS source_size, target, ((certain + CASE WHEN p > 0 AND upto - size / 2 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM x"""
+
+#: Exact links by comparing all vectors of a label.
+OP9 = f"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n
+  FROM embeddings),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id
+  AND list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.98),
+{_COMPONENTS},
+c AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(comp.component, v.vec_id) AS component_id,
+  v.vec_id = coalesce(comp.component, v.vec_id) AS kept FROM v LEFT JOIN c ON c.a = v.vec_id LEFT JOIN comp ON comp.id = v.vec_id"""
+
 SQL = {
+    "op2_url_filter": OP2,
+    "op4_source_mix": OP4.format(docs="documents"),
+    "op6_warc": OP6,
+    "op9_embedding_dedup": OP9,
     "op3_ngram_jaccard": OP3.format(docs="documents"),
     "op10_substring_dedup": OP10,
 }

@@ -2,18 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import countmin_dedup, ngram_jaccard
+from . import (countmin_dedup, cross_polytope, langid, ngram_jaccard, pareto_mix, splitters, string_tiling, surrogates,
+               url_filter, warc)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = pareto_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitters.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "n_entities", "entity_types")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return countmin_dedup.dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_url_filter, op3_ngram_jaccard, op4_source_mix, op5_sharding, op6_warc, op7_surrogates,
+    op8_decontamination, op9_embedding_dedup, op10_substring_dedup)}

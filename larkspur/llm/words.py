@@ -11,6 +11,8 @@ import pyarrow as pa
 U = np.uint64
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[9, 10, 11, 12, 13, 32]] = True
+#: Separators when punctuation does not count either: all ASCII but letters and digits.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 SLICE_BYTES = 4 << 20
@@ -57,11 +59,12 @@ def text_slices(col: pa.Array, limit: int = SLICE_BYTES):
         lo = hi
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = False,
+                separators: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, in order, and the index of each text's first word (length texts + 1)."""
     if lower:
         data = _LOWER[data]
-    inside = ~_SEP[data]
+    inside = ~separators[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = off[:-1][(off[:-1] < off[1:])]
