@@ -132,6 +132,6 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, per_range
 
 def digest(docs: DataFrame, **options) -> DataFrame:
     """One row per record: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    out = shard(docs.select("doc_id", "text"), **options)
-    return out.select("doc_id", "size", F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
-                      "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    rows = docs.select("doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))  # before the texts are let go
+    return shard(rows, **options).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                         F.lit(None).cast("int").alias("grown_shard"))
