@@ -40,7 +40,9 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def train(payloads: DataFrame, records: int = SAMPLE_RECORDS, most: int = SAMPLE_BYTES, size: int = DICT_BYTES) -> bytes:
-    """Dictionary of a bounded sample of the column ``payload``; empty if there is nothing to learn from."""
+    """Dictionary of a bounded sample of the distinct values of ``payload``; empty if there is nothing to learn from.
+
+    The sample is picked by hash from slim rows; only its own payloads move."""
     def run(batches):
         samples, total = [], 0
         for batch in batches:
@@ -55,8 +57,10 @@ def train(payloads: DataFrame, records: int = SAMPLE_RECORDS, most: int = SAMPLE
                 d = b"".join(samples)[:size]
             yield pa.RecordBatch.from_pydict({"d": pa.array([d], pa.binary())})
 
-    sample = payloads.orderBy(F.xxhash64("payload"), F.octet_length("payload")).limit(records).coalesce(1)
-    rows = sample.select("payload").mapInArrow(run, "d binary").collect()
+    h = F.xxhash64("payload")
+    picked = [r[0] for r in payloads.select(h.alias("h")).distinct().orderBy("h").limit(records).collect()]
+    sample = payloads.where(h.isin(picked)).groupBy(h.alias("h")).agg(F.first("payload").alias("payload"))
+    rows = sample.select("payload").coalesce(1).sortWithinPartitions(F.xxhash64("payload")).mapInArrow(run, "d binary").collect()
     return bytes(rows[0]["d"]) if rows else b""
 
 
@@ -64,10 +68,14 @@ def _dictionary(raw: bytes):
     return zstd.ZstdCompressionDict(raw) if raw else None
 
 
+def _payload():
+    return F.coalesce(F.col("html"), F.lit("")).cast("binary")
+
+
 def plan(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, payload, digest hex, first): first is the smallest page_id with the payload."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
-                        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
+                        _payload().alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
     first = rows.groupBy("sha").agg(F.min("page_id").alias("first"))
     return rows.join(first, "sha")
@@ -98,8 +106,8 @@ def record(page_id, url, payload: bytes, digest: str, first, response: bool) ->
 def write(pages: DataFrame, path: str, level: int = LEVEL) -> DataFrame:
     """Write the archives under ``path`` (a folder all executors share); rows (archive, records, bytes), already
     written."""
+    raw = train(pages.select(_payload().alias("payload")))
     planned = plan(pages)
-    raw = train(planned.where("page_id <=> first").select("payload"))
 
     def run(batches):
         out, fs, n, size = None, None, 0, 0
