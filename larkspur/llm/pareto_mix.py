@@ -7,7 +7,7 @@ inclusion probability.  Every document draws a uniform u from its id and is rank
 inclusion odds, u / (1 - u) : p / (1 - p); the smallest are taken until the source's remaining words are met, the
 document across the line only if that comes nearer to the target.  Reruns draw the same numbers.
 
-No source is gathered into one task: ranks are cut into ``BUCKETS`` ranges of u, whose words are summed map-side; only
+No source is gathered into one task: ranks are cut into 2**BUCKET_BITS ranges of u, whose words are summed map-side; only
 the one range of each source that crosses the line is ordered.
 
 Results for odd input: null or empty texts have size 0 and take nothing; a null source is a source (last in order);
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import cut
 
 WEIGHTS, SHARE_PERCENT, MOST = (3, 1, 2), 150, 2
-BUCKETS = 1 << 14
+BUCKET_BITS = 12
 SEED = "mix-1"
 _BITS = 52
 
@@ -63,7 +63,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_percent: int = SHARE_PERCENT, mo
               .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
               .withColumn("p", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)))
     # Within a source p is one number, so the Pareto rank rises with u: ranges of u are ranges of rank.
-    bucket = F.shiftright("__u", _BITS - 14)
+    bucket = F.shiftright("__u", _BITS - BUCKET_BITS)
     sums = slim.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = (sums.withColumn("upto", F.sum("words").over(run))
