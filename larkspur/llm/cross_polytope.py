@@ -26,7 +26,9 @@ from .common import components, cut
 from .words import U, mix
 
 THRESHOLD = 0.98
-TABLES, FUNCTIONS, PROBES, TILE = 10, 2, 3, 512
+TABLES, FUNCTIONS, PROBES, TILE = 6, 2, 3, 512
+#: Buckets of up to so many vectors are compared many at a time.
+SMALL = 32
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -156,6 +158,51 @@ def _tile(rows: list[tuple], bucket: int, threshold: float):
     return list(counts.items()), links
 
 
+def _keys(part: pa.Table) -> np.ndarray:
+    return np.stack([part.column(c).to_numpy().astype(np.int64) for c in ("bucket", "x", "y")], axis=1)
+
+
+def _whole_tiles(part: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The rows of complete tiles, and those of the last one, which may go on."""
+    keys = _keys(part)
+    last = np.flatnonzero((keys != keys[-1]).any(axis=1))
+    n = int(last[-1]) + 1 if len(last) else 0
+    return part.slice(0, n), part.slice(n)
+
+
+def _tiles(part: pa.Table, threshold: float):
+    """(counts, links) of sorted tiles: small ones of one block many at a time, by their number of rows."""
+    keys = _keys(part)
+    head = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+    size = np.diff(np.append(head, len(keys)))
+    v, b = part.column("v").combine_chunks(), part.column("b").combine_chunks()
+    length = np.diff(np.asarray(v.offsets, dtype=np.int64))
+    ids, side, w = (part.column(c).to_numpy() for c in ("id", "side", "w"))
+    equal = len(set(length.tolist())) == 1
+    small = (size > 1) & (size <= SMALL) & equal & (side[head] == 2)
+    for g in np.flatnonzero((size > 1) & ~small):
+        rows = [(int(ids[i]), int(side[i]), int(w[i]), np.asarray(v[i].values, dtype=np.float64), np.asarray(b[i].values, dtype=np.int64))
+                for i in range(head[g], head[g] + size[g])]
+        yield _tile(rows, int(keys[head[g], 0]), threshold)
+    if not small.any():
+        return
+    x = np.asarray(v.flatten(), dtype=np.float64).reshape(len(v), -1)
+    bs = np.asarray(b.flatten(), dtype=np.int64).reshape(len(b), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    for s in np.unique(size[small]):
+        starts, upper = head[small & (size == s)], ~np.tri(int(s), dtype=bool)
+        step = max(1, (1 << 20) // int(s * s + s * x.shape[1]))
+        for lo in range(0, len(starts), step):
+            at = starts[lo:lo + step, None] + np.arange(s)
+            g, i, j = np.nonzero((x[at] @ x[at].transpose(0, 2, 1) >= threshold) & upper)
+            i, j = at[g, i], at[g, j]
+            same = (bs[i][:, :, None] == bs[j][:, None, :]).any(axis=2)
+            first = np.where(same, bs[i], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == keys[i, 0]
+            i, j = i[first], j[first]
+            yield ([*zip(ids[i].tolist(), w[j].tolist()), *zip(ids[j].tolist(), w[i].tolist())], list(zip(ids[i].tolist(), ids[j].tolist())))
+
+
 def _joined(classes: DataFrame, threshold: float, tables: int, functions: int, probes: int, tile: int) -> DataFrame:
     """Rows (id, n, other): link counts of classes in one bucket tile, and (n null) links (id, other)."""
     hashed = cut(_hash_rows(classes, tables, functions, probes))
@@ -174,27 +221,21 @@ def _joined(classes: DataFrame, threshold: float, tables: int, functions: int, p
     rows = (rows.join(full, "id").repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
             .select("bucket", "x", "y", "id", "side", "w", "v", "b"))
 
-    def run(batches):
-        at, held = None, []
-
-        def flush():
-            counts, links = _tile(held, at[0], threshold)
-            return pa.RecordBatch.from_pydict({
-                "id": pa.array([a for a, _ in counts] + [a for a, _ in links], pa.int64()),
-                "n": pa.array([n for _, n in counts] + [None] * len(links), pa.int64()),
-                "other": pa.array([None] * len(counts) + [b for _, b in links], pa.int64())})
+    def batch_of(counts, links):
+        return pa.RecordBatch.from_pydict({
+            "id": pa.array([a for a, _ in counts] + [a for a, _ in links], pa.int64()),
+            "n": pa.array([n for _, n in counts] + [None] * len(links), pa.int64()),
+            "other": pa.array([None] * len(counts) + [b for _, b in links], pa.int64())})
 
+    def run(batches):
+        rest = None
         for batch in batches:
-            ids, side, w = (batch.column(c).to_pylist() for c in ("id", "side", "w"))
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "x", "y"))))
-            for k, *r, v, b in zip(keys, ids, side, w, batch.column("v"), batch.column("b")):
-                if k != at:
-                    if len(held) > 1:
-                        yield flush()
-                    at, held = k, []
-                held.append((*r, np.asarray(v.values, dtype=np.float64), np.asarray(b.values, dtype=np.int64)))
-        if len(held) > 1:
-            yield flush()
+            part = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            done, rest = _whole_tiles(part)
+            if done.num_rows:
+                yield from (batch_of(*got) for got in _tiles(done, threshold))
+        if rest is not None and rest.num_rows:
+            yield from (batch_of(*got) for got in _tiles(rest, threshold))
 
     return rows.mapInArrow(run, "id long, n long, other long")
 
