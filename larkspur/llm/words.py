@@ -15,7 +15,7 @@ _SEP[[9, 10, 11, 12, 13, 32]] = True
 PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -61,7 +61,20 @@ def text_slices(col: pa.Array, limit: int = SLICE_BYTES):
 
 def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = False,
                 separators: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, in order, and the index of each text's first word (length texts + 1)."""
+    """Hash of every word, in order, and the index of each text's first word (length texts + 1).
+
+    Temporary arrays, several times the text's size, are made for about half a MB of text at a time."""
+    hashes, ptr, lo = [np.zeros(0, U)], [np.zeros(1, np.int64)], 0
+    while lo < len(off) - 1:
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + (1 << 19), side="right")) - 1)
+        h, p = _word_hashes(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], lower, separators)
+        hashes.append(h)
+        ptr.append(p[1:] + ptr[-1][-1])
+        lo = hi
+    return np.concatenate(hashes), np.concatenate(ptr)
+
+
+def _word_hashes(data: np.ndarray, off: np.ndarray, lower: bool, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if lower:
         data = _LOWER[data]
     inside = ~separators[data]
