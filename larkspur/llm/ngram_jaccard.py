@@ -31,7 +31,7 @@ from .words import U, mix, short_grams, stream, text_slices, windows, word_hashe
 
 SHINGLE, PERCENT = 4, 85
 HOT, TILE = 64, 256
-LOG2_WIDTH = 21
+LOG2_WIDTH, MEMBER_BITS = 21, 23
 TOKEN_BITS = 60
 
 
@@ -162,7 +162,17 @@ def _bitmap_filter(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Rows (id, arr): the sorted shingles of the wanted documents (id, k1)."""
+    """Rows (id, arr): the sorted shingles of the wanted documents (id, k1).
+
+    A membership sketch of fixed size first drops, where they are read, the texts of documents that are not wanted; the
+    join decides about the few others, so it moves little more text than it needs."""
+    members = docs.sparkSession.sparkContext.broadcast(build(
+        wanted.select("id"), lambda batch: [batch.column("id").to_numpy().view(U)], 1, MEMBER_BITS, 1))
+
+    def may_want(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(estimate(members.value, batch.column("id").to_numpy().view(U)) > 0))
+
     def run(batches):
         for batch in batches:
             k1 = batch.column("k1").to_pylist()
@@ -173,8 +183,8 @@ def _arrays(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"id": pa.array([ids[lo + i] for i in hit], pa.int64()),
                                                   "arr": pa.array([sets[i].tobytes() for i in hit], pa.binary())})
 
-    return (docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-            .join(wanted, "id").mapInArrow(run, "id long, arr binary"))
+    maybe = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
+    return maybe.mapInArrow(may_want, "id long, text string").join(wanted, "id").mapInArrow(run, "id long, arr binary")
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -322,7 +332,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, h
     pairs = (pairs.join(info.toDF("a", "na", "bits_a"), "a").join(info.toDF("b", "nb", "bits_b"), "b"))
     pairs = cut(_bitmap_filter(pairs.select("a", "b", "na", "nb", "bits_a", "bits_b"), percent))
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    arrays = _arrays(docs, ends.join(classes.select("id", "k1"), "id"), k)
+    arrays = _arrays(docs, cut(ends.join(classes.select("id", "k1"), "id")), k)
     links = cut(_verify(pairs, arrays, percent).distinct())
     if not many.isEmpty():
         links = links.unionByName(_hot_links(many.select("token", "id"), links, classes, docs, k, percent, tile))
