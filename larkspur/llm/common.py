@@ -16,6 +16,19 @@ def shared_dir(spark) -> str:
     return root.rstrip("/")
 
 
+#: Rows in one Arrow batch for operators on whole texts: a batch's texts stand in memory several times over, in the JVM
+#: and in every Python worker, so the default of 10,000 rows costs an executor hundreds of MB.
+TEXT_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``TEXT_ROWS`` rows (a smaller setting stays)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there: cuts lineage, survives lost executors."""
     spark = df.sparkSession

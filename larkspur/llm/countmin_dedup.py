@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import small_batches
 from .sketch import build, estimate
 from .words import U, mix, rolling, short_grams, sliding_min, text_slices, windows, word_hashes
 
@@ -53,7 +54,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
     Without ``texts`` kept_text is null, which spares moving the texts of documents that keep every word."""
     spark = docs.sparkSession
     gram = min(gram, width)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("text").alias("tkey"))
 
     def keys_of(batch):

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from .common import small_batches
 from .words import U
 
 TOP = 300
@@ -105,12 +106,12 @@ def train(labelled: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
                     got = sums.setdefault(lang, {})
                     for a, b in zip(g.tolist(), n.tolist()):
                         got[a] = got.get(a, 0) + b
-                    if len(got) > 1 << 17:
+                    if len(got) > 1 << 16:
                         yield flush(lang)
         for lang in list(sums):
             yield flush(lang)
 
-    counts = (labelled.where("text is not null and lang is not null").select("text", "lang")
+    counts = (small_batches(labelled).where("text is not null and lang is not null").select("text", "lang")
               .mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     by_lang = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counts.withColumn("r", F.row_number().over(by_lang)).where(F.col("r") <= top)
@@ -123,6 +124,7 @@ def train(labelled: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (its columns ``keep``, all by default) with lang_pred and score (1: the profile itself, 0: no n-gram in
     common)."""
+    docs = small_batches(docs)
     keep = docs.columns if keep is None else keep
     langs = list(profiles)
     known = np.unique(np.concatenate([np.zeros(0, U), *profiles.values()]))

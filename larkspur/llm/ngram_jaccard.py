@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .sketch import build, estimate
-from .common import components, cut
+from .common import components, cut, small_batches
 from .words import U, mix, short_grams, stream, text_slices, windows, word_hashes
 
 SHINGLE, PERCENT = 4, 85
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, h
                     log2_width: int = LOG2_WIDTH) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id): component_id is the smallest doc_id reachable by links."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     prof = cut(profiles(docs, k))
     classes = cut(prof.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n")
                   .agg(F.min("doc_id").alias("id"), F.first("bits").alias("bits")))

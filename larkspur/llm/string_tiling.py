@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import small_batches
 from .words import PUNCTUATION, U, rolling, text_slices, windows, word_hashes
 
 K, COVERAGE = 5, 0.5
@@ -131,7 +132,7 @@ def _block(docs: DataFrame, items: list[tuple[int | None, str]], k: int, coverag
                     list(zip(*rows)) or [[]] * 6, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()))],
                     names=["doc_id", "item_id", "matched_words", "item_words", "tiles", "coverage"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
 
 
 def blocks(bench: DataFrame, most_words: int = BLOCK_WORDS, most_bytes: int = BLOCK_BYTES):
