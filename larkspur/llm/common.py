@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def shared_dir(spark) -> str:
@@ -37,32 +38,53 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _signature(edges: DataFrame):
-    return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+def _stars(batches):
+    """Union-find over the edges of one partition, a batch at a time: the same connectivity with an edge a node."""
+    for batch in batches:
+        parent: dict[int, int] = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = find(x), find(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+        got = [(find(v), v) for v in sorted(parent)]
+        got = [(r, v) for r, v in got if r != v]
+        yield pa.RecordBatch.from_pydict({"a": pa.array([r for r, _ in got], pa.int64()),
+                                          "b": pa.array([v for _, v in got], pa.int64())})
+
+
+def _settle(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, contracted in their partitions and cut, with a signature taken on the way."""
+    seen = Observation()
+    out = cut(edges.mapInArrow(_stars, "a long, b long")
+              .observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")))
+    return out, (seen.get["n"], seen.get["x"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (id, component), component the smallest id reached.
 
-    Alternating large-star / small-star rounds: every round is a partial aggregate for the smallest neighbour and an
-    equi-join (which adaptive execution can split for a hub), so no task holds a component.  Ids without an edge do
-    not appear; self loops and repeated edges are ignored."""
-    e = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    before = _signature(e)
+    The smallest id of a component, and ids without an edge, do not appear: join from the left and take the id itself.
+    Alternating large-star / small-star rounds: every round is twice a partial aggregate for the smallest neighbour and
+    an equi-join (which adaptive execution can split for a hub), so no task holds a component.  Self loops and repeated
+    edges are ignored."""
+    e, before = _settle(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     while before[0]:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where("v > u")
-                 .select(F.col("m").alias("a"), F.col("v").alias("b")).distinct())
+        large = both.join(low, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         low2 = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low2, "b")
-        nxt = (small.select(F.col("m").alias("a"), F.col("b"))
-               .unionByName(small.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct())
-        e = cut(nxt)
-        after = _signature(e)
+        e, after = _settle(small.select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b").alias("b")), F.struct(
+            F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").where("a <> b"))
         if after == before:
             break
         before = after
-    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component")).unionByName(
-        e.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())
+    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))

@@ -248,14 +248,13 @@ def _tile_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _hot_links(hot: DataFrame, links: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int,
+def _hot_links(hot: DataFrame, comp: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int,
                tile: int) -> DataFrame:
-    """Links among members (token, id) of hot shingles that the links so far do not already connect."""
+    """Links among members (token, id) of hot shingles that the components so far do not already connect."""
     lead = hot.groupBy("token").agg(F.min("id").alias("lead"))
     family = components(hot.join(lead, "token").select(F.col("id").alias("a"), F.col("lead").alias("b")))
-    comp = components(links)
-    member = (family.select("id", F.col("component").alias("family")).join(comp, "id", "left")
-              .select("id", "family", F.coalesce("component", "id").alias("comp")))
+    member = (hot.select("id").distinct().join(family.withColumnRenamed("component", "family"), "id", "left")
+              .join(comp, "id", "left").select("id", F.coalesce("family", "id").alias("family"), F.coalesce("component", "id").alias("comp")))
     member = cut(member.join(classes.select("id", "k1", "n", "bits"), "id"))
     sizes = member.groupBy("family", "comp").agg(F.count("*").alias("c"))
     main = sizes.groupBy("family").agg(F.max(F.struct("c", F.col("comp"))).alias("m"), F.sum("c").alias("total")).where("m.c < total")
@@ -333,10 +332,12 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, h
     pairs = cut(_bitmap_filter(pairs.select("a", "b", "na", "nb", "bits_a", "bits_b"), percent))
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     arrays = _arrays(docs, cut(ends.join(classes.select("id", "k1"), "id")), k)
-    links = cut(_verify(pairs, arrays, percent).distinct())
+    links = _verify(pairs, arrays, percent)
+    comp = cut(components(links))
     if not many.isEmpty():
-        links = links.unionByName(_hot_links(many.select("token", "id"), links, classes, docs, k, percent, tile))
-    comp = components(links)
+        more = cut(_hot_links(many.select("token", "id"), comp, classes, docs, k, percent, tile))
+        if not more.isEmpty():
+            comp = components(comp.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(more))
     named = classes.select("k1", "k2", "id").join(comp, "id", "left").select(
         "k1", "k2", F.coalesce("component", "id").alias("comp"))
     return (prof.join(named, ["k1", "k2"], "left")
