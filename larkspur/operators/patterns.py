@@ -31,7 +31,7 @@ def bounce(pages: DataFrame, window_ms: int = 10_000, key: str = "mid",
     bounce.  Returns every emitted entry with ``kind`` and ``next_ts``."""
     e = entry if entry is not None else bounce_entry(pages)
     x = pages.withColumn("_entry", e)
-    x = S.assign_segments(x, [key], ts, max_rows)
+    x = S.assign_segments(x, [key], [ts, tie], max_rows)
     x = S.with_neighbors(x, [key], [ts, tie], [ts, "_entry"], n_next=1)
     n = F.col("next_1")
     gap = n[ts] - F.col(ts)
@@ -72,7 +72,7 @@ def strict_times(df: DataFrame, cond: Column, n: int, key: str, ts: str, tie: st
     with ``e1..en`` structs of ``(ts, tie, *payload)``."""
     cols = [ts, tie, *payload]
     x = df.withColumn("_c", cond)
-    x = S.assign_segments(x, [key], ts, max_rows)
+    x = S.assign_segments(x, [key], [ts, tie], max_rows)
     x = S.with_neighbors(x, [key], [ts, tie], cols + ["_c"], n_next=n - 1)
     ok = F.col("_c")
     for i in range(1, n):
@@ -92,7 +92,7 @@ def strict_runs(df: DataFrame, cond: Column, key: str, ts: str, tie: str,
     matching events grow together, so their difference identifies the run:
     one segmented pass, then a partial aggregate per (key, run)."""
     x = df.withColumn("_c", F.coalesce(cond, F.lit(False)))
-    x = S.assign_segments(x, [key], ts, max_rows)
+    x = S.assign_segments(x, [key], [ts, tie], max_rows)
     x = S.with_running(x, [key], [ts, tie], aggs=[(F.lit(1).cast("long"), "_n_all", "sum"),
                                                  (F.col("_c").cast("long"), "_n_c", "sum")])
     runs = (x.where(F.col("_c")).withColumn("_run", F.col("_n_all") - F.col("_n_c"))

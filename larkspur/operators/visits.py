@@ -36,7 +36,7 @@ def unique_visit_exact(pages: DataFrame, key: str = "mid", order: Sequence[str]
     day of the previous entry of the key in arrival order (the stored day is
     always the last entry's day).  Runs on the segmented plan."""
     e = uv_entries(pages)
-    x = S.assign_segments(e, [key], order_value, max_rows)
+    x = S.assign_segments(e, [key], list(order), max_rows)
     x = S.with_neighbors(x, [key], list(order), ["day"], n_prev=1)
     keep = F.col("prev_1").isNull() | (F.col("prev_1.day") != F.col("day"))
     return S.drop_segments(x.where(keep)).select(key, "day", *payload)

@@ -81,7 +81,7 @@ def classify_lateness(df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: i
     scan: per-segment maxima are carried across segments, so no task holds
     more than one segment.  ``initial_max_ts`` is the max event time of
     records that arrived before ``df`` (a micro-batch's carried state)."""
-    x = S.assign_segments(df, [], order_value, max_rows)
+    x = S.assign_segments(df, [], list(order), max_rows)
     x = S.with_running(x, [], [F.col(c) for c in order], F.col(ts), "_maxprev", how="max", inclusive=False)
     x = S.drop_segments(x)
     start = F.floor(F.col(ts) / F.lit(size_ms)).cast("long") * F.lit(size_ms)
@@ -97,34 +97,24 @@ def classify_lateness(df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: i
              .withColumn("class", cls).drop("_maxprev"))
 
 
-# Offset that orders every re-fire record after every on-time record of a
-# window while keeping the segment order value monotone (|arrival| < 2^50 ms).
-_CLASS_SHIFT = 1 << 50
-
-
 def refire_results(classified: DataFrame, key: str = "name", value: str = "score",
-                   order: Sequence[str] = ("arrival_ms", "seq"), order_value: str = "arrival_ms",
-                   max_rows: int | None = None, records: DataFrame | None = None) -> DataFrame:
+                   order: Sequence[str] = ("arrival_ms", "seq"),
+                   max_rows: int | None = None) -> DataFrame:
     """WIN4 (batch): the firing sequence of every window.  ``fire_no = 0`` is
     the on-time firing (sum of on-time records); each allowed-late record
     re-fires with the running result.  Late records are excluded.
 
     One keyed running pass per window over on-time records first, then
     re-fire records in arrival order: the running sum at a re-fire record is
-    its firing result, so no join back to the on-time totals is needed.
-    ``records`` (the unclassified input with ``window_start_ms``) lets the
-    hot-key sample skip recomputing the classification."""
+    its firing result, so no join back to the on-time totals is needed."""
     g = [key, "window_start_ms"]
     on_time = (classified.where(F.col("class") == ON_TIME).groupBy(*g)
                .agg(F.sum(F.col(value).cast("bigint")).alias("score_sum"),
                     F.count(F.lit(1)).alias("n_rows")))
     first = on_time.select(*g, F.lit(0).cast("long").alias("fire_no"), "score_sum", "n_rows")
     is_re = (F.col("class") == REFIRE).cast("long")
-    r = (classified.where(F.col("class") != LATE)
-         .withColumn("_re", is_re)
-         .withColumn("_ov", F.col("_re") * F.lit(_CLASS_SHIFT) + F.col(order_value)))
-    stats = None if records is None else records.withColumn("_ov", F.col(order_value))
-    r = S.assign_segments(r, g, "_ov", max_rows, stats_from=stats)
+    r = classified.where(F.col("class") != LATE).withColumn("_re", is_re)
+    r = S.assign_segments(r, g, ["_re", *order], max_rows)
     o = [F.col("_re")] + [F.col(c) for c in order]
     r = S.with_running(r, g, o, aggs=[(F.col(value).cast("bigint"), "score_sum", "sum"),
                                       (F.lit(1).cast("long"), "n_rows", "sum"),

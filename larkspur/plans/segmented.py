@@ -10,7 +10,7 @@ The plan here splits *hot* keys into ordered segments:
 1. ``assign_segments`` takes a hash-based sample of the input (the same
    rows in every branch and recomputation), finds keys whose estimated row
    count exceeds ``max_rows`` and cuts each such key into segments by
-   ranges of a numeric order value (monotone in the ordering).  The hot-key
+   quantiles of the sampled order tuples.  The hot-key
    table holds at most ``sample rows / (max_rows * fraction)`` rows, so its
    broadcast is bounded by construction.  Cold keys keep segment 0.
 2. Window functions run over ``(key, segment)`` so no task holds more than
@@ -55,53 +55,55 @@ def max_rows_for(df: DataFrame, max_rows: int | None) -> int:
     return _conf_int(df.sparkSession, "larkspur.segment.maxRows", DEFAULT_MAX_ROWS)
 
 
-def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str,
-                    max_rows: int | None = None, seed: int = 17,
-                    stats_from: DataFrame | None = None) -> DataFrame:
+def _position(cuts: Column, value: Column) -> Column:
+    """How many of the ascending ``cuts`` are at or below ``value``: binary search inside one expression."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int") + 1)
+
+    def halve(at: Column, _step: Column) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(cuts, mid) <= value
+        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(
+            F.when(below, mid + 1).otherwise(at["lo"]).alias("lo"),
+            F.when(below, at["hi"]).otherwise(mid).alias("hi")))
+
+    return F.aggregate(steps, start, halve, lambda at: at["lo"])
+
+
+def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str | Sequence[str],
+                    max_rows: int | None = None, seed: int = 17) -> DataFrame:
     """Add ``_seg`` (bigint) and ``_hot`` (boolean) columns.
 
-    ``order_value`` is a numeric column that is non-decreasing in the
-    sequence order (e.g. epoch ms when ordering by ``(ts, id)``).
-    ``keys=[]`` treats the whole frame as one (always hot) key.
-    ``stats_from`` (same key and order-value columns) supplies the sample
-    when ``df`` is expensive to recompute: a cheaper superset of its rows
-    gives valid (if conservative) statistics, since any monotone
-    segmentation is exact.
+    ``order_value`` names the columns of the sequence order, best all of
+    them: the cuts are quantiles of the sampled tuples, so an outlier or a
+    burst moves no cut and equal times are split by the tie-break.
+    ``keys=[]`` treats the whole frame as one key.
     """
     limit = max_rows_for(df, max_rows)
+    order = [order_value] if isinstance(order_value, str) else list(order_value)
     keys = list(keys)
     if not keys:
         df = df.withColumn(GLOBAL_KEY, F.lit(0))
         keys = [GLOBAL_KEY]
     frac = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / float(limit))
-    base = stats_from if stats_from is not None else df
-    if stats_from is not None and keys == [GLOBAL_KEY]:
-        base = base.withColumn(GLOBAL_KEY, F.lit(0))
-    src = base.select(*keys, order_value)
+    src = df.select(*keys, *[c for c in order if c not in keys])
     if frac < 1.0:
         # hash-based sample: a pure function of the row, so every branch and
         # every recomputation (lost executor, retried stage) sees the same
         # hot-key table whatever the partitioning
-        h = F.xxhash64(*[F.col(k) for k in keys], F.col(order_value), F.lit(seed))
+        h = F.xxhash64(*[F.col(k) for k in keys], *[F.col(c) for c in order], F.lit(seed))
         src = src.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(frac * (1 << 30))))
-    o = F.col(order_value)
-    stats = src.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))
-    min_sampled = max(1.0, limit * frac)
-    threshold = 0 if keys == [GLOBAL_KEY] else min_sampled
-    est_rows = F.col("_n") / F.lit(frac)
-    pieces = F.ceil(est_rows / F.lit(limit))
-    hot = (stats.where(F.col("_n") >= F.lit(threshold))
-           .select(*keys, F.col("_lo"),
-                   F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces))
-                   .cast("long").alias("_width")))
-    # |hot| <= sampled rows / min_sampled: bounded, so the broadcast is safe.
+    place = F.struct(*[F.col(c) for c in order])
+    step = max(1, int(limit * frac))     # sampled rows of one segment
+    stats = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.collect_list(place).alias("_s"))
+             .where(F.col("_n") > F.lit(step)).withColumn("_s", F.array_sort("_s")))
+    cuts = F.transform(F.sequence(F.lit(1), F.floor((F.col("_n") - 1) / F.lit(step)).cast("int")),
+                       lambda i: F.get(F.col("_s"), i * step))
+    # One cut for each ``max_rows`` rows of a hot key: bounded by sampled rows / step.
+    hot = stats.select(*keys, F.array_distinct(cuts).alias("_cuts"))
     out = df.join(F.broadcast(hot), keys, "left")
-    seg = F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((o - F.col("_lo")) / F.col("_width")).cast("long"))
-    return (out.withColumn(SEG, seg)
-               .withColumn(HOT, F.col("_width").isNotNull())
-               .drop("_lo", "_width"))
+    seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_position(F.col("_cuts"), place)).cast("long")
+    return out.withColumn(SEG, seg).withColumn(HOT, F.col("_cuts").isNotNull()).drop("_cuts")
 
 
 def _keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -119,7 +121,9 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     """
     keys = _keys(df, keys)
     g = keys + [SEG]
-    w = Window.partitionBy(*g).orderBy(*order)
+    # HOT is constant within a key; as a partition column it lets the hot-row filter of the
+    # boundary summaries pass below the window, so only hot rows are shuffled a second time
+    w = Window.partitionBy(*g, HOT).orderBy(*order)
     row = F.struct(*[F.col(c) for c in payload])
     x = df.withColumn("_row", row)
     for i in range(1, n_next + 1):

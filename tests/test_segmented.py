@@ -71,10 +71,8 @@ def test_refire_hot_path_equals_default(spark):
     from larkspur import catalog as C
     from larkspur.operators import windows as W
     d = "/root/testdata/sf0.01"
-    scores = C._scores(spark, d).withColumn(
-        "window_start_ms", F.floor(F.col("ts_ms") / F.lit(C.DAY_MS)).cast("long") * F.lit(C.DAY_MS))
     cl = W.classify_lateness(C._scores(spark, d), C.DAY_MS, C.DELAY_MS, C.LATENESS_MS, max_rows=500)
-    a = W.refire_results(cl, max_rows=3, records=scores)
+    a = W.refire_results(cl, max_rows=3)
     b = W.refire_results(cl, max_rows=7)
     c = C.window_refire(spark, d)
     assert sorted(a.collect()) == sorted(b.collect()) == sorted(c.collect())
@@ -92,3 +90,30 @@ def test_neighbors_with_hash_sample(spark):
     ref = df.select("id", F.lead("id", 1).over(w).alias("a"), F.lead("id", 2).over(w).alias("b"),
                     F.lag("id", 1).over(w).alias("c"))
     assert got == {r.id: (r.a, r.b, r.c) for r in ref.collect()}
+
+
+def _largest(df, max_rows):
+    x = S.assign_segments(df, ["k"], ["t", "id"], max_rows=max_rows)
+    return x.groupBy("k", "_seg").count().agg({"count": "max"}).first()[0]
+
+
+def test_segments_stay_balanced_on_outliers_ties_and_bursts(spark):
+    """Cuts are quantiles of (time, id): no clock error, tie or burst puts a key back into one task."""
+    n, most = 2000, 100
+    outlier = [("a", 10**12 if i == 0 else i, i) for i in range(n)]
+    ties = [("a", 7, i) for i in range(n)]
+    burst = [("a", i if i < 100 else 100, i) for i in range(n)]
+    for rows in (outlier, ties, burst):
+        assert _largest(spark.createDataFrame(rows, "k string, t long, id long"), most) <= 2 * most
+
+
+def test_replayed_batch_replaces_the_whole_batch(spark, scratch):
+    from larkspur.sources import sinks as SK
+    frame = lambda topic: spark.createDataFrame([(topic, "v")] if topic else [], "topic string, value string")
+    path = scratch + "/topics"
+    SK.write_topics(frame("old"), path, 7)
+    SK.write_topics(frame("keep"), path, 8)
+    SK.write_topics(frame("new"), path, 7)
+    assert {r.topic for r in spark.read.json(path).collect()} == {"new", "keep"}
+    SK.write_topics(frame(None), path, 7)
+    assert {r.topic for r in spark.read.json(path).collect()} == {"keep"}
