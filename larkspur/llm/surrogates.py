@@ -57,7 +57,7 @@ def _digits(x: Column) -> Column:
 
 
 def _title_gender(m: Column) -> Column:
-    t = F.regexp_extract(m, rf"^({_TITLES})", 1)
+    t = F.regexp_extract(m, rf"^({_TITLES})\.? ", 1)
     return F.when(t.isin(*MALE), "m").when(t.isin(*FEMALE), "f").otherwise("n")
 
 
