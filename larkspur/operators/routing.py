@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import json as J
 from larkspur.plans import segmented as S
-from larkspur.plans.broadcast import broadcast_if_small
 
 SINK_KAFKA, SINK_HBASE, SINK_CLICKHOUSE = "kafka", "hbase", "clickhouse"   # fixed sink names
 CFG_FIELDS = [f.name for f in J.TABLE_PROCESS_SCHEMA.fields]
 _CFG_DDL = ", ".join(f"{f} string" for f in CFG_FIELDS)
 DEFAULT_PK = "id"
 DEFAULT_DIM_SCHEMA = "DIM"
-DEFAULT_MAX_INTERVALS = 50_000   # config versions broadcast to the data side
 
 
 def decode_config_feed(feed: DataFrame, value: str = "value") -> DataFrame:
@@ -76,9 +74,9 @@ def _apply(joined: DataFrame) -> DataFrame:
 
 def route_latest(data: DataFrame, latest: DataFrame) -> DataFrame:
     """RTE1: every data record sees the latest config (snapshot semantics).
-    The config side is one row per (table, operation): broadcast after a
-    size check."""
-    cfg = broadcast_if_small(latest.withColumnRenamed("seq", "cfg_seq"))
+    The config side is one row per (table, operation); adaptive execution
+    broadcasts it by its measured size."""
+    cfg = latest.withColumnRenamed("seq", "cfg_seq")
     # null-safe keys: an inferred isnotnull() filter would otherwise be pushed
     # into the scan and re-run the record parse there
     j = data.join(cfg, data["table"].eqNullSafe(cfg["source_table"])
@@ -100,55 +98,24 @@ def config_intervals(versions: DataFrame, seq: str = "seq", max_rows: int | None
             .drop("next_1"))
 
 
-def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq",
-               max_rows: int | None = None) -> DataFrame:
+def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq") -> DataFrame:
     """RTE3: a data record sees only config rows that arrived before it.
 
-    The data stream passes once through two joins:
-
-    * closed intervals ``(valid_from, valid_to)`` are cut into arrival
-      buckets of width ``B`` (about one version per bucket, a scalar
-      subquery over the versions) and equi-joined on
-      ``(table, operation, bucket)`` with the range as a join condition;
-    * the open last interval of each key (one row per key, checked size)
-      is broadcast and joined on ``(table, operation)``.
-    """
-    keys = ["source_table", "operate_type"]
+    The config side is one row per (table, operation) with its versions in
+    arrival order, so it holds each version once; the data side joins it on
+    the key and finds its version by binary search inside one expression.
+    Nothing runs while the plan is built; adaptive execution broadcasts the
+    config side, or splits a busy key of the data side, by measured sizes."""
     attrs = CFG_FIELDS[2:]
-    iv = config_intervals(versions, seq, max_rows)
-    span = versions.select(F.greatest(F.lit(1), F.ceil(
-        (F.max(seq) - F.min(seq) + F.lit(1)) / F.count(F.lit(1)))).cast("long").alias("b")).scalar()
-    closed = iv.where(F.col("valid_to").isNotNull())
-    closed = closed.select(
-        F.col("source_table").alias("_c_table"), F.col("operate_type").alias("_c_op"),
-        F.explode(F.sequence(F.floor(F.col("valid_from") / span).cast("long"),
-                             F.floor(F.col("valid_to") / span).cast("long"))).alias("_c_bucket"),
-        F.col("valid_from").alias("_c_from"), F.col("valid_to").alias("_c_to"),
-        *[F.col(a).alias(f"_c_{a}") for a in attrs])
-    last = iv.where(F.col("valid_to").isNull()).select(
-        F.col("source_table").alias("_o_table"), F.col("operate_type").alias("_o_op"),
-        F.col("valid_from").alias("_o_from"), *[F.col(a).alias(f"_o_{a}") for a in attrs])
-    # One size check covers both sides: with B = span / versions the explode
-    # yields at most about 2 rows per version, and ``last`` has one row per
-    # key.  Beyond the bound the closed side is a shuffled join on
-    # (table, operation, bucket), which spreads a busy key.
-    if iv.limit(DEFAULT_MAX_INTERVALS + 1).count() <= DEFAULT_MAX_INTERVALS:
-        closed, last = F.broadcast(closed), F.broadcast(last)
-    else:
-        # few keys: a shuffled join on (table, operation) would be skewed
-        last = broadcast_if_small(last)
-    d = data.withColumn("_bucket", F.floor(F.col(seq) / span).cast("long"))
-    j = d.join(closed, d["table"].eqNullSafe(closed["_c_table"]) & d["operation"].eqNullSafe(closed["_c_op"])
-               & (d["_bucket"] == closed["_c_bucket"]) & (d[seq] > closed["_c_from"])
-               & (d[seq] < closed["_c_to"]), "left")
-    j = j.join(last, j["table"].eqNullSafe(last["_o_table"]) & j["operation"].eqNullSafe(last["_o_op"])
-               & (j[seq] > last["_o_from"]), "left")
-    hit_closed = F.col("_c_from").isNotNull()
-    out = j.where(hit_closed | F.col("_o_from").isNotNull()).select(
-        *[F.col(c) for c in data.columns],
-        F.when(hit_closed, F.col("_c_from")).otherwise(F.col("_o_from")).alias("cfg_seq"),
-        *[F.when(hit_closed, F.col(f"_c_{a}")).otherwise(F.col(f"_o_{a}")).alias(a) for a in attrs])
-    return _apply(out)
+    history = (versions.groupBy("source_table", "operate_type")
+               .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("cfg_seq"), *attrs))).alias("_hist"))
+               .withColumn("_seqs", F.transform("_hist", lambda h: h["cfg_seq"])))
+    j = data.join(history, data["table"].eqNullSafe(history["source_table"])
+                  & data["operation"].eqNullSafe(history["operate_type"]), "inner")
+    earlier = S.position(F.col("_seqs"), F.col(seq) - F.lit(1))     # versions that arrived strictly before
+    out = (j.withColumn("_at", earlier).where(F.col("_at") > 0)
+           .withColumn("_cfg", F.get("_hist", F.col("_at") - 1)))
+    return _apply(out.select(*data.columns, "_cfg.cfg_seq", *[f"_cfg.{a}" for a in attrs]))
 
 
 def split_by_sink(routed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -55,7 +55,7 @@ def max_rows_for(df: DataFrame, max_rows: int | None) -> int:
     return _conf_int(df.sparkSession, "larkspur.segment.maxRows", DEFAULT_MAX_ROWS)
 
 
-def _position(cuts: Column, value: Column) -> Column:
+def position(cuts: Column, value: Column) -> Column:
     """How many of the ascending ``cuts`` are at or below ``value``: binary search inside one expression."""
     start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
     steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int") + 1)
@@ -102,7 +102,7 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str | Seque
     # One cut for each ``max_rows`` rows of a hot key: bounded by sampled rows / step.
     hot = stats.select(*keys, F.array_distinct(cuts).alias("_cuts"))
     out = df.join(F.broadcast(hot), keys, "left")
-    seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_position(F.col("_cuts"), place)).cast("long")
+    seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(position(F.col("_cuts"), place)).cast("long")
     return out.withColumn(SEG, seg).withColumn(HOT, F.col("_cuts").isNotNull()).drop("_cuts")
 
 

@@ -44,14 +44,4 @@ LOGIN_EVENT = _s(("user_id", S), ("ip_address", S), ("event_type", S), ("timesta
 
 SCORE = _s(("name", S), ("score", L), ("epoch_ms", L))
 
-ORDER_INFO = T.StructType(
-    [T.StructField(n, L) for n in ("id", "province_id", "user_id")]
-    + [T.StructField("order_status", S)]
-    + [T.StructField(n, T.DecimalType(16, 2)) for n in (
-        "total_amount", "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
-        "feight_fee")]
-    + [T.StructField(n, S) for n in ("expire_time", "create_time", "operate_time", "create_date",
-                                     "create_hour")]
-    + [T.StructField("create_ts", L)])
-
 STUDENT = _s(("name", S), ("age", I), ("student", _s(("name", S), ("age", I))))
