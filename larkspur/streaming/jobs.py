@@ -196,7 +196,8 @@ def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession]
     snapshot, write topic records and upsert dimensions.  With
     ``dim_schema`` the dimension tables of the config are created first.
     ``envelopes=True`` reads normalised envelopes (a CDC1 topic) instead of
-    raw change events."""
+    raw change events.  ``order`` must order the records of a primary key
+    totally: between equal values any one of the rows survives an upsert."""
     spark = batch.sparkSession
     latest = RT.latest_config(RT.config_versions(config(spark)))
     if dim_schema:

@@ -194,7 +194,8 @@ def test_routing_query_and_restart(spark, scratch):
         if step == 1:
             for f in files[2:]:
                 os.rename(f"{scratch}/later/{f}", f"{scratch}/in/{f}")
-        q = J.routing_query(_stream(spark, f"{scratch}/in", schema), orders, f"{scratch}/out", f"{scratch}/ck")
+        q = J.routing_query(_stream(spark, f"{scratch}/in", schema), orders, f"{scratch}/out", f"{scratch}/ck",
+                            order="ord")  # total: the lineitems of an order share one seq
         q.awaitTermination(300)
         assert q.exception() is None
     topics = spark.read.json(f"{scratch}/out/topics").select("topic", "value")
