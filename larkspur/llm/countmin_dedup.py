@@ -120,12 +120,12 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DE
     def finish_clean(batches):
         for batch in batches:
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            texts = batch.column("text")
+            col = batch.column("text")
             for lo, hi, h, ptr in _slices(batch):
                 _, text, _, hit = repeated(h, ptr, known[lo:hi])
                 pending = np.zeros(hi - lo, bool)
                 pending[text[hit]] = True
-                part = texts.slice(lo, hi - lo)
+                part = col.slice(lo, hi - lo)
                 kept = [None if p else b" ".join((t.as_py() or "").encode().split()) for p, t in zip(pending, part)]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").slice(lo, hi - lo), "tkey": batch.column("tkey").slice(lo, hi - lo),

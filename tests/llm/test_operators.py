@@ -204,6 +204,9 @@ def test_substrings(docs, none):
     assert by[6]["n_removed"] == 0 and by[7]["n_removed"] == 60 and by[7]["kept_text"] == ""
     assert by[8]["n_removed"] == 60 and by[8]["kept_text"] == EN and by[11]["n_removed"] == 0 and by[12]["n_removed"] == 0
     assert by[3]["n_words"] == 0 and by[3]["kept_text"] == "" and by[None]["n_removed"] == 0
+    bare = countmin_dedup.dedup(docs, texts=False).collect()
+    same = lambda rows: Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows)
+    assert same(bare) == same(got) and not any(r["kept_text"] for r in bare)
 
 
 def test_pipeline_stages(spark, docs, none):
