@@ -4,15 +4,17 @@ Detected are e-mail addresses, phone, card and social security numbers, IPv4 add
 password / token / secret assignments, and names after a title.  An entity's unit (lower-cased address, digits of a
 number, word of a name with its role) is replaced by a surrogate drawn from SHA-256 of (key, type, unit, attempt):
 
-* numbers keep length, punctuation, country code or first digit; cards get a valid check digit, IPv4 addresses stay in
-  10/8, social security numbers in the unassigned 9xx area;
-* addresses keep the shape of the local part and end in example.com; secrets keep character classes (hex stays hex);
+* numbers keep length, punctuation, country code or first digit; cards get a valid check digit, IPv4 addresses go to
+  10/8 (after four collisions to 240/4), social security numbers to the unassigned 9xx area;
+* addresses keep the shape of the local part and end in example.com; secrets keep character classes (hex stays hex)
+  and, after three collisions, grow longer;
 * given names follow the title's gender, surnames the script (Latin or Cyrillic, with gendered Cyrillic endings); a
   name part is replaced alike with or without the other.
 
 Equal units get equal surrogates in all documents (coreference).  Distinct units of a type get distinct surrogates,
 none of which is itself a unit found in the corpus: collisions are found by grouping the surrogates, all but the first
-draw again, until none is left.  Documents without an entity never move; the others meet the surrogates of their own
+draw again, until none is left (more than ``ROUNDS`` rounds mean a type with more units than surrogates: an error,
+never a shared surrogate).  Documents without an entity never move; the others meet the surrogates of their own
 units.  An entity in a third of all documents is one row a document, joined by its unit (adaptive execution splits it).
 
 Results for odd input: a null text stays null with 0 entities, an empty one empty; repeated rows are replaced alike;
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import cut
 
 KEY = "larkspur-surrogates"
+ROUNDS = 100
 #: Titles by gender (fixed values).
 MALE = ("Mr", "Sir", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Don", "г-н", "господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "г-жа", "госпожа")
@@ -104,7 +107,9 @@ def _same_shape(x: Column, stream: Column, lower: str = "abcdefghijklmnopqrstuvw
                 upper: str = "ABCDEFGHIJKLMNOPQRSTUVWXYZ") -> Column:
     return F.array_join(F.transform(_chars(x), lambda c, i: F.when(F.rlike(c, F.lit("[0-9]")), _pick("0123456789", _byte(stream, i)))
                                     .when(F.rlike(c, F.lit("[a-z]")), _pick(lower, _byte(stream, i)))
-                                    .when(F.rlike(c, F.lit("[A-Z]")), _pick(upper, _byte(stream, i))).otherwise(c)), "")
+                                    .when(F.rlike(c, F.lit("[A-Z]")), _pick(upper, _byte(stream, i)))
+                                    .when(F.rlike(c, F.lit("[а-я]")), _pick("абвгдежзиклмнопрстуфхцчшэюя", _byte(stream, i)))
+                                    .otherwise(c)), "")
 
 
 def _luhn(x: Column) -> Column:
@@ -133,11 +138,15 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     phone = F.concat(F.substr(unit, F.lit(1), n - 10), _pick("23456789", _byte(stream, F.lit(60))),
                      F.substr(number, n - 8, F.lit(9)))
     card = _luhn(F.concat(F.substr(unit, F.lit(1), F.lit(1)), F.substr(number, F.lit(2), n - 2)))
-    ip = F.concat_ws(".", F.lit("10"), *((_byte(stream, F.lit(j)) % 256).cast("string") for j in range(2)),
+    # 10/8 holds 16 million addresses; whoever still collides goes to the reserved 240/4.
+    ip = F.concat_ws(".", F.when(attempt > 3, (_byte(stream, F.lit(3)) % 15 + 240).cast("string")).otherwise("10"),
+                     *((_byte(stream, F.lit(j)) % 256).cast("string") for j in range(2)),
                      (_byte(stream, F.lit(2)) % 254 + 1).cast("string"))
     ssn = F.concat(F.lit("9"), F.substr(number, F.lit(2), F.lit(8)))
     access = F.concat(F.substr(unit, F.lit(1), F.lit(4)), _same_shape(F.substr(unit, F.lit(5), n - 4), stream))
-    secret = F.when(F.rlike(unit, F.lit("^[0-9a-f]+$")), _same_shape(unit, stream, "abcdef")).otherwise(number)
+    # A secret without letters or digits (a mask of asterisks), or of few free places, grows until it is distinct.
+    longer = F.substr(stream, F.lit(1), F.least(F.greatest(attempt - 2, F.lit(0)), F.lit(32)))
+    secret = F.concat(F.when(F.rlike(unit, F.lit("^[0-9a-f]+$")), _same_shape(unit, stream, "abcdef")).otherwise(number), longer)
     more = F.least(attempt, F.lit(20)) + 2
     latin, cyrillic = _syllables(stream, more, "bdfgklmnprstvz", "aeiou"), _syllables(stream, more, "бвгдзклмнпрст", "аеиоу")
     end = lambda *pairs: reduce(lambda c, p: c.when(F.endswith(kind, F.lit(p[0])), p[1]), pairs, F.when(F.lit(False), ""))
@@ -154,7 +163,7 @@ def assign(units: DataFrame, key: str = KEY) -> DataFrame:
     """Rows (kind, unit, surrogate), one for each distinct unit, without collisions."""
     units = cut(units.select("kind", "unit").distinct())
     now = units.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("unit"), F.lit(0), key))
-    while True:
+    for _ in range(ROUNDS):
         now = cut(now)
         real = units.select(F.col("kind").alias("k2"), F.col("unit").alias("u2"))
         best = (now.groupBy(F.col("kind").alias("k1"), F.lower("surrogate").alias("low"))
@@ -171,6 +180,7 @@ def assign(units: DataFrame, key: str = KEY) -> DataFrame:
         attempt = F.col("attempt") + F.coalesce("again", F.lit(0))
         now = again.select("kind", "unit", attempt.alias("attempt"), F.when(
             F.col("again").isNotNull(), surrogate(F.col("kind"), F.col("unit"), attempt, key)).otherwise(F.col("surrogate")).alias("surrogate"))
+    raise ValueError("a type has more distinct entities than distinct surrogates")
 
 
 def _fill(m: Column, digits: Column) -> Column:

@@ -171,6 +171,9 @@ def test_surrogates(spark, docs, none):
     assert name[0] == "Mrs." and name[2] == name[5] and name[2] != "Smith" and name[1].endswith("na") and name[7].endswith("нова")
     assert rows[3]["text"].startswith("password=") and "hunter" not in rows[3]["text"] and rows[4]["text"].startswith("ip 10.")
     assert surrogates.pseudonymize(docs).count() == len(ROWS) and surrogates.pseudonymize(none).count() == 0
+    masks = ["password=********", "password=*******", "token: приветмир", "secret=------"]
+    got = [r["text"] for r in surrogates.pseudonymize(spark.createDataFrame(list(enumerate(masks)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert len(set(got)) == 4 and not set(got) & set(masks) and got[0].startswith("password=********") and "привет" not in got[2]
     units = spark.range(3000).select(F.lit("ssn").alias("kind"), F.format_string("%09d", "id").alias("unit"))
     table = surrogates.assign(units).collect()
     assert len({r["surrogate"] for r in table}) == 3000 and not {r["surrogate"] for r in table} & {r["unit"] for r in table}
