@@ -1,7 +1,8 @@
 """Sharding by sampled splitters: shards of near-equal bytes, equal texts side by side.
 
 The key of a record is (hash of its text, doc_id).  A hash-drawn, size-weighted sample of keys gives ``RANGES``
-quantile splitters, which cut the key space into small ranges; one aggregate measures them exactly.  The cuts between
+quantile splitters (more on large inputs, one for each ``RANGE_BYTES``, so that a task's range stays small at any size;
+the driver holds one key a range), which cut the key space into small ranges; one aggregate measures them exactly.  The cuts between
 shards belong where the running size passes k / shards of all bytes.  Only the ranges that a cut falls into (the
 overfull ones) are subdivided, by ordering their own records: the cut goes to the nearest edge between groups of equal
 texts, or inside a group if that edge is more than ``SLACK`` of a shard away, so a text with a third of all rows is
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import cut
 
 SHARDS, RANGES, PER_RANGE, SLACK = 8, 512, 24, 0.02
+RANGE_BYTES = 128 << 20
 _NO_ID = -(1 << 63)
 
 
@@ -104,13 +106,13 @@ def shard_cuts(slim: DataFrame, cuts: tuple[np.ndarray, np.ndarray], shards: int
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, per_range: int = PER_RANGE,
-          slack: float = SLACK) -> DataFrame:
+          slack: float = SLACK, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``docs`` with size, shard and slot (position in the shard, by key, without gaps)."""
     own = ("size", "shard", "slot")
     rows = docs.drop(*own).withColumns(_keys(F.col("text"), F.col("doc_id")))
     slim = cut(rows.select("size", "__k", "__d"))
     total = slim.agg(F.sum("size")).first()[0] or 0
-    cuts = splitters(slim, total, ranges, per_range)
+    cuts = splitters(slim, total, max(ranges, total // range_bytes), per_range)
     bounds = shard_cuts(slim, cuts, shards, slack)
     fine = _sorted_cuts([*zip(*map(np.ndarray.tolist, cuts)), *zip(*map(np.ndarray.tolist, bounds))])
     first_range = np.array([np.flatnonzero((fine[0] == k) & (fine[1] == d))[0] + 1 for k, d in zip(*bounds)], np.int64)
