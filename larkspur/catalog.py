@@ -21,12 +21,14 @@ from larkspur.operators import patterns as P
 from larkspur.operators import routing as RT
 from larkspur.operators import visits as V
 from larkspur.operators import windows as W
+from larkspur.sources import connectors as SC
 from larkspur.sources import records as R
 from larkspur.sources.tables import table
 
 # Test-data scale parameters (the source pipeline uses 10 s; user gaps in
 # the generated events are hours, see FIXTURES.md).
 BOUNCE_WINDOW_MS = 14_400_000
+ZONE = "Asia/Shanghai"
 ALERT_RUN = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +169,16 @@ def bounce_branches_union(spark, d):
     return P.union_of_branches(b, F.col("kind") == P.MATCHED, F.col("kind") == P.TIMEOUT)
 
 
+@query
+def union_overlapping(spark, d):
+    """UNI1 over two inputs that share rows: a failed login of a new user comes twice."""
+    x = _logins(spark, d).select("user_id", "event_type", "seq")
+    new = _pages(spark, d).where(F.col("is_new") == "1").select(
+        F.col("mid").alias("user_id"), F.when(F.col("page_id") == R.FAIL_EVENT, F.lit("fail"))
+        .otherwise(F.col("page_id")).alias("event_type"), F.col("rec_id").alias("seq"))
+    return P.union_branches(x.where(_fail()), new)
+
+
 # ---------------------------------------------------------- login patterns
 def _fail():
     return F.col("event_type") == "fail"
@@ -201,6 +213,13 @@ def epoch_to_day(spark, d):
     return e.select("event_id", "ts_ms", TM.epoch_to_day("ts_ms").alias("day"))
 
 
+@query
+def epoch_to_day_zone(spark, d):
+    e = R.events_base(_events(spark, d))
+    return e.select("event_id", TM.epoch_to_day("ts_ms", ZONE).alias("day"),
+                    TM.format_event_time("ts_ms", millis=False, zone=ZONE).alias("event_time"))
+
+
 @query
 def format_event_time(spark, d):
     e = R.events_base(_events(spark, d))
@@ -219,7 +238,8 @@ def csv_parse(spark, d):
 # ------------------------------------------------------- CDC and routing
 
 FROM_TS_MS = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
-PRUNE_LISTS = ("o_orderkey,o_custkey", "o_orderkey, o_custkey", "o_totalprice,o_orderstatus,missing")
+PRUNE_LISTS = ("o_orderkey,o_custkey,l_orderkey,l_partkey", "o_orderkey, o_custkey,l_quantity, l_partkey",
+               "o_totalprice,o_orderstatus,missing,l_shipdate,l_returnflag")
 
 
 def _ord(seq, shipdate=None, line=None, part=None, supp=None, price=None):
@@ -264,11 +284,30 @@ def cdc_normalize(spark, d):
 
 @query
 def cdc_topic_split(spark, d):
-    f = _change_feed(spark, d)
+    f = R.sharded_topics(table(spark, d, "orders"), table(spark, d, "lineitem"))
     db, tb = TX.topic_db_table("topic")
     return f.select("seq", db.alias("db"), tb.alias("tbl"))
 
 
+@query
+def cdc_dirty_split(spark, d):
+    x = CDC.tag_dirty_changes(R.broken_change_events(table(spark, d, "orders")))
+    return x.select("seq", F.coalesce("reason", F.lit("main")).alias("stream"))
+
+
+@query
+def cdc_snapshot(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = CDC.normalize_change_events(CDC.snapshot_events(rows, R.CDC_DB, "customer"))
+    return n.select("topic", "operation", "dbname", "table", _data_json().alias("data_json"))
+
+
+@query
+def change_feed_tables(spark, d):
+    feed = SC.change_feed(_change_feed(spark, d), tables=["shop.lineitem", "shop.customer"])
+    return feed.select("seq", "topic")
+
+
 @query
 def filter_has_data(spark, d):
     env = CDC.filter_has_data(R.cdc_envelopes(table(spark, d, "orders")))
@@ -295,7 +334,8 @@ def config_latest(spark, d):
 
 @query
 def config_ddl_text(spark, d):
-    return RT.ddl_text(_versions(spark, d)).select("seq", "sink_table", "ddl")
+    own = RT.config_versions(R.dimension_config_feed(table(spark, d, "customer")))
+    return RT.ddl_text(_versions(spark, d).unionByName(own)).select("seq", "sink_table", "ddl")
 
 
 _ROUTE_COLS = ("table", "seq", "operation", "sink_type", "sink_table")
@@ -344,13 +384,28 @@ def dim_upsert_latest(spark, d):
 
 @query
 def map_prune_columns(spark, d):
-    n = _normalized(spark, d).where(F.col("table") == "orders")
-    key = F.coalesce(F.try_variant_get(F.element_at("data", F.lit("o_orderkey")), "$", "bigint"),
-                     (F.col("seq") / 10).cast("bigint"))
+    n = _normalized(spark, d)
+    key = (F.col("seq") / 10).cast("bigint")
     lists = F.when(key % 3 == 0, F.lit(PRUNE_LISTS[0])).when(key % 3 == 1, F.lit(PRUNE_LISTS[1])) \
         .otherwise(F.lit(PRUNE_LISTS[2]))
-    p = n.select("seq", J.prune_columns(F.col("data"), lists).alias("pruned"))
-    return p.select("seq", _kept("pruned").alias("kept_keys"), F.size("pruned").cast("bigint").alias("n_keys"))
+    p = n.select("table", "seq", J.prune_columns(F.col("data"), lists).alias("pruned"))
+    return p.select("table", "seq", _kept("pruned").alias("kept_keys"), F.size("pruned").cast("bigint").alias("n_keys"))
+
+
+@query
+def json_strict_parse(spark, d):
+    x = J.with_parsed(R.app_log_lines(_events(spark, d)), "value", "v", strict=True)
+    v = F.col("v")
+    return x.select("rec_id", J.path(v, "$.common.mid").alias("mid"), J.path(v, "$.page.page_id").alias("page_id"),
+                    J.path(v, "$.ts", "bigint").alias("ts_ms"))
+
+
+@query
+def json_round_trip(spark, d):
+    x = J.with_parsed(R.app_log_lines(_events(spark, d)), "value", "v")
+    once = x.select("rec_id", F.to_json(J.set_nested_field(F.col("v"), "common", "ch", F.lit("web"))).alias("text"))
+    again = J.with_parsed(once, "text", "v2", strict=True)
+    return again.select("rec_id", F.to_json("v2").alias("value"))
 
 
 @query
@@ -406,6 +461,11 @@ def late_classify(spark, d):
     return _classified(spark, d).select("seq", "name", "window_start_ms", "wm_before", "class")
 
 
+@query
+def watermark_per_record(spark, d):
+    return W.watermarks(_scores(spark, d), DELAY_MS).select("seq", "wm_monotone", "wm_bounded")
+
+
 @query
 def window_refire(spark, d):
     return W.refire_results(_classified(spark, d))

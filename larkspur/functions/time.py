@@ -43,14 +43,19 @@ def ts_to_ms(ts: Column | str) -> Column:
     return F.unix_millis(_c(ts))
 
 
-def epoch_to_day(ms: Column | str) -> Column:
-    """DAT1: epoch ms -> 'yyyy-MM-dd' (UTC)."""
-    return F.date_format(ms_to_ntz(ms), DAY_FORMAT)
+def in_zone(ms: Column | str, zone: str = "UTC") -> Column:
+    """Epoch milliseconds -> TIMESTAMP_NTZ (wall clock of ``zone``)."""
+    return ms_to_ntz(ms) if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ms_to_ntz(ms))
 
 
-def format_event_time(ms: Column | str, millis: bool = True) -> Column:
-    """DAT2: epoch ms -> 'yyyy-MM-dd hh:mm:ss[:SSS]' with a 12-hour clock."""
-    return F.date_format(ms_to_ntz(ms), DISPLAY_FORMAT_MS if millis else DISPLAY_FORMAT)
+def epoch_to_day(ms: Column | str, zone: str = "UTC") -> Column:
+    """DAT1: epoch ms -> 'yyyy-MM-dd' in ``zone``."""
+    return F.date_format(in_zone(ms, zone), DAY_FORMAT)
+
+
+def format_event_time(ms: Column | str, millis: bool = True, zone: str = "UTC") -> Column:
+    """DAT2: epoch ms -> 'yyyy-MM-dd hh:mm:ss[:SSS]' with a 12-hour clock, in ``zone``."""
+    return F.date_format(in_zone(ms, zone), DISPLAY_FORMAT_MS if millis else DISPLAY_FORMAT)
 
 
 def order_time_parts(create_time: Column | str) -> dict[str, Column]:

@@ -41,6 +41,33 @@ def normalize_change_events(df: DataFrame, value: str = "value", topic: str | No
              .drop("_cv"))
 
 
+BAD_TEXT, NO_OP, UNKNOWN_OP = "bad_text", "no_op", "unknown_op"
+
+
+def split_dirty_changes(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """CDC1's dirty path: (change events, dirty records with ``reason``).  Dirty are texts that are no JSON object, and
+    events whose ``op`` is missing or none of ``OP_NAMES``."""
+    x = tag_dirty_changes(df, value)
+    return x.where(F.col("reason").isNull()).drop("reason"), x.where(F.col("reason").isNotNull())
+
+
+def tag_dirty_changes(df: DataFrame, value: str = "value") -> DataFrame:
+    """``df`` with ``reason``: null for a change event, else why it is dirty (one parse, one pass)."""
+    x = J.with_parsed(df, value, "_cv")
+    op = F.lower(J.path(F.col("_cv"), "$.op", "string"))
+    reason = (F.when(~J.is_json_object(F.col("_cv")), F.lit(BAD_TEXT)).when(op.isNull(), F.lit(NO_OP))
+              .when(~op.isin(*OP_NAMES), F.lit(UNKNOWN_OP)))
+    return x.withColumn("reason", reason).drop("_cv")
+
+
+def snapshot_events(rows: DataFrame, db: str, table: str, server: str = "snapshot") -> DataFrame:
+    """SRC3's read phase: every row of a table as a change event ``op = r`` (``topic, value``), ready for CDC1."""
+    rec = F.struct(F.lit(None).cast("string").alias("before"), F.struct(*rows.columns).alias("after"), F.lit("r").alias("op"),
+                   F.struct(F.lit(db).alias("db"), F.lit(table).alias("table")).alias("source"))
+    return rows.select(F.lit(f"{server}.{db}.{table}").alias("topic"),
+                       F.to_json(rec, {"ignoreNullFields": "false"}).alias("value"))
+
+
 def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
     """Read normalised envelopes ``{data, operation, dbname, table}`` (the
     output of CDC1 as JSON text) back into the columns routing expects."""

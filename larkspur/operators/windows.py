@@ -71,6 +71,23 @@ def bounds_text(sum_last: DataFrame, key: str = "name") -> DataFrame:
         F.col(key), F.lit(","), F.col("score_sum").cast("string"), F.lit(","), F.col("last_time")))
 
 
+def max_before(df: DataFrame, ts: str = "ts_ms", order: Sequence[str] = ("arrival_ms", "seq"),
+               max_rows: int | None = None, out: str = "_maxprev") -> DataFrame:
+    """The largest event time of the records that arrived strictly before each record (null for the first)."""
+    x = S.assign_segments(df, [], list(order), max_rows)
+    x = S.with_running(x, [], [F.col(c) for c in order], F.col(ts), out, how="max", inclusive=False)
+    return S.drop_segments(x)
+
+
+def watermarks(df: DataFrame, delay_ms: int, ts: str = "ts_ms", order: Sequence[str] = ("arrival_ms", "seq"),
+               max_rows: int | None = None) -> DataFrame:
+    """WMK1 / WMK2 (batch): the watermark after each record, for monotone times (``wm_monotone``) and for times out of
+    order by up to ``delay_ms`` (``wm_bounded``)."""
+    seen = F.greatest(F.col("_maxprev"), F.col(ts))
+    return (max_before(df, ts, order, max_rows).withColumn("wm_monotone", seen - F.lit(1))
+            .withColumn("wm_bounded", seen - F.lit(delay_ms + 1)).drop("_maxprev"))
+
+
 def classify_lateness(df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: int,
                       ts: str = "ts_ms", order: Sequence[str] = ("arrival_ms", "seq"),
                       order_value: str = "arrival_ms", max_rows: int | None = None,
@@ -81,9 +98,7 @@ def classify_lateness(df: DataFrame, size_ms: int, delay_ms: int, lateness_ms: i
     scan: per-segment maxima are carried across segments, so no task holds
     more than one segment.  ``initial_max_ts`` is the max event time of
     records that arrived before ``df`` (a micro-batch's carried state)."""
-    x = S.assign_segments(df, [], list(order), max_rows)
-    x = S.with_running(x, [], [F.col(c) for c in order], F.col(ts), "_maxprev", how="max", inclusive=False)
-    x = S.drop_segments(x)
+    x = max_before(df, ts, order, max_rows)
     start = F.floor(F.col(ts) / F.lit(size_ms)).cast("long") * F.lit(size_ms)
     prev = F.col("_maxprev")
     if initial_max_ts is not None:

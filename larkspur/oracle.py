@@ -121,6 +121,10 @@ SELECT mid, day, rec_id, ts_ms FROM (
     "bounce_timeout": _with(_BOUNCE + "SELECT * FROM b WHERE kind = 'timeout'"),
     "bounce_branches_union": _with(_BOUNCE + """
 SELECT * FROM b WHERE kind = 'matched' UNION ALL SELECT * FROM b WHERE kind = 'timeout'"""),
+    "union_overlapping": _with("""
+SELECT user_id, event_type, seq FROM li WHERE event_type = 'fail'
+UNION ALL
+SELECT mid, CASE WHEN page_id = 'error' THEN 'fail' ELSE page_id END, rec_id FROM pg WHERE is_new_raw = '1'"""),
     "login_fail_alert": _with(_FAIL3 + """
 SELECT user_id, t1, t2, t3,
        user_id || ' failed to log in 3 times in a row at: ' || CAST(t1 AS VARCHAR) || ', '
@@ -139,6 +143,9 @@ y AS (SELECT *, sum(CASE WHEN c AND NOT coalesce(pc, false) THEN 1 ELSE 0 END)
 SELECT user_id, min("timestamp") AS run_start_ts, max("timestamp") AS run_end_ts, count(*) AS run_len
 FROM y WHERE c GROUP BY user_id, run"""),
     "epoch_to_day": _with("SELECT event_id, ts_ms, strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS day FROM ev"),
+    "epoch_to_day_zone": _with("""
+SELECT event_id, strftime(epoch_ms(ts_ms + 28800000), '%Y-%m-%d') AS day,
+       strftime(epoch_ms(ts_ms + 28800000), '%Y-%m-%d %I:%M:%S') AS event_time FROM ev"""),
     "format_event_time": _with("""
 SELECT event_id, strftime(epoch_ms(ts_ms), '%Y-%m-%d %I:%M:%S') || ':' || lpad(CAST(ts_ms % 1000 AS VARCHAR), 3, '0')
          AS event_time,
@@ -257,7 +264,18 @@ SQL.update({
     "cdc_normalize": _with(_CDC + f"""
 SELECT "table", seq, operation, dbname, CAST(len(kv) AS BIGINT) AS n_keys, {_json_of('kv')} AS data_json FROM cdc"""),
     "cdc_topic_split": _with(_CDC + """
-SELECT seq, 'shop' AS db, "table" AS tbl FROM cdc"""),
+SELECT o_orderkey * 10 AS seq, 'shop_' || CAST(o_custkey % 7 AS VARCHAR) AS db, 'orders_' || lower(o_orderstatus) AS tbl FROM orders
+UNION ALL
+SELECT l_orderkey * 10 + 1, 'shop_' || CAST(l_suppkey % 7 AS VARCHAR), 'lineitem_' || lower(l_returnflag) FROM lineitem"""),
+    "cdc_dirty_split": """
+SELECT o_orderkey * 10 AS seq, CASE o_orderkey % 10 WHEN 0 THEN 'bad_text' WHEN 3 THEN 'unknown_op' WHEN 7 THEN 'no_op'
+  ELSE 'main' END AS stream FROM orders""",
+    "cdc_snapshot": """
+SELECT 'snapshot.shop.customer' AS topic, 'read' AS operation, 'shop' AS dbname, 'customer' AS "table",
+       '{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name
+       || '","c_nationkey":' || CAST(c_nationkey AS VARCHAR) || '}' AS data_json FROM customer""",
+    "change_feed_tables": """
+SELECT l_orderkey * 10 + 1 AS seq, 'dbserver.shop.lineitem' AS topic FROM lineitem""",
     "filter_has_data": _with("""
 SELECT o_orderkey AS seq,
        CASE o_orderstatus WHEN 'F' THEN 'create' WHEN 'O' THEN 'update' ELSE 'delete' END AS operation,
@@ -277,7 +295,14 @@ SELECT seq, sink_table,
        array_to_string(list_transform(string_split(sink_columns, ','),
          lambda f: f || CASE WHEN f = coalesce(sink_pk, 'id') THEN ' varchar primary key' ELSE ' varchar' END), ',')
        || ')' || coalesce(sink_extend, '') AS ddl
-FROM ver WHERE sink_type = 'hbase'"""),
+FROM ver WHERE sink_type = 'hbase'
+UNION ALL
+SELECT c_custkey * 10 + 7, 'dim_tenant_' || CAST(c_custkey AS VARCHAR),
+       'create table if not exists DIM.dim_tenant_' || CAST(c_custkey AS VARCHAR) ||
+       CASE c_nationkey % 3 WHEN 0 THEN '(id varchar primary key,name varchar)'
+            WHEN 1 THEN '(code varchar primary key,name varchar,segment varchar)'
+            ELSE '(name varchar,id varchar primary key,balance varchar) SALT_BUCKETS = ' || CAST(c_custkey % 8 + 1 AS VARCHAR) END
+FROM customer"""),
     "route_latest": _with(_CDC + f"""
 SELECT "table", seq, operation, sink_type, sink_table, {_keys_of('pkv')} AS kept_keys, {_json_of('pkv')} AS data_json
 FROM rl WHERE sink_type IN ('kafka', 'hbase')"""),
@@ -301,12 +326,26 @@ SELECT sink_table, pk, """ + ", ".join(_dim_col(c) for c in
                                      "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_shipdate".split(","))
     + " FROM d WHERE rn = 1"),
     "map_prune_columns": _with(_CDC + """,
-p AS (SELECT seq, list_filter(kv, lambda p: list_contains(string_split(
-        CASE okey % 3 WHEN 0 THEN 'o_orderkey,o_custkey' WHEN 1 THEN 'o_orderkey, o_custkey'
-             ELSE 'o_totalprice,o_orderstatus,missing' END, ','), p.k)) AS pkv
-      FROM cdc WHERE "table" = 'orders')
-SELECT seq, array_to_string(list_transform(pkv, lambda p: p.k), ',') AS kept_keys, CAST(len(pkv) AS BIGINT) AS n_keys
+p AS (SELECT "table", seq, list_filter(kv, lambda p: list_contains(string_split(
+        CASE okey % 3 WHEN 0 THEN 'o_orderkey,o_custkey,l_orderkey,l_partkey'
+             WHEN 1 THEN 'o_orderkey, o_custkey,l_quantity, l_partkey'
+             ELSE 'o_totalprice,o_orderstatus,missing,l_shipdate,l_returnflag' END, ','), p.k)) AS pkv
+      FROM cdc)
+SELECT "table", seq, array_to_string(list_transform(pkv, lambda p: p.k), ',') AS kept_keys, CAST(len(pkv) AS BIGINT) AS n_keys
 FROM p"""),
+    "json_strict_parse": _with("SELECT rec_id, mid, page_id, ts_ms FROM lg"),
+    "json_round_trip": _with("""
+SELECT rec_id,
+  '{"common":{"ch":"web","is_new":"' || is_new_raw || '","mid":"' || mid || '"}'
+  || CASE WHEN k % 4 > 0 THEN ',"displays":[' || array_to_string(list_transform(range(1, k % 4 + 1),
+       lambda i: '{"item":"' || CAST(rec_id AS VARCHAR) || '-' || CAST(i AS VARCHAR) || '","pos":'
+            || CAST(i AS VARCHAR) || '}'), ',') || ']' ELSE '' END
+  || CASE WHEN is_start THEN ',"start":' || CASE WHEN k % 5 = 0 THEN 'null'
+            ELSE '{"entry":"icon","loading_time":' || CAST(k * 10 AS VARCHAR) || '}' END
+     ELSE ',"page":{' || CASE WHEN last_page_id IS NOT NULL THEN '"last_page_id":"' || last_page_id || '",'
+                         ELSE '' END || '"page_id":"' || page_id || '"}' END
+  || ',"ts":' || CAST(ts_ms AS VARCHAR) || '}' AS value
+FROM lg"""),
     "json_object_keys": _with("""
 SELECT rec_id, 'common,' || CASE WHEN is_start THEN 'start' ELSE 'page' END
        || CASE WHEN k % 4 > 0 THEN ',displays' ELSE '' END || ',ts' AS keys
@@ -357,6 +396,9 @@ SELECT *, {_fmt12('last_ts')} AS last_time FROM sl"""),
     "window_bounds_text": _with(_SC + _SUM_LAST + f"""
 SELECT name, window_start_ms, {_fmt12('window_start_ms')} || '-' || {_fmt12('window_end_ms')} || ',' || name
        || ',' || CAST(score_sum AS VARCHAR) || ',' || {_fmt12('last_ts')} AS text FROM sl"""),
+    "watermark_per_record": _with(_SC + """
+SELECT seq, m - 1 AS wm_monotone, m - 3600001 AS wm_bounded FROM (
+  SELECT seq, max(ts_ms) OVER (ORDER BY arrival_ms, seq ROWS UNBOUNDED PRECEDING) AS m FROM sc)"""),
     "late_classify": _with(_SC + """
 SELECT seq, name, wstart AS window_start_ms, wm_before, class FROM cl"""),
     "window_refire": _with(_SC + """

@@ -153,6 +153,41 @@ def lineitem_change_events(lineitem: DataFrame) -> DataFrame:
         F.col("l_extendedprice"))
 
 
+def sharded_topics(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Topics of a sharded database, ``(seq, topic)``: the customer or supplier picks the database, the status or
+    return flag the table."""
+    def of(df, seq, shard, name, kind):
+        return df.select(seq.alias("seq"), F.concat(F.lit(f"{CDC_SERVER}.{CDC_DB}_"), (F.col(shard) % 7).cast("string"),
+                                                    F.lit(f".{name}_"), F.lower(kind)).alias("topic"))
+    return of(orders, F.col("o_orderkey") * 10, "o_custkey", "orders", "o_orderstatus").unionByName(
+        of(lineitem, F.col("l_orderkey") * 10 + 1, "l_suppkey", "lineitem", "l_returnflag"))
+
+
+def broken_change_events(orders: DataFrame) -> DataFrame:
+    """``order_change_events`` with broken ones among them: o_orderkey % 10 = 0 is cut short, 3 has an unknown op,
+    7 has none."""
+    key = F.col("seq") / 10
+    x = order_change_events(orders)
+    op = r'"op":"[a-z]"'
+    value = (F.when(key % 10 == 0, F.expr("left(value, length(value) - 1)"))
+             .when(key % 10 == 3, F.regexp_replace("value", op, '"op":"t"'))
+             .when(key % 10 == 7, F.regexp_replace("value", op, '"ts":0')).otherwise(F.col("value")))
+    return x.withColumn("value", value)
+
+
+def dimension_config_feed(customer: DataFrame) -> DataFrame:
+    """Config change envelopes that send every customer's own table to a dimension: the nation picks columns, primary
+    key and table options."""
+    key, kind = F.col("c_custkey"), F.col("c_nationkey") % 3
+    cols = F.when(kind == 0, F.lit("id,name")).when(kind == 1, F.lit("code,name,segment")).otherwise(F.lit("name,id,balance"))
+    cfg = _cfg_struct(F.concat(F.lit("tenant_"), key.cast("string")), F.lit("create"), F.lit("hbase"),
+                      F.concat(F.lit("dim_tenant_"), key.cast("string")), cols,
+                      F.when(kind == 1, F.lit("code")), F.when(kind == 2, F.concat(F.lit(" SALT_BUCKETS = "), (key % 8 + 1).cast("string"))))
+    return customer.select((key * 10 + 7).alias("seq"), F.concat(
+        F.lit('{"data":'), F.to_json(cfg, {"ignoreNullFields": "false"}),
+        F.lit(f',"type":"insert","database":"{CONFIG_DB}","table":"table_process"}}')).alias("value"))
+
+
 def cdc_envelopes(orders: DataFrame) -> DataFrame:
     """Already-normalised envelopes ``{data, operation, dbname, table}`` as
     JSON text; every 50th order is a heartbeat without ``data``."""
