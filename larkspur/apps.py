@@ -2,7 +2,7 @@
 
     python -m larkspur.apps base-log --source kafka:HOST:PORT/ods_base_log --sink files:/data/dwd ...
 
-A source is ``kafka:<bootstrap>/<topic>`` or ``files:<path>`` (parquet with a
+A source is ``kafka:<bootstrap>/<topic>[@<epoch ms to start from>]`` or ``files:<path>`` (parquet with a
 ``value`` column, plus ``topic`` for change feeds); a sink is
 ``kafka:<bootstrap>`` (topics named after the outputs) or ``files:<root>``.
 Checkpoints default to ``<spark.checkpoint.dir>/<app>``.
@@ -30,13 +30,16 @@ CHANGE_SCHEMA = "seq long, topic string, value string"
 # Output names of the log layers (fixed topic names).
 TOPICS = {"page": "dwd_page_log", "display": "dwd_display_log", "start": "dwd_start_log",
           "dirty": "dwd_dirty_log", "uv": "dwm_unique_visit", "jump": "dwm_user_jump_detail",
-          "db": "ods_base_db", "window": "window_result", "alert": "login_alert"}
+          "uv_dirty": "dwm_unique_visit_dirty", "jump_dirty": "dwm_user_jump_detail_dirty",
+          "db": "ods_base_db", "db_dirty": "ods_base_db_dirty", "window": "window_result", "alert": "login_alert"}
 
 
 def read_source(spark: SparkSession, spec: str, schema: str, starting: str | int = "earliest") -> DataFrame:
     kind, _, rest = spec.partition(":")
     if kind == "kafka":
         bootstrap, _, topic = rest.rpartition("/")
+        topic, _, since = topic.partition("@")
+        starting = int(since) if since else starting
         df = SC.kafka_text_stream(spark, bootstrap, topic, starting)
         return df.withColumnRenamed("rec_id", "seq") if "seq" in schema else df
     if kind == "files":
@@ -66,9 +69,12 @@ def _start(df: DataFrame, name: str, ckpt: str, fn, trigger: dict | None) -> Str
 
 def cdc_ingest(spark, source, sink, ckpt, trigger=None, databases=None, tables=None):
     """Change feed -> normalised envelopes (CDC1) on ``ods_base_db``."""
-    feed = SC.change_feed(read_source(spark, source, CHANGE_SCHEMA), databases, tables)
+    feed, dirty = CDC.split_dirty_changes(read_source(spark, source, CHANGE_SCHEMA))
+    feed = SC.change_feed(feed, databases, tables)
     env = CDC.envelope_json(CDC.normalize_change_events(feed)).select("seq", F.col("envelope").alias("value"))
-    return [_start(env, "cdc", ckpt, lambda df, b: write_output(df, b, sink, "db"), trigger)]
+    dirty = dirty.select("seq", "reason", "value")
+    return [_start(env, "cdc", ckpt, lambda df, b: write_output(df, b, sink, "db"), trigger),
+            _start(dirty, "cdc-dirty", ckpt, lambda df, b: write_output(df, b, sink, "db_dirty"), trigger)]
 
 
 def base_log(spark, source, sink, ckpt, trigger=None):
@@ -84,33 +90,48 @@ def base_log(spark, source, sink, ckpt, trigger=None):
 
 
 def _typed_pages(spark, source):
-    clean, _ = L.split_dirty(L.parse_app_log(read_source(spark, source, LINE_SCHEMA)))
-    return L.page_logs(clean).select("rec_id", "mid", "ts_ms", "page_id", "last_page_id", "has_last_page",
-                                     F.col("rec_id").alias("arrival_ms"))
+    """(typed pages with their record's text, dirty records)."""
+    clean, dirty = L.split_dirty(L.parse_app_log(read_source(spark, source, LINE_SCHEMA)))
+    pages = L.page_logs(clean).select("rec_id", "mid", "ts_ms", "page_id", "last_page_id", "has_last_page", "value",
+                                      F.col("rec_id").alias("arrival_ms"))
+    return pages, dirty.select("rec_id", "value")
 
 
-def unique_visit(spark, source, sink, ckpt, trigger=None, ttl_ms=J.PR.DAY_MS):
-    uv = _as_json(J.unique_visit_stream(_typed_pages(spark, source), ttl_ms=ttl_ms),
-                  ["mid", "day", "rec_id", "ts_ms"])
-    return [_start(uv, "uv", ckpt, lambda df, b: write_output(df, b, sink, "uv"), trigger)]
+def unique_visit(spark, source, sink, ckpt, trigger=None, ttl_ms=J.PR.DAY_MS, zone="UTC"):
+    """The whole record of every daily unique visit, and the dirty records.  The state's time to live (None: forever)
+    needs a processing-time trigger."""
+    pages, dirty = _typed_pages(spark, source)
+    uv = J.unique_visit_stream(pages, ttl_ms=ttl_ms, zone=zone)
+    return [_start(uv, "uv", ckpt, lambda df, b: write_output(df, b, sink, "uv"), trigger),
+            _start(dirty, "uv-dirty", ckpt, lambda df, b: write_output(df, b, sink, "uv_dirty"), trigger)]
 
 
 def jump_detail(spark, source, sink, ckpt, trigger=None, window_ms=10_000):
-    b = _as_json(J.bounce_stream(_typed_pages(spark, source), window_ms),
-                 ["mid", "rec_id", "ts_ms", "page_id", "kind"])
-    return [_start(b, "jump", ckpt, lambda df, bid: write_output(df, bid, sink, "jump"), trigger)]
+    """The whole record of every bounce, and the dirty records."""
+    pages, dirty = _typed_pages(spark, source)
+    b = J.bounce_stream(pages, window_ms)
+    return [_start(b, "jump", ckpt, lambda df, bid: write_output(df, bid, sink, "jump"), trigger),
+            _start(dirty, "jump-dirty", ckpt, lambda df, bid: write_output(df, bid, sink, "jump_dirty"), trigger)]
 
 
-def base_db(spark, source, sink, ckpt, config_path, trigger=None, dim_schema=None):
+def base_db(spark, source, sink, ckpt, config_path, trigger=None, dim_schema=None, dim_root=None):
     """Entry B: route the normalised envelopes of ``ods_base_db`` (written by
     ``cdc-ingest``) with the config snapshot at ``config_path`` (parquet with
-    ``seq, value`` config envelopes), re-read every batch."""
+    ``seq, value`` config envelopes), re-read every batch.  Topic records go
+    to their own topics (``kafka:``) or topic folders (``files:``), dimensions
+    to an upsert log under ``dim_root`` (by default the files sink, or a folder
+    beside the checkpoint)."""
     changes = CDC.filter_has_data(read_source(spark, source, "seq long, value string"))
     kind, _, root = sink.partition(":")
-    if kind != "files":
-        raise ValueError("base-db writes topic records and dimension logs to files:<root>")
-    q = J.routing_query(changes, lambda s: s.read.parquet(config_path), root, f"{ckpt}/route",
-                        trigger or {"processingTime": "3 seconds"}, dim_schema=dim_schema, envelopes=True)
+    publish = None
+    if kind == "kafka":
+        bootstrap, root = root, dim_root or f"{ckpt}/base-db"
+        publish = lambda df: SK.write_kafka_batch(df.select("topic", "value"), bootstrap)
+    elif kind != "files":
+        raise ValueError(f"unknown sink {sink!r}")
+    q = J.routing_query(changes, lambda s: s.read.parquet(config_path), dim_root or root, f"{ckpt}/route",
+                        trigger or {"processingTime": "3 seconds"}, dim_schema=dim_schema, envelopes=True,
+                        publish=publish)
     return [q]
 
 
@@ -159,6 +180,11 @@ def main(argv=None) -> None:
     ap.add_argument("--checkpoint")
     ap.add_argument("--config-path", help="base-db: config envelopes (parquet)")
     ap.add_argument("--window-ms", type=int, default=10_000, help="jump-detail: bounce window")
+    ap.add_argument("--databases", nargs="*", help="cdc-ingest: databases to read")
+    ap.add_argument("--tables", nargs="*", help="cdc-ingest: tables to read (db.table)")
+    ap.add_argument("--dim-root", help="base-db: folder of the dimension log")
+    ap.add_argument("--zone", default="UTC", help="unique-visit: time zone of the days")
+    ap.add_argument("--lateness-ms", type=int, default=60_000, help="window-demo: allowed lateness")
     ap.add_argument("--available-now", action="store_true", help="process what is there and stop")
     a = ap.parse_args(argv)
     spark = build_session(app=f"larkspur-{a.app}")
@@ -166,7 +192,13 @@ def main(argv=None) -> None:
     trigger = {"availableNow": True} if a.available_now else None
     kw = {}
     if a.app == "base-db":
-        kw["config_path"] = a.config_path
+        kw.update(config_path=a.config_path, dim_root=a.dim_root)
+    if a.app == "cdc-ingest":
+        kw.update(databases=a.databases, tables=a.tables)
+    if a.app == "unique-visit":
+        kw["zone"] = a.zone
+    if a.app == "window-demo":
+        kw["lateness_ms"] = a.lateness_ms
     if a.app == "jump-detail":
         kw["window_ms"] = a.window_ms
     for q in APPS[a.app](spark, a.source, a.sink, ckpt, trigger, **kw):

@@ -173,21 +173,18 @@ def ddl_text(versions: DataFrame, schema: str = DEFAULT_DIM_SCHEMA, only_tables:
 
 
 def create_dimension_tables(spark, latest: DataFrame, schema: str = DEFAULT_DIM_SCHEMA,
-                            max_tables: int = 10_000, fmt: str = "parquet") -> list[str]:
+                            fmt: str = "parquet") -> list[str]:
     """DDL1 (catalog side): ``CREATE TABLE IF NOT EXISTS`` for every table
     sink of the current config, all columns STRING, primary key first.
 
-    Catalog DDL runs on the driver; the config is one row per (table,
-    operation), checked against ``max_tables`` before it is collected.  A
-    failing statement raises (it is not swallowed)."""
+    Catalog DDL runs on the driver, one statement after another; the tables
+    stream through it a partition at a time.  A failing statement raises (it
+    is not swallowed)."""
     tables = latest.where(F.col("sink_type") == SINK_HBASE).select(
         "sink_table", "sink_columns", F.coalesce(F.col("sink_pk"), F.lit(DEFAULT_PK)).alias("pk")).distinct()
-    rows = tables.limit(max_tables + 1).collect()
-    if len(rows) > max_tables:
-        raise ValueError(f"more than {max_tables} dimension tables in the config")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     done = []
-    for r in sorted(rows):
+    for r in tables.orderBy(*tables.columns).toLocalIterator():
         cols = [c for c in r.sink_columns.split(",") if c]
         ordered = [r.pk] + [c for c in cols if c != r.pk] if r.pk in cols else cols
         body = ", ".join(f"`{c}` STRING" for c in ordered)

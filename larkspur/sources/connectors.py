@@ -8,7 +8,7 @@ file-stream source runs the same downstream code in tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as TX
@@ -28,13 +28,19 @@ def kafka_source_options(bootstrap: str, topic: str, starting: str | int = "earl
     return opts
 
 
+def record_id(partition: Column, offset: Column) -> Column:
+    """One long from partition and offset (below 2^48): unique, in offset order inside a partition."""
+    return F.shiftleft(partition.cast("long"), 48).bitwiseOR(offset.cast("long"))
+
+
 def kafka_text_stream(spark: SparkSession, bootstrap: str, topic: str, starting: str | int = "earliest",
                       group_id: str | None = None) -> DataFrame:
-    """SRC1: Kafka topic as ``(rec_id = offset, value STRING, kafka_ts)``."""
+    """SRC1: Kafka topic as ``(rec_id, value STRING, kafka_ts, topic)``; ``rec_id`` is unique in the topic and rises
+    in every partition (``record_id``), so it orders the records of a key that its producer keeps in one partition."""
     r = spark.readStream.format("kafka")
     for k, v in kafka_source_options(bootstrap, topic, starting, group_id).items():
         r = r.option(k, v)
-    return r.load().select(F.col("offset").alias("rec_id"), F.col("value").cast("string").alias("value"),
+    return r.load().select(record_id(F.col("partition"), F.col("offset")).alias("rec_id"), F.col("value").cast("string").alias("value"),
                            F.col("timestamp").alias("kafka_ts"), F.col("topic"))
 
 

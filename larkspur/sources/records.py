@@ -241,11 +241,11 @@ def config_feed(orders: DataFrame) -> DataFrame:
     """Config change envelopes ``{data, type, database, table}`` as JSON
     text with arrival ``seq``: the fixed snapshot plus updates derived
     from ``orders`` (see the rules above)."""
-    spark = orders.sparkSession
-    snap = spark.createDataFrame(
-        CONFIG_SNAPSHOT,
-        "seq long, type string, source_table string, operate_type string, sink_type string, "
-        "sink_table string, sink_columns string, sink_pk string, sink_extend string")
+    names = ("seq", "type", "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk",
+             "sink_extend")
+    fixed = [F.struct(*[F.lit(v).cast("long" if n == "seq" else "string").alias(n) for n, v in zip(names, row)])
+             for row in CONFIG_SNAPSHOT]
+    snap = orders.sparkSession.range(1).select(F.inline(F.array(*fixed)))
     snap = snap.select("seq", "type", _cfg_struct(*[F.col(c) for c in (
         "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk",
         "sink_extend")]).alias("cfg"), F.lit(None).cast("string").alias("extra"))

@@ -3,13 +3,14 @@
 File sinks are made idempotent per micro-batch: a batch overwrites its
 own ``batch_id`` folder as a whole, so a replayed batch replaces its earlier
 attempt (exactly-once with the query checkpoint).  Spark's Kafka sink is
-at-least-once.
+at-least-once and its rows carry no batch id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +59,27 @@ def upsert_dimension(hbase_rows: DataFrame, path: str, batch_id: int, order: str
                 partition_by=("sink_table",))
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder, or None where it does not exist; every other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _dimension_log(spark: SparkSession, path: str) -> DataFrame:
+    """The upsert log with its compacted snapshots (each counts as the last batch folded into it)."""
+    parts = [p for p in (read_if_there(spark, path), read_if_there(spark, f"{path.rstrip('/')}_compact")) if p is not None]
+    if not parts:
+        raise ValueError(f"no dimension log at {path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """Current dimension rows: the newest batch's value per (sink_table, pk)."""
-    log = spark.read.parquet(path)
+    """Current dimension rows: the newest batch's value per (sink_table, pk), snapshots included."""
+    log = _dimension_log(spark, path)
     return (log.groupBy("sink_table", "pk")
                .agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data")))
 
@@ -68,10 +87,14 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
 def compact_dimension(spark: SparkSession, path: str, upto_batch: int) -> None:
     """Fold batches ``<= upto_batch`` of an upsert log into one snapshot
     written to ``<path>_compact`` (as batch ``upto_batch``, same layout).
-    Readers can union the snapshot with the log's later batches; the folded
-    log partitions can then be retired.  Re-running is idempotent."""
-    log = spark.read.parquet(path).where(F.col("batch_id") <= upto_batch)
+    ``read_dimension`` takes the snapshot with the log's later batches, so the
+    folded log partitions and older snapshots can then be retired.  Re-running
+    is idempotent."""
+    log = _dimension_log(spark, path).where(F.col("batch_id") <= upto_batch)
     snap = log.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data"))
+    # Cut from its own target first: a re-run reads the snapshot folder that it then overwrites.
+    snap = snap.checkpoint() if spark.sparkContext.getCheckpointDir() else snap.persist()
+    snap.count()
     write_batch(snap, f"{path.rstrip('/')}_compact", upto_batch, partition_by=("sink_table",))
 
 

@@ -32,8 +32,8 @@ from larkspur.sources import sinks as SK
 from larkspur.streaming import processors as PR
 
 REPAIR_SCHEMA = "rec_id long, mid string, is_new string, ts_ms long, day string, value string"
-UV_SCHEMA = "mid string, day string, rec_id long, ts_ms long"
-BOUNCE_SCHEMA = "mid string, rec_id long, ts_ms long, page_id string, kind string"
+UV_SCHEMA = "mid string, day string, rec_id long, ts_ms long, value string"
+BOUNCE_SCHEMA = "mid string, rec_id long, ts_ms long, page_id string, kind string, value string"
 
 
 def _schema(spark: SparkSession, ddl: str):
@@ -94,14 +94,19 @@ def base_log_query(lines: DataFrame, out_root: str, checkpoint: str,
 
 
 # --------------------------------------------------------------------- DWM
-def unique_visit_stream(pages: DataFrame, ttl_ms: int | None = PR.DAY_MS) -> DataFrame:
+def _with_text(pages: DataFrame) -> DataFrame:
+    """Pages with the record's text ``value`` (null where the source has typed columns only)."""
+    return pages if "value" in pages.columns else pages.withColumn("value", F.lit(None).cast("string"))
+
+
+def unique_visit_stream(pages: DataFrame, ttl_ms: int | None = PR.DAY_MS, zone: str = "UTC") -> DataFrame:
     """STA2 (stream): entry pages, processing-time TTL on the stored day.
 
     TTL needs ``timeMode="ProcessingTime"``; such a query keeps running
     no-data batches to expire state, so drive it with a processing-time
     trigger, not ``availableNow``.  ``ttl_ms=None`` keeps state forever
     (time mode "None")."""
-    e = pages.where(~F.col("has_last_page")).withColumn("day", epoch_to_day("ts_ms"))
+    e = _with_text(pages).where(~F.col("has_last_page")).withColumn("day", epoch_to_day("ts_ms", zone))
     schema = _schema(pages.sparkSession, UV_SCHEMA)
     mode = "None" if ttl_ms is None else "ProcessingTime"
     return e.groupBy("mid").transformWithState(
@@ -121,9 +126,9 @@ def unique_visit_dedup_stream(pages: DataFrame, delay: str = "1 day") -> DataFra
 
 def bounce_stream(pages: DataFrame, window_ms: int = 10_000) -> DataFrame:
     """CEP1-CEP3 (stream): monotonous watermark on ``ts``, event-time timers."""
-    x = (pages.withColumn("ts", ms_to_ts(F.col("ts_ms"))).withWatermark("ts", "0 seconds")
+    x = (_with_text(pages).withColumn("ts", ms_to_ts(F.col("ts_ms"))).withWatermark("ts", "0 seconds")
          .withColumn("is_entry", P.bounce_entry(pages))
-         .select("mid", "rec_id", "ts_ms", "page_id", "is_entry", "ts"))
+         .select("mid", "rec_id", "ts_ms", "page_id", "is_entry", "value", "ts"))
     schema = _schema(pages.sparkSession, BOUNCE_SCHEMA)
     return x.groupBy("mid").transformWithState(
         PR.BounceProcessor(window_ms), schema, "Append", "EventTime")
@@ -157,23 +162,19 @@ def late_split_batch(batch: DataFrame, batch_id: int, state_path: str, out_root:
                      order=("arrival_ms", "seq"), order_value: str = "arrival_ms") -> None:
     """WIN5 for one micro-batch with the per-record watermark rule: a
     record's watermark is the max event time of everything that arrived
-    before it (earlier batches, carried as a one-row state per batch, and
-    earlier records of this batch in ``order``) minus delay minus 1 ms.
+    before it (earlier batches, carried in the one row of the batch before,
+    and earlier records of this batch in ``order``) minus delay minus 1 ms.
+    A missing state fails the batch, except for the first.
     Late records go to the ``late`` output.  Batches must follow arrival
     order (as a topic / file stream does)."""
     spark = batch.sparkSession
-    try:
-        prev = (spark.read.parquet(state_path).where(F.col("batch_id") < batch_id)
-                .agg(F.max("max_ts")).first()[0])
-    except Exception:  # noqa: BLE001 - no state yet
-        prev = None
+    prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}").first()["max_ts"] if batch_id else None
     x = W.classify_lateness(batch, size_ms, delay_ms, lateness_ms, order=order, order_value=order_value,
                             initial_max_ts=prev).persist()
     try:
         SK.write_batch(x.where(F.col("class") != W.LATE), f"{out_root}/main", batch_id)
         SK.write_batch(x.where(F.col("class") == W.LATE), f"{out_root}/late", batch_id)
-        SK.write_batch(x.agg(F.max("ts_ms").alias("max_ts")).where(F.col("max_ts").isNotNull()),
-                       state_path, batch_id)
+        SK.write_batch(x.agg(F.greatest(F.max("ts_ms"), F.lit(prev).cast("long")).alias("max_ts")), state_path, batch_id)
     finally:
         x.unpersist()
 
@@ -191,12 +192,13 @@ def late_split_query(scores: DataFrame, out_root: str, checkpoint: str, size_ms:
 # ------------------------------------------------------------------ routing
 def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession], DataFrame],
                 out_root: str, order: str = "seq", dim_schema: str | None = None,
-                envelopes: bool = False) -> None:
+                envelopes: bool = False, publish: Callable[[DataFrame], None] | None = None) -> None:
     """Entry B for one micro-batch: normalise, route with the current config
     snapshot, write topic records and upsert dimensions.  With
     ``dim_schema`` the dimension tables of the config are created first.
     ``envelopes=True`` reads normalised envelopes (a CDC1 topic) instead of
-    raw change events.  ``order`` must order the records of a primary key
+    raw change events.  ``publish`` takes the topic records (``topic, value``)
+    in place of the topic files under ``out_root``.  ``order`` must order the records of a primary key
     totally: between equal values any one of the rows survives an upsert."""
     spark = batch.sparkSession
     latest = RT.latest_config(RT.config_versions(config(spark)))
@@ -205,7 +207,11 @@ def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession]
     norm = CDC.parse_envelopes(batch) if envelopes else CDC.normalize_change_events(batch)
     routed = RT.tag_by_sink(RT.route_latest(norm, latest)).persist()
     try:
-        SK.write_topics(RT.topic_value(routed.where(F.col("stream") == "main")), f"{out_root}/topics", batch_id)
+        records = RT.topic_value(routed.where(F.col("stream") == "main"))
+        if publish:
+            publish(records)
+        else:
+            SK.write_topics(records, f"{out_root}/topics", batch_id)
         side = routed.where(F.col("stream") == "side")
         SK.upsert_dimension(side, f"{out_root}/dims", batch_id, order)
         # per-batch counts: routed records and empty payloads the upsert skipped
@@ -220,7 +226,8 @@ def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession]
 
 def routing_query(changes: DataFrame, config: Callable[[SparkSession], DataFrame], out_root: str,
                   checkpoint: str, trigger: dict | None = None, order: str = "seq",
-                  dim_schema: str | None = None, envelopes: bool = False) -> StreamingQuery:
+                  dim_schema: str | None = None, envelopes: bool = False,
+                  publish: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     return (changes.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: route_batch(df, bid, config, out_root, order, dim_schema, envelopes))
+            .foreachBatch(lambda df, bid: route_batch(df, bid, config, out_root, order, dim_schema, envelopes, publish))
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -72,7 +72,7 @@ class UniqueVisitProcessor(StatefulProcessor):
         pass
 
 
-_BUF = "ts_ms long, rec_id long, is_entry boolean, page_id string"
+_BUF = "ts_ms long, rec_id long, is_entry boolean, page_id string, value string"
 
 
 class BounceProcessor(StatefulProcessor):
@@ -83,7 +83,7 @@ class BounceProcessor(StatefulProcessor):
     an entry within ``window_ms`` is *matched*; a pending entry whose next
     event is at least ``window_ms`` later, or that is still pending when the
     watermark reaches ``ts + window_ms``, is a *timeout*.  Output rows:
-    ``mid, rec_id, ts_ms, page_id, kind``."""
+    ``mid, rec_id, ts_ms, page_id, kind, value`` (the record's text)."""
 
     def __init__(self, window_ms: int = 10_000):
         self.w = window_ms
@@ -94,7 +94,7 @@ class BounceProcessor(StatefulProcessor):
         self.pending = handle.getValueState("pending", _BUF)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts_ms, r.rec_id, bool(r.is_entry), r.page_id) for r in rows]
+        new = [(r.ts_ms, r.rec_id, bool(r.is_entry), r.page_id, r.value) for r in rows]
         if new:
             self.buf.appendList(new)
             self.h.registerTimer(min(x[0] for x in new))
@@ -102,24 +102,28 @@ class BounceProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
+        rows = sorted((tuple(x) for x in self.buf.get()), key=lambda x: x[:2]) if self.buf.exists() else []
         ready = [x for x in rows if x[0] <= wm]
         rest = [x for x in rows if x[0] > wm]
         p = tuple(self.pending.get()) if self.pending.exists() else None
         mid = key[0]
         out = []
+
+        def found(p, kind):
+            return Row(mid=mid, rec_id=p[1], ts_ms=p[0], page_id=p[3], kind=kind, value=p[4])
+
         for e in ready:
             if p is not None and e[0] - p[0] >= self.w:
-                out.append(Row(mid=mid, rec_id=p[1], ts_ms=p[0], page_id=p[3], kind="timeout"))
+                out.append(found(p, "timeout"))
                 p = None
             if p is not None:
                 if e[2]:
-                    out.append(Row(mid=mid, rec_id=p[1], ts_ms=p[0], page_id=p[3], kind="matched"))
+                    out.append(found(p, "matched"))
                 p = None
             if e[2]:
                 p = e
         if p is not None and p[0] + self.w <= wm:
-            out.append(Row(mid=mid, rec_id=p[1], ts_ms=p[0], page_id=p[3], kind="timeout"))
+            out.append(found(p, "timeout"))
             p = None
         if ready:
             self.buf.clear()
