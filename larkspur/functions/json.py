@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(c: Column | str) -> Column:
@@ -53,10 +52,6 @@ def has_path(v: Column, p: str) -> Column:
     return F.try_variant_get(v, p, "variant").isNotNull()
 
 
-def is_json_null(v: Column, p: str) -> Column:
-    return F.coalesce(F.is_variant_null(F.try_variant_get(v, p, "variant")), F.lit(False))
-
-
 def as_map(v: Column) -> Column:
     """Top-level object as MAP<STRING, VARIANT> (NULL when not an object)."""
     return F.try_variant_get(v, "$", "map<string,variant>")
@@ -87,34 +82,3 @@ def prune_columns(data: Column, columns_csv: Column | str) -> Column:
 def object_keys(text: Column | str) -> Column:
     """JSN9: keys of a top-level JSON object, in document order."""
     return F.json_object_keys(_c(text))
-
-
-def encode(v: Column) -> Column:
-    """JSN7: JSON text of a VARIANT / struct / map value."""
-    return F.to_json(v)
-
-
-# JSN8: routing-config record (snake_case keys).
-TABLE_PROCESS_SCHEMA = T.StructType([
-    T.StructField("source_table", T.StringType()),
-    T.StructField("operate_type", T.StringType()),
-    T.StructField("sink_type", T.StringType()),
-    T.StructField("sink_table", T.StringType()),
-    T.StructField("sink_columns", T.StringType()),
-    T.StructField("sink_pk", T.StringType()),
-    T.StructField("sink_extend", T.StringType()),
-])
-
-
-def decode_config(text: Column | str, strict: bool = True) -> Column:
-    """JSN8: decode a config object into TABLE_PROCESS_SCHEMA.
-
-    ``strict`` rejects (returns NULL for) objects carrying unknown keys, the
-    default of the usual JSON-to-bean binders."""
-    t = _c(text)
-    rec = F.from_json(t, TABLE_PROCESS_SCHEMA)
-    if not strict:
-        return rec
-    known = F.array(*[F.lit(f.name) for f in TABLE_PROCESS_SCHEMA.fields])
-    unknown = F.size(F.array_except(F.coalesce(F.json_object_keys(t), F.array().cast("array<string>")), known))
-    return F.when(F.json_object_keys(t).isNotNull() & (unknown == 0), rec)

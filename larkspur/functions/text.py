@@ -1,4 +1,4 @@
-"""String helpers (STR1-STR3)."""
+"""String helpers (STR1, STR2)."""
 
 from __future__ import annotations
 
@@ -19,10 +19,3 @@ def topic_db_table(topic: Column | str) -> tuple[Column, Column]:
     """STR2: '<server>.<db>.<table>' -> (db, table)."""
     t = _c(topic)
     return F.split_part(t, F.lit("."), F.lit(2)), F.split_part(t, F.lit("."), F.lit(3))
-
-
-def route_key(table: Column | str, operation: Column | str) -> Column:
-    """STR3: display form of a routing key ``table_operation``.
-
-    Routing itself joins on the two columns, so keys cannot collide."""
-    return F.concat_ws("_", _c(table), _c(operation))

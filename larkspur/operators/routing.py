@@ -18,7 +18,8 @@ from larkspur.functions import json as J
 from larkspur.plans import segmented as S
 
 SINK_KAFKA, SINK_HBASE, SINK_CLICKHOUSE = "kafka", "hbase", "clickhouse"   # fixed sink names
-CFG_FIELDS = [f.name for f in J.TABLE_PROCESS_SCHEMA.fields]
+# JSN8: fields of a routing-config record (fixed names).
+CFG_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend"]
 _CFG_DDL = ", ".join(f"{f} string" for f in CFG_FIELDS)
 DEFAULT_PK = "id"
 DEFAULT_DIM_SCHEMA = "DIM"

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from larkspur.functions.json import TABLE_PROCESS_SCHEMA
-
 S, L, I = T.StringType(), T.LongType(), T.IntegerType()
 
 
@@ -27,21 +25,4 @@ APP_LOG = _s(
     ("displays", T.ArrayType(T.VariantType())),
 )
 
-CHANGE_EVENT = _s(
-    ("before", T.MapType(S, T.VariantType())),
-    ("after", T.MapType(S, T.VariantType())),
-    ("op", S),
-    ("source", _s(("db", S), ("table", S))),
-)
-
-CDC_ENVELOPE = _s(("data", T.MapType(S, T.VariantType())), ("operation", S), ("dbname", S), ("table", S))
-
-CONFIG_ENVELOPE = _s(("data", TABLE_PROCESS_SCHEMA), ("type", S), ("database", S), ("table", S))
-
-TABLE_PROCESS = TABLE_PROCESS_SCHEMA
-
-LOGIN_EVENT = _s(("user_id", S), ("ip_address", S), ("event_type", S), ("timestamp", L))
-
-SCORE = _s(("name", S), ("score", L), ("epoch_ms", L))
-
 STUDENT = _s(("name", S), ("age", I), ("student", _s(("name", S), ("age", I))))
