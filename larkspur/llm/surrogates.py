@@ -47,8 +47,8 @@ CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IP = r"(?<![\w.-])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w-]|\.\d)"
 NAME = rf"(?<![\p{{L}}])(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?![\p{{L}}])"
 ANY = "|".join((EMAIL, SECRET, ACCESS, SSN, PHONE, CARD, IP, NAME))
-#: What every entity has; texts without it are not searched.
-HINT = rf"@|\d{{3}}|\d\.\d|(?i:{_SECRET_WORD})|(?:{_TITLES})\.? \p{{Lu}}"
+#: What every entity has; texts without it are not searched.  Digits of a number may stand alone between separators.
+HINT = rf"@|AKIA|ASIA|\d[ ().\-/]{{0,3}}\d|(?i:{_SECRET_WORD})|(?:{_TITLES})\.? \p{{Lu}}"
 
 
 def _unit(kind, unit) -> Column:
