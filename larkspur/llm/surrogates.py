@@ -39,7 +39,8 @@ _TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 _SECRET_WORD = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-SECRET = rf"(?<!\w)(?i:{_SECRET_WORD})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[^\s\"',;]{{6,256}}"
+# What stands before the key word (db_, client-) stays as it is; the value is read to its end, without going back.
+SECRET = rf"(?i:{_SECRET_WORD})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[^\s\"',;]{{6,}}+"
 ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
@@ -127,8 +128,13 @@ def _syllables(stream: Column, n: Column, first: str, second: str) -> Column:
 
 def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit at the given attempt."""
+    # The stream is bound once a row: inside the functions on single characters it would be hashed for each of them.
     seed = F.concat_ws("|", F.lit(key), kind, unit, attempt.cast("string"))
     stream = F.concat(*(F.sha2(F.concat(seed, F.lit(f"|{i}")).cast("binary"), 256) for i in range(4)))
+    return F.element_at(F.transform(F.array(stream), lambda x: _drawn(kind, unit, attempt, x)), 1)
+
+
+def _drawn(kind: Column, unit: Column, attempt: Column, stream: Column) -> Column:
     number = _same_shape(unit, stream)
     n = F.length(unit)
     local, domain = F.substring_index(unit, "@", 1), F.regexp_extract(unit, "@([^.]*)", 1)

@@ -192,6 +192,16 @@ def test_surrogates_each_type_alone(spark):
     assert n == [1] * len(n) and not [x for x, t in zip(alone + ["hunterab"], got) if x in t]
 
 
+def test_surrogates_long_and_prefixed_secrets(spark):
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFG0123456789-_.") for _ in range(5000))
+    texts = [f"token={long}", f"token={long[:-1]}#", "db_password=hunter2222", 'client_secret="hunter3333"', "my_token: hunter4444", "X-API-Key: hunter5555"]
+    got, n = replaced(spark, texts)
+    assert n == [1] * 6 and got[0] != got[1] and not any("hunter" in t for t in got)
+    assert all(len(t) == 5006 and not any(t[i:i + 12] in long for i in range(6, 4990)) for t in got[:2])
+    assert [t[:len(p)] for t, p in zip(got[2:], ("db_password=", 'client_secret="', "my_token: ", "X-API-Key: "))] == ["db_password=", 'client_secret="', "my_token: ", "X-API-Key: "]
+
+
 def test_tiling(spark, docs, none):
     item = passage(9, 40).split()
     rows = [(1, " ".join(item[20:] + ["and", "then"] + item[:20])), (2, " ".join(item).upper() + "!"), (3, " ".join(item[:12])), (4, None), (5, ""), (None, " ".join(item)),
