@@ -1,15 +1,17 @@
 r"""PII surrogates: keyed, type-consistent replacements of detected entities (DataFrame functions only).
 
 Detected are e-mail addresses, phone, card and social security numbers, IPv4 addresses, access keys, values of
-password / token / secret assignments, and names after a title.  An entity's unit (lower-cased address, digits of a
+password / token / secret assignments, names after a title and their repeats in the document.  An entity's unit (lower-cased address, digits of a
 number, word of a name with its role) is replaced by a surrogate drawn from SHA-256 of (key, type, unit, attempt):
 
 * numbers keep length, punctuation, country code or first digit; cards get a valid check digit, IPv4 addresses go to
   10/8 (after four collisions to 240/4), social security numbers to the unassigned 9xx area;
 * addresses keep the shape of the local part and end in example.com; secrets keep character classes (hex stays hex)
   and, after three collisions, grow longer;
-* given names follow the title's gender, surnames the script (Latin or Cyrillic, with gendered Cyrillic endings); a
-  name part is replaced alike with or without the other.
+* given names follow the person's gender (of the title, or else of another mention in the document), surnames the
+  script (Latin or Cyrillic, with gendered Cyrillic endings); a name has any number of parts, particles stay; a part is
+  replaced alike with or without the others, and also where the document repeats it without a title (if longer than
+  one letter).
 
 Equal units get equal surrogates in all documents (coreference).  Distinct units of a type get distinct surrogates,
 none of which is itself a unit found in the corpus: collisions are found by grouping the surrogates, all but the first
@@ -36,6 +38,8 @@ MALE = ("Mr", "Sir", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Don", "г-н
 FEMALE = ("Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "г-жа", "госпожа")
 NEUTRAL = ("Dr", "Prof", "д-р")
 _TITLES = "|".join(MALE + FEMALE + NEUTRAL)
+#: Lower-case words inside a name; they stay as they are.
+_PARTICLES = "von|vom|van|der|den|de|du|di|da|do|dos|das|del|della|des|la|las|le|los|zu|zum|zur|ter|ten|bin|ibn|el|al|af|av|y|e"
 _SECRET_WORD = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
@@ -46,49 +50,94 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
 CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IP = r"(?<![\w.-])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w-]|\.\d)"
-NAME = rf"(?<![\p{{L}}])(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?![\p{{L}}])"
+# A part is a capitalised word with inner capitals, hyphens and apostrophes (not a closing 's), or an initial before another part.
+_PART = (r"(?:(?:\p{Ll}{1,5}['’-])?\p{Lu}[\p{L}\p{M}]++(?:(?!['’]s(?![\p{L}\p{M}]))['’-][\p{L}\p{M}]++)*+"
+         r"|\p{Lu}['’-][\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+|\p{Lu}\.(?= [\p{L}])|\p{Lu}(?![\p{L}\p{M}]))")
+_NEXT = rf"(?:(?:{_PARTICLES}) ){{0,4}}(?!(?:{_TITLES})\.? (?:(?:{_PARTICLES}) ){{0,4}}\p{{Lu}}){_PART}"
+NAME = rf"(?<![\p{{L}}])(?:(?:{_TITLES})\.? ){{1,4}}{_NEXT}(?: {_NEXT})*+"
 ANY = "|".join((EMAIL, SECRET, ACCESS, SSN, PHONE, CARD, IP, NAME))
 #: What every entity has; texts without it are not searched.  Digits of a number may stand alone between separators.
-HINT = rf"@|AKIA|ASIA|\d[ ().\-/]{{0,3}}\d|(?i:{_SECRET_WORD})|(?:{_TITLES})\.? \p{{Lu}}"
+HINT = rf"@|AKIA|ASIA|\d[ ().\-/]{{0,3}}\d|(?i:{_SECRET_WORD})|(?:{_TITLES})\.? \p{{L}}"
+_TITLED = rf"^(?:(?:{_TITLES})\.? ){{1,4}}"
 
 
 def _unit(kind, unit) -> Column:
     return F.struct((kind if isinstance(kind, Column) else F.lit(kind)).alias("kind"), unit.alias("unit"))
 
 
+def _let(x: Column, f) -> Column:
+    """f(x) with x evaluated once, not again for every element in f's own lambdas."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def _digits(x: Column) -> Column:
     return F.regexp_replace(x, r"\D", "")
 
 
 def _title_gender(m: Column) -> Column:
-    t = F.regexp_extract(m, rf"^({_TITLES})\.? ", 1)
-    return F.when(t.isin(*MALE), "m").when(t.isin(*FEMALE), "f").otherwise("n")
+    titles = F.transform(F.split(F.rtrim(F.regexp_extract(m, _TITLED, 0)), " "), lambda x: F.rtrim(x, F.lit(".")))
+    has = lambda known: F.exists(titles, lambda x: x.isin(*known))
+    return F.when(has(MALE), "m").when(has(FEMALE), "f").otherwise("n")
 
 
 def _secret_value(m: Column) -> Column:
     return F.regexp_extract(m, rf"^(?i:{_SECRET_WORD})[\"']?[ \t]*[=:][ \t]*[\"']?(.*)$", 1)
 
 
-def _name_words(m: Column) -> Column:
-    return F.split(F.regexp_replace(m, rf"^(?:{_TITLES})\.? ", ""), " ")
+def _name_pieces(m: Column) -> Column:
+    """The parts of a titled name with the particles before them."""
+    return F.split(F.regexp_replace(m, _TITLED, ""), rf"(?<!(?:^| )(?:{_PARTICLES})) ")
+
+
+def _particles(piece: Column) -> Column:
+    return F.regexp_extract(piece, rf"^(?:(?:{_PARTICLES}) )*", 0)
+
+
+def _mention(m: Column) -> Column:
+    """The parts of a titled name, in order: the last is the surname, the ones before it are given names."""
+    pieces = F.transform(_name_pieces(m), lambda x: F.substr(x, F.length(_particles(x)) + 1))
+    return _let(F.struct(pieces.alias("p"), _title_gender(m).alias("g")), lambda a: F.transform(a["p"], lambda x, i: F.struct(
+        x.alias("form"), F.lower(x).alias("word"), a["g"].alias("gender"), F.lower(F.element_at(a["p"], -1)).alias("last"),
+        F.when(F.size(a["p"]) == 1, "single").when(i == F.size(a["p"]) - 1, "last").otherwise("given").alias("role"))))
+
+
+def _name_unit(part: Column, known: Column) -> Column:
+    """The unit of a part among all parts ``known`` in the document.
+
+    A single word is a given name if it is one elsewhere and a surname nowhere.  The gender is the title's, or else the
+    only one known for the word, or else the only one known for the surname."""
+    role = lambda r: F.exists(known, lambda k: (k["word"] == part["word"]) & (k["role"] == r))
+    given = (part["role"] == "given") | ((part["role"] == "single") & role("given") & ~role("last"))
+    only = lambda same: F.array_distinct(F.transform(F.filter(known, lambda k: same(k) & (k["gender"] != "n")), lambda k: k["gender"]))
+    own, house = only(lambda k: k["word"] == part["word"]), only(lambda k: k["last"] == part["last"])
+    g = (F.when(part["gender"] != "n", part["gender"]).when(F.size(own) == 1, F.get(own, F.lit(0)))
+         .when((F.size(own) == 0) & (F.size(house) == 1), F.get(house, F.lit(0))).otherwise("n"))
+    script = F.when(F.rlike(part["word"], F.lit(r"[Ѐ-ӿ]")), "cyrillic").otherwise("latin")
+    return _unit(F.when(given, F.concat(F.lit("given-"), script, F.lit("-"), g)).otherwise(
+        F.concat(F.lit("surname-"), script, F.when(script == "cyrillic", F.concat(F.lit("-"), g)).otherwise(""))), part["word"])
+
+
+def _repeats(known: Column) -> Column:
+    """ANY, or one of the known names without a title (longer ones first; single letters would be in any text)."""
+    forms = F.filter(F.transform(known, lambda k: k["form"]), lambda x: F.rlike(x, F.lit(r"\p{L}[^.]*\p{L}")))
+    forms = F.array_distinct(F.concat(forms, F.transform(forms, lambda x: F.upper(x))))
+    forms = F.transform(F.reverse(F.array_sort(F.transform(forms, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))), lambda x: x["x"])
+    return F.when(F.size(forms) > 0, F.concat(F.lit(ANY + r"|(?<![\p{L}\p{M}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{M}])"))).otherwise(F.lit(ANY))
 
 
-def units_of(m: Column) -> Column:
-    """The units of one match, in order (two for a full name)."""
-    words, g = _name_words(m), _title_gender(m)
-    script = F.when(F.rlike(m, F.lit(r"[Ѐ-ӿ]+$")), "cyrillic").otherwise("latin")
-    given = _unit(F.concat(F.lit("given-"), script, F.lit("-"), g), F.lower(F.element_at(words, 1)))
-    last = _unit(F.concat(F.lit("surname-"), script, F.when(script == "cyrillic", F.concat(F.lit("-"), g)).otherwise("")),
-                 F.lower(F.element_at(words, -1)))
+def units_of(m: Column, known: Column) -> Column:
+    """The units of one match, in order (one for each part of a name); ``known`` are the parts of the document's names."""
     full = lambda p: F.rlike(m, F.lit(f"^(?:{p})$"))
-    return (F.when(full(EMAIL), F.array(_unit("email", F.lower(m))))
+    same = F.filter(known, lambda k: (k["form"] == m) | (F.upper(k["form"]) == m))
+    return (F.when(F.rlike(m, F.lit(_TITLED)), F.transform(_mention(m), lambda x: _name_unit(x, known)))
+            .when(F.size(same) > 0, F.array(_name_unit(F.get(same, F.lit(0)), known)))
+            .when(full(EMAIL), F.array(_unit("email", F.lower(m))))
             .when(full(SECRET), F.array(_unit("secret", _secret_value(m))))
             .when(full(ACCESS), F.array(_unit("access", m)))
             .when(full(SSN), F.array(_unit("ssn", _digits(m))))
             .when(full(PHONE), F.array(_unit("phone", _digits(m))))
             .when(full(CARD), F.array(_unit("card", _digits(m))))
-            .when(full(IP), F.array(_unit("ip", m)))
-            .otherwise(F.when(F.size(words) > 1, F.array(given, last)).otherwise(F.array(last))))
+            .otherwise(F.array(_unit("ip", m))))
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -131,7 +180,7 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     # The stream is bound once a row: inside the functions on single characters it would be hashed for each of them.
     seed = F.concat_ws("|", F.lit(key), kind, unit, attempt.cast("string"))
     stream = F.concat(*(F.sha2(F.concat(seed, F.lit(f"|{i}")).cast("binary"), 256) for i in range(4)))
-    return F.element_at(F.transform(F.array(stream), lambda x: _drawn(kind, unit, attempt, x)), 1)
+    return _let(stream, lambda x: _drawn(kind, unit, attempt, x))
 
 
 def _drawn(kind: Column, unit: Column, attempt: Column, stream: Column) -> Column:
@@ -201,11 +250,12 @@ def _replacement(m: Column, units: Column, found: Column) -> Column:
     """What stands for match m with these units, given the map (kind, unit) -> surrogate."""
     one = F.element_at(units, 1)
     kind, s = one["kind"], F.element_at(found, one)
-    title = F.regexp_extract(m, rf"^(?:{_TITLES})\.? ", 0)
+    title = F.regexp_extract(m, _TITLED, 0)
+    name = F.transform(F.arrays_zip(_name_pieces(m).alias("p"), units.alias("u")), lambda z: F.concat(_particles(z["p"]), F.element_at(found, z["u"])))
     return (F.when(kind.isin("phone", "card", "ssn"), _fill(m, s))
             .when(kind.isin("email", "ip", "access"), s)
             .when(kind == "secret", F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(one["unit"])), s))
-            .otherwise(F.concat(title, F.array_join(F.transform(units, lambda u: F.element_at(found, u)), " "))))
+            .otherwise(F.concat(title, F.array_join(name, " "))))
 
 
 def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
@@ -216,13 +266,17 @@ def pseudonymize(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     hit = F.coalesce(F.rlike(t, F.lit(HINT)) & F.rlike(t, F.lit(ANY)), F.lit(False))
     none = docs.where(~hit).withColumns({"n_entities": F.lit(0), "entity_types": F.expr("cast(array() as array<string>)")})
     rows = docs.where(hit).withColumn("__key", F.xxhash64(*columns[:1], text)).withColumn("__m", F.regexp_extract_all(t, F.lit(ANY), 0))
-    rows = rows.withColumn("__u", F.transform("__m", units_of))
+    titled = F.filter("__m", lambda m: F.rlike(m, F.lit(_TITLED)))
+    rows = rows.withColumn("__k", F.array_distinct(F.flatten(F.transform(titled, _mention)))).withColumn("__p", _repeats(F.col("__k")))
+    # Only documents with names are searched again, for these names without a title.
+    rows = rows.withColumn("__m", F.when(F.size("__k") > 0, F.regexp_extract_all(t, F.col("__p"), 0)).otherwise(F.col("__m")))
+    rows = rows.withColumn("__u", F.transform("__m", lambda m: units_of(m, F.col("__k"))))
     flat = rows.select("__key", F.explode(F.array_distinct(F.flatten("__u"))).alias("u")).select("__key", "u.kind", "u.unit")
     flat = cut(flat.distinct())
     table = assign(flat, key)
     maps = (flat.join(table, ["kind", "unit"]).groupBy("__key")
             .agg(F.map_from_entries(F.collect_list(F.struct(F.struct("kind", "unit"), "surrogate"))).alias("__map")))
-    parts = F.split(t, ANY, -1)
+    parts = F.when(F.size("__k") > 0, F.split(t, F.col("__p"), -1)).otherwise(F.split(t, ANY, -1))
     new = F.transform(F.arrays_zip("__m", "__u"), lambda z: _replacement(z["__m"], z["__u"], F.col("__map")))
     body = F.array_join(F.concat(F.array(F.element_at(parts, 1)), F.transform(new, lambda r, i: F.concat(r, F.element_at(parts, i + 2)))), "")
     done = (rows.join(maps, "__key").withColumns({

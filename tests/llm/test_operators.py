@@ -202,6 +202,28 @@ def test_surrogates_long_and_prefixed_secrets(spark):
     assert [t[:len(p)] for t, p in zip(got[2:], ("db_password=", 'client_secret="', "my_token: ", "X-API-Key: "))] == ["db_password=", 'client_secret="', "my_token: ", "X-API-Key: "]
 
 
+def test_surrogates_names(spark):
+    texts = ["Dr Anna Maria Schmidt came", "Frau Anne-Marie Lang came", "Mr McDonald and Mr O'Brien came", "Mr Smith's boat. Smith said; SMITH left, blacksmith Smithson stayed",
+             "Dr Anna Lee met Mrs Anna Lee, then Anna left", "Dr Anna Lee left. Mrs Lee stayed", "Frau von der Leyen and Herr Prof. Dr. J. K. Weber; Weber spoke, Leyen too",
+             "д-р Иванова и г-жа Иванова; Иванова ушла", "Mr Kim Day and Mrs Kim Poe", "Mrs Anna Smith and Dr Anna", " ".join(["Mr"] + ["Abc"] * 20000)]
+    got, n = replaced(spark, texts)
+    clear = ["Anna", "Maria", "Schmidt", "Anne", "Marie", "Lang", "Donald", "Brien", "Smith ", "Smith'", "SMITH", "Lee", "Leyen", "Weber", "Иванова", "Kim", "Day", "Poe", "Abc"]
+    assert not [(t, w) for t in got for w in clear if w in t]
+    assert n == [1, 1, 2, 3, 3, 2, 4, 3, 2, 2, 1]
+    assert len(got[0].split()) == 5 and len(got[1].split()) == 4
+    w = got[3].replace(".", "").split()
+    assert w[1].endswith("'s") and w[1][:-2] == w[3] and w[-1] == "stayed" and "blacksmith Smithson" in got[3]
+    w = got[4].replace(",", "").split()
+    assert w[1] == w[5] == w[8] and w[2] == w[6] and w[1].endswith("na")
+    w = got[5].replace(".", "").split()
+    assert w[1].endswith("na") and w[2] == w[5]
+    w = got[6].replace(";", "").split()
+    assert w[:3] == ["Frau", "von", "der"] and w[5:8] == ["Herr", "Prof.", "Dr."] or w[4:8] == ["and", "Herr", "Prof.", "Dr."]
+    assert w[3] == w[-2] and got[7].replace(";", "").split()[1] == got[7].replace(";", "").split()[4] == got[7].split()[-2]
+    w = got[8].split()
+    assert w[1].endswith("ron") and w[5].endswith("na") and got[9].split()[1] == got[9].split()[-1]
+
+
 def test_tiling(spark, docs, none):
     item = passage(9, 40).split()
     rows = [(1, " ".join(item[20:] + ["and", "then"] + item[:20])), (2, " ".join(item).upper() + "!"), (3, " ".join(item[:12])), (4, None), (5, ""), (None, " ".join(item)),
