@@ -1,10 +1,10 @@
 r"""PII surrogates: keyed, type-consistent replacements of detected entities (DataFrame functions only).
 
-Detected are e-mail addresses, phone, card and social security numbers, IPv4 addresses, access keys, values of
+Detected are e-mail addresses, phone (international, North American, national with a leading 0, Spanish, bare ten digits), card and social security numbers, IPv4 addresses, access keys, values of
 password / token / secret assignments, names after a title and their repeats in the document.  An entity's unit (lower-cased address, digits of a
 number, word of a name with its role) is replaced by a surrogate drawn from SHA-256 of (key, type, unit, attempt):
 
-* numbers keep length, punctuation, country code or first digit; cards get a valid check digit, IPv4 addresses go to
+* numbers keep length, punctuation, country code, trunk digit or first digit; cards get a valid check digit, IPv4 addresses go to
   10/8 (after four collisions to 240/4), social security numbers to the unassigned 9xx area;
 * addresses keep the shape of the local part and end in example.com; secrets keep character classes (hex stays hex)
   and, after three collisions, grow longer;
@@ -47,15 +47,25 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-
 SECRET = rf"(?i:{_SECRET_WORD})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[^\s\"',;]{{6,}}+"
 ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+# A further digit of a phone, at most three separators on; a card number after a space is not part of it.
+_MORE = r"(?:(?! (?:\d{4}[ -]?){3}\d)[ ().\-/]{0,3}\d)"
+#: ITU country codes.
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+# International (+ or 00; +1 has ten digits more), then the North American grouping.
+PHONE = (rf"(?<![\w+.-])(?:\+1{_MORE}{{10}}(?!\d)|(?:\+|00[ -]?)[1-9]{_MORE}{{7,14}}(?!\d)"
+         r"|(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))")
 CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IP = r"(?<![\w.-])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w-]|\.\d)"
+# National forms: a leading 0 (not before a date), nine digits from 6 on (Spain), ten bare digits or 1 and ten.
+_DATE = r"\d{1,2}[ ./-]\d{1,2}[ ./-](?:19|20)\d\d(?!\d)"
+LOCAL = (rf"(?<![\w+.-])(?:(?!{_DATE})(?:\(0[1-9]|0[ -]?[1-9]){_MORE}{{6,10}}(?!\d)"
+         r"|(?:[6-9]\d{8}|[6-9]\d\d[ -]\d{3}[ -]\d{3}|[6-9]\d\d[ .-]\d\d[ .-]\d\d[ .-]\d\d|[89]\d[ .-]\d{3}[ .-]\d\d[ .-]\d\d|1?\d{10})(?![\w-]|\.\d))")
 # A part is a capitalised word with inner capitals, hyphens and apostrophes (not a closing 's), or an initial before another part.
 _PART = (r"(?:(?:\p{Ll}{1,5}['’-])?\p{Lu}[\p{L}\p{M}]++(?:(?!['’]s(?![\p{L}\p{M}]))['’-][\p{L}\p{M}]++)*+"
          r"|\p{Lu}['’-][\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+|\p{Lu}\.(?= [\p{L}])|\p{Lu}(?![\p{L}\p{M}]))")
 _NEXT = rf"(?:(?:{_PARTICLES}) ){{0,4}}(?!(?:{_TITLES})\.? (?:(?:{_PARTICLES}) ){{0,4}}\p{{Lu}}){_PART}"
 NAME = rf"(?<![\p{{L}}])(?:(?:{_TITLES})\.? ){{1,4}}{_NEXT}(?: {_NEXT})*+"
-ANY = "|".join((EMAIL, SECRET, ACCESS, SSN, PHONE, CARD, IP, NAME))
+ANY = "|".join((EMAIL, SECRET, ACCESS, SSN, PHONE, CARD, IP, LOCAL, NAME))
 #: What every entity has; texts without it are not searched.  Digits of a number may stand alone between separators.
 HINT = rf"@|AKIA|ASIA|\d[ ().\-/]{{0,3}}\d|(?i:{_SECRET_WORD})|(?:{_TITLES})\.? \p{{L}}"
 _TITLED = rf"^(?:(?:{_TITLES})\.? ){{1,4}}"
@@ -74,6 +84,12 @@ def _digits(x: Column) -> Column:
     return F.regexp_replace(x, r"\D", "")
 
 
+def _phone(m: Column) -> Column:
+    """The digits, after a + where the number has a country code."""
+    return (F.when(F.startswith(m, F.lit("+")), F.concat(F.lit("+"), _digits(m)))
+            .when(F.startswith(m, F.lit("00")), F.concat(F.lit("+"), F.substr(_digits(m), F.lit(3)))).otherwise(_digits(m)))
+
+
 def _title_gender(m: Column) -> Column:
     titles = F.transform(F.split(F.rtrim(F.regexp_extract(m, _TITLED, 0)), " "), lambda x: F.rtrim(x, F.lit(".")))
     has = lambda known: F.exists(titles, lambda x: x.isin(*known))
@@ -135,9 +151,10 @@ def units_of(m: Column, known: Column) -> Column:
             .when(full(SECRET), F.array(_unit("secret", _secret_value(m))))
             .when(full(ACCESS), F.array(_unit("access", m)))
             .when(full(SSN), F.array(_unit("ssn", _digits(m))))
-            .when(full(PHONE), F.array(_unit("phone", _digits(m))))
+            .when(full(PHONE), F.array(_unit("phone", _phone(m))))
             .when(full(CARD), F.array(_unit("card", _digits(m))))
-            .otherwise(F.array(_unit("ip", m))))
+            .when(full(IP), F.array(_unit("ip", m)))
+            .otherwise(F.array(_unit("phone", _phone(m)))))
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -189,9 +206,9 @@ def _drawn(kind: Column, unit: Column, attempt: Column, stream: Column) -> Colum
     local, domain = F.substring_index(unit, "@", 1), F.regexp_extract(unit, "@([^.]*)", 1)
     email = F.concat(_same_shape(local, stream), F.lit("@"), _same_shape(domain, F.reverse(stream)),
                      F.when(attempt > 2, attempt.cast("string")).otherwise(""), F.lit(".example.com"))
-    # Phones keep what stands before the last ten digits and get an area code that does not begin with 0 or 1.
-    phone = F.concat(F.substr(unit, F.lit(1), n - 10), _pick("23456789", _byte(stream, F.lit(60))),
-                     F.substr(number, n - 8, F.lit(9)))
+    # Phones keep the country code and a trunk 0 or 1; the next digit is not 0 or 1.
+    lead = F.regexp_extract(unit, rf"^(?:\+{_COUNTRY}0?|0|1(?=\d{{10}}$))?", 0)
+    phone = F.concat(lead, _pick("23456789", _byte(stream, F.lit(60))), F.substr(number, F.length(lead) + 2, n))
     card = _luhn(F.concat(F.substr(unit, F.lit(1), F.lit(1)), F.substr(number, F.lit(2), n - 2)))
     # 10/8 holds 16 million addresses; whoever still collides goes to the reserved 240/4.
     ip = F.concat_ws(".", F.when(attempt > 3, (_byte(stream, F.lit(3)) % 15 + 240).cast("string")).otherwise("10"),
@@ -252,7 +269,8 @@ def _replacement(m: Column, units: Column, found: Column) -> Column:
     kind, s = one["kind"], F.element_at(found, one)
     title = F.regexp_extract(m, _TITLED, 0)
     name = F.transform(F.arrays_zip(_name_pieces(m).alias("p"), units.alias("u")), lambda z: F.concat(_particles(z["p"]), F.element_at(found, z["u"])))
-    return (F.when(kind.isin("phone", "card", "ssn"), _fill(m, s))
+    return (F.when(kind == "phone", _fill(m, F.concat(F.when(F.startswith(m, F.lit("00")), "00").otherwise(""), _digits(s))))
+            .when(kind.isin("card", "ssn"), _fill(m, s))
             .when(kind.isin("email", "ip", "access"), s)
             .when(kind == "secret", F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(one["unit"])), s))
             .otherwise(F.concat(title, F.array_join(name, " "))))

@@ -224,6 +224,22 @@ def test_surrogates_names(spark):
     assert w[1].endswith("ron") and w[5].endswith("na") and got[9].split()[1] == got[9].split()[-1]
 
 
+def test_surrogates_phones(spark):
+    phones = {"+49 30 12345678": "+49", "+44 20 7946 0958": "+44", "+44 (0)20 7946 0958": "+44 (0)", "+33 1 23 45 67 89": "+33", "2125550199": "", "0033 1 23 45 67 89": "0033",
+              "+4930123456": "+49", "01 23 45 67 89": "0", "(030) 1234567": "(0", "0171/1234567": "0", "912 345 678": "", "612345678": "", "12125550199": "1", "+1 (212) 555-0199": "+1",
+              "+352 621 123 456": "+352"}
+    got, n = replaced(spark, [f"call {x} now" for x in phones])
+    assert n == [1] * len(phones)
+    for (x, lead), t in zip(phones.items(), got):
+        y = t.removeprefix("call ").removesuffix(" now")
+        assert y != x and y.startswith(lead) and [c if not c.isdigit() else "0" for c in y] == [c if not c.isdigit() else "0" for c in x]
+    strip = lambda x: "".join(c for c in x if c.isdigit())
+    assert strip(got[3]).removeprefix("33") == strip(got[5]).removeprefix("0033")
+    texts = ["on 01.02.2023 and 05/06/2021", "items 12 345 and 00012345", "+33 1 23 45 67 89 4111 1111 1111 1111", "card 6011 1111 1111 1117"]
+    got, n = replaced(spark, texts)
+    assert n == [0, 0, 2, 1] and got[:2] == texts[:2] and got[2][17:19] == " 4" and "1111" not in got[2]
+
+
 def test_tiling(spark, docs, none):
     item = passage(9, 40).split()
     rows = [(1, " ".join(item[20:] + ["and", "then"] + item[:20])), (2, " ".join(item).upper() + "!"), (3, " ".join(item[:12])), (4, None), (5, ""), (None, " ".join(item)),
