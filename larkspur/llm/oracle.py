@@ -78,7 +78,59 @@ c AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
 SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(comp.component, v.vec_id) AS component_id,
   v.vec_id = coalesce(comp.component, v.vec_id) AS kept FROM v LEFT JOIN c ON c.a = v.vec_id LEFT JOIN comp ON comp.id = v.vec_id"""
 
+#: crc32 of the decimal digits of an integer column, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}::VARCHAR) * 9 + 1),
+  lambda k: CASE WHEN k % 9 = 1 THEN ascii(substr({0}::VARCHAR, ((k - 1) // 9 + 1)::INTEGER, 1))::BIGINT ELSE -1 END)),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _mark(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR END"
+
+
+def _tree(name: str, leaves: str, levels: int = 6) -> str:
+    """Tables of a tree by group g over ``leaves`` (g, pos, h, n): {name}_i its levels, {name}_top (g, h), {name}_path
+    (g, pos, l0, r0, l1, ..): the siblings left and right of each leaf on every level (null where there is none)."""
+    out = [f"{name}_0 AS (SELECT g, pos, h, n FROM {leaves})"]
+    for i in range(levels):
+        out.append(f"""{name}_{i + 1} AS (SELECT g, pos // 16 AS pos, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+  (n + 15) // 16 AS n FROM {name}_{i} GROUP BY g, pos // 16, n)""")
+        out.append(f"""{name}_s{i} AS (SELECT x.g, x.pos, CASE WHEN x.n > 1 THEN coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') END AS l,
+  CASE WHEN x.n > 1 THEN coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') END AS r
+  FROM {name}_{i} x JOIN {name}_{i} y ON x.g = y.g AND x.pos // 16 = y.pos // 16 GROUP BY x.g, x.pos, x.n)""")
+    out.append(f"{name}_top AS (SELECT g, h FROM {name}_{levels})")
+    sides = ", ".join(f"s{i}.l AS l{i}, s{i}.r AS r{i}" for i in range(levels))
+    joins = " ".join(f"JOIN {name}_s{i} s{i} ON s{i}.g = x.g AND s{i}.pos = x.pos // {16 ** i}" for i in range(levels))
+    out.append(f"{name}_path AS (SELECT x.g, x.pos, {sides} FROM {name}_0 x {joins})")
+    return ",\n".join(out)
+
+
+def _chained(name: str, source: str, path: str, levels: int = 6) -> str:
+    """Folding as a chain of tables, so that no level's expression holds the one below twice."""
+    steps = [f"{name}_0 AS (SELECT *, start AS h FROM {source})"]
+    for i in range(levels):
+        steps.append(f"{name}_{i + 1} AS (SELECT * REPLACE (CASE WHEN {path}l{i} IS NULL THEN h ELSE sha256({path}l{i} || h || {path}r{i}) END AS h) FROM {name}_{i})")
+    return ",\n".join(steps)
+
+
+_LEAF = "sha256(" + " || ".join(_mark(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_JOINED = " || ".join(f"coalesce({{0}}l{i} || {{0}}r{i}, '')" for i in range(6))
+OP11 = f"""WITH d AS (SELECT doc_id, source, coalesce('=' || source, '') AS g, {_LEAF.format("text")} AS h,
+  CASE WHEN {_CRC.format("doc_id")} % 5 = 0 THEN {_LEAF.format(_LOWER.format("text"))} END AS claim FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+{_tree("doc", "leaves")},
+tops AS (SELECT '' AS g, g AS name, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM doc_top),
+{_tree("src", "tops")},
+full_ AS (SELECT leaves.doc_id, leaves.h AS leaf, tops.h AS subroot, (SELECT h FROM src_top) AS root, coalesce(leaves.claim, leaves.h) AS start,
+  {", ".join(f"p.l{i} AS d_l{i}, p.r{i} AS d_r{i}, q.l{i} AS s_l{i}, q.r{i} AS s_r{i}" for i in range(6))}
+  FROM leaves JOIN doc_path p ON p.g = leaves.g AND p.pos = leaves.pos JOIN tops ON tops.name = leaves.g JOIN src_path q ON q.pos = tops.pos),
+{_chained("up", "full_", "d_")},
+half AS (SELECT * EXCLUDE (h, start), h AS start FROM up_6),
+{_chained("on", "half", "s_")}
+SELECT doc_id, leaf, subroot, root, sha256({_JOINED.format("d_")} || {_JOINED.format("s_")}) AS proof_sha256, h AS folded_root, h = root AS verified FROM on_6"""
+
 SQL = {
+    "op11_merkle_manifest": OP11,
     "op2_url_filter": OP2,
     "op4_source_mix": OP4.format(docs="documents"),
     "op6_warc": OP6,

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import (countmin_dedup, cross_polytope, langid, ngram_jaccard, pareto_mix, splitters, string_tiling, surrogates,
-               url_filter, warc)
+from . import (countmin_dedup, cross_polytope, langid, merkle, ngram_jaccard, pareto_mix, splitters, string_tiling,
+               surrogates, url_filter, warc)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +51,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return countmin_dedup.dedup(table(spark, sf_dir, "documents"), texts=False).drop("kept_text")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf(*map(F.col, fields[:-1]), lowered))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "source", fields, tampered)
+    folded = merkle.fold(F.coalesce("claim", "leaf"), F.col("path"))
+    return (rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_ngram_jaccard, op4_source_mix, op5_sharding, op6_warc, op7_surrogates,
-    op8_decontamination, op9_embedding_dedup, op10_substring_dedup)}
+    op8_decontamination, op9_embedding_dedup, op10_substring_dedup, op11_merkle_manifest)}
