@@ -129,8 +129,21 @@ half AS (SELECT * EXCLUDE (h, start), h AS start FROM up_6),
 {_chained("on", "half", "s_")}
 SELECT doc_id, leaf, subroot, root, sha256({_JOINED.format("d_")} || {_JOINED.format("s_")}) AS proof_sha256, h AS folded_root, h = root AS verified FROM on_6"""
 
+#: Every anchor against every row, ranked; floor(256 x) of each component.
+OP12 = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5"""
+
 SQL = {
     "op11_merkle_manifest": OP11,
+    "op12_hard_negatives": OP12,
     "op2_url_filter": OP2,
     "op4_source_mix": OP4.format(docs="documents"),
     "op6_warc": OP6,

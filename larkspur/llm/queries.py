@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import (countmin_dedup, cross_polytope, langid, merkle, ngram_jaccard, pareto_mix, ppm, splitters, string_tiling,
+from . import (countmin_dedup, cross_polytope, langid, merkle, ngram_jaccard, pareto_mix, ppm, rtree, splitters, string_tiling,
                surrogates, url_filter, warc)
 
 
@@ -61,10 +61,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_ngram_jaccard, op4_source_mix, op5_sharding, op6_warc, op7_surrogates,
-    op8_decontamination, op9_embedding_dedup, op10_substring_dedup, op11_merkle_manifest, op13_lm_scoring)}
+    op8_decontamination, op9_embedding_dedup, op10_substring_dedup, op11_merkle_manifest, op12_hard_negatives, op13_lm_scoring)}
