@@ -10,10 +10,11 @@ code length: the log10 probability of all its symbols.
 
 The trie is never held in one place.  A node of order j is the number that the last j + 1 symbols spell in nine bits each,
 so its suffix, the node below, is a bit mask.  Texts are dealt into chunks of ``CHUNK_BYTES``.  Each chunk names its
-distinct (ORDER + 1)-grams with their training counts; one aggregate adds them up; order by order, a join with the
-suffixes and a window over a context's symbols (257 at most) yields each gram's log probability; every chunk gets back
-the grams it named and adds up its documents.  So what is shuffled grows with the distinct grams of chunks, never with
-positions, and a task holds one chunk.  Words take the same way for the base score, as 64-bit hashes.
+distinct (ORDER + 1)-grams with their training counts; one aggregate adds them up.  Orders 0 to 2, tables of at most 257^3
+rows, are joined suffix by suffix; then all grams that share their last three context bytes (at most 257^3 again) come
+together once, and windows over nodes and contexts climb the higher orders to each gram's log probability.  Every chunk
+gets back the grams it named and adds up its documents.  So what is shuffled grows with the distinct grams of chunks, never
+with positions, and a task holds one chunk.  Words take the same way for the base score, as 63-bit hashes.
 
 Results for odd input: a null or empty text is one end symbol and one end token; rows without doc_id are scored, counted
 as held out and not learned from; rows that repeat are learned from and scored as often as given; a document longer
@@ -31,12 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import shared_dir
-from .words import _LOWER, text_slices, word_hashes
+from .words import _LOWER, U, text_slices, word_hashes
 
-ORDER, BITS = 5, 9
+ORDER, JOINED, BITS = 5, 2, 9
 SYMBOLS, END = 257, 257  # 0 is the start mark, bytes are 1 to 256
 CHUNK_BYTES, PIECE = 16 << 20, 1 << 20
-GRAM, WORD, LAST = 0, 1, 2
+#: Keys: grams are 0 and up, the hashes of words below 0, the end of a text as a token is this one.
+LAST = 1 << 62
 SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -113,16 +115,19 @@ class _Tally:
         return keys[head], np.add.reduceat(n, head)
 
 
+def word_keys(h: np.ndarray) -> np.ndarray:
+    return -1 - (h >> U(1)).view(np.int64)
+
+
 def _named(batches):
-    """(chunk, kind, key, n) of the distinct grams and words of each chunk."""
-    def flush(chunk, tallies, ends):
-        for kind, (keys, n) in [(k, t.total()) for k, t in tallies.items()] + [(LAST, (np.zeros(1, np.int64), np.array([ends])))]:
+    """(chunk, key, n) of the distinct grams and words of each chunk, with their training occurrences."""
+    def flush(chunk, tally, ends):
+        for keys, n in (tally.total(), (np.array([LAST]), np.array([ends]))):
             for lo in range(0, len(keys), PIECE):
                 part = keys[lo:lo + PIECE]
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(part), chunk)), "kind": pa.array(np.full(len(part), kind, np.int8)),
-                                                  "key": pa.array(part), "n": pa.array(n[lo:lo + PIECE])})
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(part), chunk)), "key": pa.array(part), "n": pa.array(n[lo:lo + PIECE])})
 
-    current, tallies, ends = None, None, 0
+    current, tally, ends = None, None, 0
     for batch in batches:
         chunks = batch.column("chunk").to_numpy()
         edge = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1]])).tolist() + [len(chunks)]
@@ -131,45 +136,63 @@ def _named(batches):
                 continue
             if chunks[a] != current:
                 if current is not None:
-                    yield from flush(current, tallies, ends)
-                current, tallies, ends = int(chunks[a]), {GRAM: _Tally(), WORD: _Tally()}, 0
+                    yield from flush(current, tally, ends)
+                current, tally, ends = int(chunks[a]), _Tally(), 0
             train = batch.column("train")[a:b].to_numpy(zero_copy_only=False).astype(bool)
             ends += int(train.sum())
             for lo, hi, data, off in text_slices(batch.column("text")[a:b]):
                 for code, text in grams(data, off):
-                    tallies[GRAM].add(code, train[lo:hi][text])
+                    tally.add(code, train[lo:hi][text])
                 h, ptr = word_hashes(data, off, lower=True)
-                tallies[WORD].add(h.view(np.int64), np.repeat(train[lo:hi], np.diff(ptr)))
+                tally.add(word_keys(h), np.repeat(train[lo:hi], np.diff(ptr)))
     if current is not None:
-        yield from flush(current, tallies, ends)
+        yield from flush(current, tally, ends)
+
+
+def _node(order: int) -> Column:
+    return F.col("key").bitwiseAND((1 << BITS * (order + 1)) - 1)
+
+
+def _escaped(seen: Column) -> Column:
+    """log10 of a node's symbol once its context, which has not seen it, has been escaped from: what the shorter contexts
+    (c1, n1, d1, e1), less this context's d symbols and their x occurrences there, give it."""
+    left, kinds = F.col("n1") - F.col("x"), F.col("d1") - F.col("d")
+    return (F.when(seen, F.lit(None)).when(kinds == 0, F.col("e1"))
+            .when(F.col("c1") > 0, F.log10(F.col("c1") / (left + _mass(kinds, F.col("d1")))))
+            .otherwise(F.log10(kinds / (left + kinds)) + F.col("e1")))
 
 
 def log_probabilities(counts: DataFrame) -> DataFrame:
     """(key, value): log10 of each (ORDER + 1)-gram's last symbol given the symbols before it, from grams (key, n).
 
-    Grams with n = 0 were never seen in training but are asked for.  ``escaped`` is the log probability of a node's
-    symbol once its context has been escaped from: what the shorter contexts, less this one's symbols, give it."""
-    below = None
-    for j in range(ORDER + 1):
-        nodes = counts.groupBy(F.col("key").bitwiseAND((1 << BITS * (j + 1)) - 1).alias("node")).agg(F.sum("n").alias("c"))
+    Grams with n = 0 were never seen in training but are asked for.  Of the node that a gram ends in at each order, c is
+    the count, n and d its context's occurrences and distinct symbols; c1, n1, d1, e1 belong to the order below."""
+    def lower(nodes: DataFrame) -> DataFrame:
+        return nodes.select(F.col("node").alias("low"), F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("d").alias("d1"), F.col("e").alias("e1"))
+
+    seen, below = F.col("c") > 0, None
+    for j in range(JOINED + 1):
+        nodes = counts.groupBy(_node(j).alias("node")).agg(F.sum("n").alias("c"))
         context = Window.partitionBy(F.shiftright("node", BITS))
-        seen = F.col("c") > 0
-        if below is None:
-            nodes = (nodes.withColumn("n", F.sum("c").over(context)).withColumn("d", F.sum(seen.cast("long")).over(context))
-                     .withColumn("escaped", -F.log10(F.greatest(SYMBOLS - F.col("d"), F.lit(1)).cast("double"))))
-        else:
-            low = below.select(F.col("node").alias("low"), F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("d").alias("d1"), F.col("escaped").alias("e1"))
-            nodes = (nodes.withColumn("low", F.col("node").bitwiseAND((1 << BITS * j) - 1)).join(low, "low")
-                     .withColumn("n", F.sum("c").over(context)).withColumn("d", F.sum(seen.cast("long")).over(context))
+        if below is not None:
+            nodes = (nodes.withColumn("low", F.col("node").bitwiseAND((1 << BITS * j) - 1)).join(lower(below), "low")
                      .withColumn("x", F.sum(F.when(seen, F.col("c1")).otherwise(0)).over(context)))
-            left, kinds = F.col("n1") - F.col("x"), F.col("d1") - F.col("d")
-            nodes = nodes.withColumn("escaped", F.when(seen, F.lit(None)).when(kinds == 0, F.col("e1"))
-                                     .when(F.col("c1") > 0, F.log10(F.col("c1") / (left + _mass(kinds, F.col("d1")))))
-                                     .otherwise(F.log10(kinds / (left + kinds)) + F.col("e1")))
-        below = nodes.select("node", "c", "n", "d", "escaped")
-    value = (F.when(F.col("c") > 0, F.log10(F.col("c") / (F.col("n") + _mass(F.col("d"), F.col("d")))))
-             .when(F.col("n") == 0, F.col("escaped")).otherwise(F.log10(F.col("d") / (F.col("n") + F.col("d"))) + F.col("escaped")))
-    return below.select(F.col("node").alias("key"), value.cast("double").alias("value"))
+        nodes = nodes.withColumn("n", F.sum("c").over(context)).withColumn("d", F.sum(seen.cast("long")).over(context))
+        none = -F.log10(F.greatest(SYMBOLS - F.col("d"), F.lit(1)).cast("double"))
+        below = nodes.withColumn("e", none if below is None else _escaped(seen)).select("node", "c", "n", "d", "e")
+    rows = (counts.select("key", F.col("n").alias("count"), _node(JOINED).alias("low")).join(lower(below), "low").drop("low")
+            .withColumn("suffix", F.shiftright("key", BITS).bitwiseAND((1 << BITS * (JOINED + 1)) - 1)).repartition("suffix"))
+    for j in range(JOINED + 1, ORDER + 1):
+        node, context = Window.partitionBy("suffix", _node(j)), Window.partitionBy("suffix", F.shiftright(_node(j), BITS))
+        rows = (rows.withColumn("c", F.sum("count").over(node)).withColumn("once", F.row_number().over(node.orderBy("key")) == 1)
+                .withColumn("n", F.sum("count").over(context)).withColumn("d", F.sum((F.col("once") & seen).cast("long")).over(context))
+                .withColumn("x", F.sum(F.when(F.col("once") & seen, F.col("c1")).otherwise(0)).over(context))
+                .withColumn("e", _escaped(seen)))
+        value = (F.when(seen, F.log10(F.col("c") / (F.col("n") + _mass(F.col("d"), F.col("d")))))
+                 .when(F.col("n") == 0, F.col("e")).otherwise(F.log10(F.col("d") / (F.col("n") + F.col("d"))) + F.col("e")))
+        rows = rows.select("key", "count", "suffix", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("d").alias("d1"), F.col("e").alias("e1"),
+                           value.cast("double").alias("value"))
+    return rows.select("key", "value")
 
 
 def _mass(kinds: Column, distinct: Column) -> Column:
@@ -179,26 +202,20 @@ def _mass(kinds: Column, distinct: Column) -> Column:
 
 def _scored(tokens: int, types: int):
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        kind, key, value = (known.column(c).to_numpy() for c in ("kind", "key", "value"))
-
-        def lookup(k):
-            rows = np.flatnonzero(kind == k)
-            rows = rows[np.argsort(key[rows], kind="stable")]
-            keys, values = key[rows], value[rows]
-            return lambda asked: values[np.searchsorted(keys, asked)]
-
-        gram, word, last = lookup(GRAM), lookup(WORD), float(lookup(LAST)(np.zeros(1, np.int64))[0]) if texts.num_rows else 0.0
-        n = texts.num_rows
+        order = np.argsort(known.column("key").to_numpy(), kind="stable")
+        keys, values = known.column("key").to_numpy()[order], known.column("value").to_numpy()[order]
+        lookup = lambda asked: values[np.searchsorted(keys, asked)]
+        n, last = texts.num_rows, float(values[-1]) if len(values) else 0.0
         score_, base = np.zeros(n), np.zeros(n)
         n_words, n_known = np.ones(n, np.int64), np.full(n, int(last > 0), np.int64)
         share = np.log10(tokens + types + 1)
         base += np.log10(last + 1) - share
         for lo, hi, data, off in text_slices(texts.column("text")):
             for code, text in grams(data, off):
-                score_[lo:hi] += np.bincount(text, weights=gram(code), minlength=hi - lo)
+                score_[lo:hi] += np.bincount(text, weights=lookup(code), minlength=hi - lo)
             h, ptr = word_hashes(data, off, lower=True)
             count, of = np.diff(ptr), np.repeat(np.arange(hi - lo), np.diff(ptr))
-            c = word(h.view(np.int64))
+            c = lookup(word_keys(h))
             n_words[lo:hi] += count
             n_known[lo:hi] += np.bincount(of, weights=c > 0, minlength=hi - lo).astype(np.int64)
             base[lo:hi] += np.bincount(of, weights=np.log10(c + 1) - share, minlength=hi - lo)
@@ -214,14 +231,13 @@ def score(docs: DataFrame) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out(F.col("doc_id"))).alias("train"), F.col("text"))
     plain.mapInArrow(_chunked, "doc_id long, train boolean, text string, chunk long").write.parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
-    texts.mapInArrow(_named, "chunk long, kind byte, key long, n long").write.parquet(f"{folder}/named")
+    texts.mapInArrow(_named, "chunk long, key long, n long").write.parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")
-    named.groupBy("kind", "key").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/counts")
+    named.groupBy("key").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
-    words = counts.where(F.col("kind") != GRAM)
-    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("types")).first()
-    values = (log_probabilities(counts.where(F.col("kind") == GRAM).select("key", "n")).select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
-              .unionByName(words.select("kind", "key", F.col("n").cast("double").alias("value"))))
-    known = named.select("chunk", "kind", "key").join(values, ["kind", "key"]).select("chunk", "kind", "key", "value")
+    token = (F.col("key") < 0) | (F.col("key") == LAST)
+    size = counts.where(token).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("types")).first()
+    values = log_probabilities(counts.where(~token)).unionByName(counts.where(token).select("key", F.col("n").cast("double").alias("value")))
+    known = named.select("chunk", "key").join(values, "key").select("chunk", "key", "value")
     return (texts.groupBy("chunk").cogroup(known.groupBy("chunk"))
             .applyInArrow(_scored(size["tokens"], size["types"]), SCHEMA))
