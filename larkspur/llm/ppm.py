@@ -36,7 +36,7 @@ from .words import _LOWER, U, text_slices, word_hashes
 
 ORDER, JOINED, BITS = 5, 2, 9
 SYMBOLS, END = 257, 257  # 0 is the start mark, bytes are 1 to 256
-CHUNK_BYTES, PIECE = 16 << 20, 1 << 20
+CHUNK_BYTES, PIECE = 64 << 20, 1 << 20
 #: Keys: grams are 0 and up, the hashes of words below 0, the end of a text as a token is this one.
 LAST = 1 << 62
 SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -229,7 +229,10 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/ppm-{uuid.uuid4().hex}"
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out(F.col("doc_id"))).alias("train"), F.col("text"))
-    plain.mapInArrow(_chunked, "doc_id long, train boolean, text string, chunk long").write.parquet(f"{folder}/texts")
+    # The larger the chunks, the fewer grams they name between them: tasks take a chunk's worth of neighbouring splits.
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(-(-size // CHUNK_BYTES), spark.sparkContext.defaultParallelism)
+    plain.coalesce(tasks).mapInArrow(_chunked, "doc_id long, train boolean, text string, chunk long").write.parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
     texts.mapInArrow(_named, "chunk long, key long, n long").write.parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")
