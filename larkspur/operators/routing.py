@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import json as J
-from larkspur.plans import segmented as S
+from larkspur.plans import asof as A
 
 SINK_KAFKA, SINK_HBASE, SINK_CLICKHOUSE = "kafka", "hbase", "clickhouse"   # fixed sink names
 # JSN8: fields of a routing-config record (fixed names).
@@ -86,37 +86,15 @@ def route_latest(data: DataFrame, latest: DataFrame) -> DataFrame:
     return _apply(j)
 
 
-def config_intervals(versions: DataFrame, seq: str = "seq", max_rows: int | None = None) -> DataFrame:
-    """Validity interval of every config version: ``(valid_from, valid_to)``
-    in arrival sequence; ``valid_to`` is NULL for the last version of a key.
-    Runs on the segmented plan, so one busy key does not land in one task."""
-    keys = ["source_table", "operate_type"]
-    x = S.assign_segments(versions, keys, seq, max_rows)
-    x = S.with_neighbors(x, keys, [seq], [seq], n_next=1)
-    return (S.drop_segments(x)
-            .withColumn("valid_from", F.col(seq))
-            .withColumn("valid_to", F.col(f"next_1.{seq}"))
-            .drop("next_1"))
-
-
-def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq") -> DataFrame:
+def route_asof(data: DataFrame, versions: DataFrame, seq: str = "seq", width: int | None = None) -> DataFrame:
     """RTE3: a data record sees only config rows that arrived before it.
 
-    The config side is one row per (table, operation) with its versions in
-    arrival order, so it holds each version once; the data side joins it on
-    the key and finds its version by binary search inside one expression.
-    Nothing runs while the plan is built; adaptive execution broadcasts the
-    config side, or splits a busy key of the data side, by measured sizes."""
+    A segmented merge by arrival (``plans.asof``): data and config rows of a (table, operation) meet in order, segment by
+    segment, and the last config of earlier segments is carried in, so neither a busy table nor a key with millions of
+    versions gathers in one row or task."""
     attrs = CFG_FIELDS[2:]
-    history = (versions.groupBy("source_table", "operate_type")
-               .agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("cfg_seq"), *attrs))).alias("_hist"))
-               .withColumn("_seqs", F.transform("_hist", lambda h: h["cfg_seq"])))
-    j = data.join(history, data["table"].eqNullSafe(history["source_table"])
-                  & data["operation"].eqNullSafe(history["operate_type"]), "inner")
-    earlier = S.position(F.col("_seqs"), F.col(seq) - F.lit(1))     # versions that arrived strictly before
-    out = (j.withColumn("_at", earlier).where(F.col("_at") > 0)
-           .withColumn("_cfg", F.get("_hist", F.col("_at") - 1)))
-    return _apply(out.select(*data.columns, "_cfg.cfg_seq", *[f"_cfg.{a}" for a in attrs]))
+    out = A.merge(data, versions, ["table", "operation"], ["source_table", "operate_type"], seq, attrs, width)
+    return _apply(out.select(*data.columns, F.col(f"matched.{seq}").alias("cfg_seq"), *[f"matched.{a}" for a in attrs]))
 
 
 def split_by_sink(routed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,8 +7,9 @@
   (re-fires on allowed-late rows), late rows dropped by the watermark.
 * ``late_split_query`` - late-record side output with a batch-granular
   watermark kept in a small state table.
-* ``routing_query`` - CDC normalisation and config routing; the config
-  snapshot is re-read every micro-batch.
+* ``route_asof_stream`` - CDC normalisation and as-of routing, config rows and
+  data records through one stateful operator; ``routing_query`` routes with a
+  config snapshot that is re-read every micro-batch instead.
 
 Checkpoints and state go under ``spark.checkpoint.dir`` (see
 ``larkspur.session.checkpoint_root``).
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from larkspur.functions import json as J
 from larkspur.functions.time import epoch_to_day, ms_to_ts
 from larkspur.operators import cdc as CDC
 from larkspur.operators import logs as L
@@ -231,3 +233,36 @@ def routing_query(changes: DataFrame, config: Callable[[SparkSession], DataFrame
     return (changes.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(lambda df, bid: route_batch(df, bid, config, out_root, order, dim_schema, envelopes, publish))
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+ROUTED = ("table string, operation string, seq long, value string, "
+          + ", ".join(f"{c} string" for c in RT.CFG_FIELDS[2:]) + ", cfg_seq long")
+
+
+def route_asof_stream(changes: DataFrame, config: DataFrame, delay_ms: int, salts: int = 16, bucket_ms: int = 1000,
+                      envelopes: bool = False) -> DataFrame:
+    """RTE2 + RTE3 (stream): ``changes`` (seq, topic, value; or envelopes without topic) and the config feed (seq, value)
+    through one stateful operator; rows of ROUTED, still with the record's text.
+
+    ``seq`` is the arrival position of both feeds in ms (a record's timestamp).  Feeds and partitions may be ``delay_ms``
+    apart; later rows are dropped by the watermark.  No config history is read again: the state holds the config in force
+    for each (table, operation) and the rows the watermark has not passed.  A busy table is dealt over ``salts`` keys,
+    each of which gets its few config rows."""
+    norm = CDC.parse_envelopes(changes) if envelopes else CDC.normalize_change_events(changes)
+    fields = RT.CFG_FIELDS[2:]
+    data = norm.select("table", "operation", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int").alias("salt"), "seq", F.lit(0).alias("side"),
+                       "value", *[F.lit(None).cast("string").alias(c) for c in fields])
+    rows = RT.config_versions(config).select(
+        F.col("source_table").alias("table"), F.col("operate_type").alias("operation"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        "seq", F.lit(1).alias("side"), F.lit(None).cast("string").alias("value"), *fields)
+    both = data.unionByName(rows).withColumn("ts", ms_to_ts(F.col("seq"))).withWatermark("ts", f"{delay_ms} milliseconds")
+    schema = _schema(changes.sparkSession, ROUTED)
+    return both.groupBy("table", "operation", "salt").transformWithState(
+        PR.AsOfRouteProcessor(fields, bucket_ms), schema, "Append", "EventTime")
+
+
+def routed_payload(routed: DataFrame, envelopes: bool = False) -> DataFrame:
+    """Rows of ROUTED with ``data``, the payload pruned to the configured columns, in place of the text."""
+    norm = CDC.parse_envelopes(routed.drop("table", "operation")) if envelopes else CDC.normalize_change_events(
+        routed.drop("table", "operation"), topic=None)
+    return norm.withColumn("data", J.prune_columns(F.col("data"), F.col("sink_columns"))).drop("value", "dbname")

@@ -8,6 +8,7 @@ grouping shuffle does not keep arrival order.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Row
@@ -199,3 +200,69 @@ class StrictTimesProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class Buckets:
+    """Rows that wait for the watermark, in map state keyed by time bucket: one timer a bucket, and a timer reads and
+    removes its own bucket only, however many rows wait behind it."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, bucket_ms: int):
+        self.h, self.ms = handle, bucket_ms
+        self.map = handle.getMapState(name, "bucket long", "rows string")
+
+    def add(self, rows: Sequence[tuple]) -> None:
+        """Rows are tuples of JSON values whose first is the time in ms."""
+        new: dict[int, list] = {}
+        for r in rows:
+            new.setdefault(r[0] // self.ms, []).append(r)
+        for b, more in new.items():
+            old = json.loads(self.map.getValue((b,))[0]) if self.map.containsKey((b,)) else []
+            if not old:
+                self.h.registerTimer((b + 1) * self.ms)     # all of the bucket is at or below the watermark then
+            self.map.updateValue((b,), (json.dumps(old + more),))
+
+    def due(self, fired_ms: int) -> list[tuple]:
+        """The rows of the bucket that this timer stands for, and out of the state."""
+        b = fired_ms // self.ms - 1
+        if not self.map.containsKey((b,)):
+            return []
+        rows = [tuple(r) for r in json.loads(self.map.getValue((b,))[0])]
+        self.map.removeKey((b,))
+        return rows
+
+
+class AsOfRouteProcessor(StatefulProcessor):
+    """RTE2 + RTE3 in event time: config rows and data records of one (table, operation, salt) in one operator.
+
+    Both wait in time buckets until the watermark has passed them, so the order in which files or partitions deliver
+    them does not matter; then they are merged by arrival number, data before config of the same number.  A data record
+    takes the config in force; a config row replaces it (last write wins; deletes never come this far).  State: the
+    config in force and what the watermark has not passed yet.  Input rows: ``seq, side`` (0 data, 1 config), ``value``
+    (the record's text) and the config fields; output rows: the key, ``seq, value``, the config fields and ``cfg_seq``."""
+
+    def __init__(self, fields: Sequence[str], bucket_ms: int = 1000):
+        self.fields, self.ms = list(fields), bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting = Buckets(handle, "waiting", self.ms)
+        self.current = handle.getValueState("current", "cfg_seq long, fields string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self.waiting.add([(r.seq, r.side, r.value if r.side == 0 else None, [r[f] for f in self.fields] if r.side else None) for r in rows])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        cfg = self.current.get() if self.current.exists() else None
+        held = (cfg[0], json.loads(cfg[1])) if cfg else None
+        order = lambda r: (r[0], r[1], [(v is not None, v or "") for v in r[3] or []])
+        before = held
+        for seq, side, value, fields in sorted(self.waiting.due(expiredTimerInfo.getExpiryTimeInMs()), key=order):
+            if side:
+                held = (seq, fields)
+            elif held:
+                yield Row(table=key[0], operation=key[1], seq=seq, value=value, **dict(zip(self.fields, held[1])), cfg_seq=held[0])
+        if held != before:
+            self.current.update((held[0], json.dumps(held[1])))
+
+    def close(self) -> None:
+        pass
