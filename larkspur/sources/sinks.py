@@ -1,20 +1,20 @@
 """Sinks (SNK1-SNK4).
 
-File sinks are made idempotent per micro-batch: a batch overwrites its
-own ``batch_id`` folder as a whole, so a replayed batch replaces its earlier
-attempt (exactly-once with the query checkpoint).  Spark's Kafka sink is
-at-least-once and its rows carry no batch id.
+A single file output is idempotent per micro-batch (``write_batch``): a batch
+overwrites its own ``batch_id`` folder as a whole.  Several outputs of a batch
+are one unit under ``sources.commits``, which also gives queue rows a key that
+lets readers drop replays (Spark's Kafka sink is at-least-once).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators import routing as RT
+from larkspur.sources import commits as CM
 
 
 def kafka_sink_options(bootstrap: str, topic: str | None = None, **extra: str) -> dict[str, str]:
@@ -49,29 +49,26 @@ def write_topics(topic_value: DataFrame, path: str, batch_id: int) -> None:
     write_batch(topic_value, path, batch_id, partition_by=("topic",), fmt="json")
 
 
-def upsert_dimension(hbase_rows: DataFrame, path: str, batch_id: int, order: str | Sequence[str]) -> None:
-    """SNK4: append the batch's surviving row per (sink_table, pk) to an
-    upsert log; readers merge on read (latest batch, then latest order).
-    Values are written by column name, all as strings."""
-    latest = RT.dim_upsert_latest(hbase_rows, order)
+def dimension_rows(hbase_rows: DataFrame, order: str | Sequence[str]) -> DataFrame:
+    """SNK4: a batch's surviving row per (sink_table, pk), values by column name, all as strings."""
     as_text = F.transform_values(F.col("data"), lambda k, v: F.try_variant_get(v, "$", "string"))
-    write_batch(latest.select("sink_table", "pk", as_text.alias("data")), path, batch_id,
-                partition_by=("sink_table",))
+    return RT.dim_upsert_latest(hbase_rows, order).select("sink_table", "pk", as_text.alias("data"))
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet folder, or None where it does not exist; every other error is raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def upsert_dimension(hbase_rows: DataFrame, path: str, batch_id: int, order: str | Sequence[str]) -> None:
+    """SNK4: append the batch's ``dimension_rows`` to an upsert log; readers merge on read (latest batch, then latest
+    order)."""
+    write_batch(dimension_rows(hbase_rows, order), path, batch_id, partition_by=("sink_table",))
 
 
 def _dimension_log(spark: SparkSession, path: str) -> DataFrame:
-    """The upsert log with its compacted snapshots (each counts as the last batch folded into it)."""
-    parts = [p for p in (read_if_there(spark, path), read_if_there(spark, f"{path.rstrip('/')}_compact")) if p is not None]
+    """The upsert log with its compacted snapshots (each counts as the last batch folded into it).  Of a log that a
+    routing batch commits with its other outputs, only committed attempts."""
+    path = path.rstrip("/")
+    log = CM.read_if_there(lambda: spark.read.parquet(path))
+    if log is not None and "attempt" in log.columns:
+        log = CM.visible(log, CM.commits(spark, path.rpartition("/")[0])).drop("attempt")
+    parts = [p for p in (log, CM.read_if_there(lambda: spark.read.parquet(f"{path}_compact"))) if p is not None]
     if not parts:
         raise ValueError(f"no dimension log at {path}")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -99,8 +96,10 @@ def compact_dimension(spark: SparkSession, path: str, upto_batch: int) -> None:
 
 
 def write_kafka_batch(df: DataFrame, bootstrap: str, topic: str | None = None) -> None:
-    """SNK1 / SNK2 from ``foreachBatch``: ``value`` (+ ``topic``) columns."""
+    """SNK1 / SNK2 from ``foreachBatch``: ``value`` (+ ``topic``, and ``key``, ``headers`` of ``commits.stamp``)."""
     w = df.write.format("kafka")
+    if "headers" in df.columns:
+        w = w.option("includeHeaders", "true")
     for k, v in kafka_sink_options(bootstrap, topic).items():
         w = w.option(k, v)
     w.save()

@@ -30,6 +30,7 @@ from larkspur.operators import logs as L
 from larkspur.operators import patterns as P
 from larkspur.operators import routing as RT
 from larkspur.operators import windows as W
+from larkspur.sources import commits as CM
 from larkspur.sources import sinks as SK
 from larkspur.streaming import processors as PR
 
@@ -192,38 +193,48 @@ def late_split_query(scores: DataFrame, out_root: str, checkpoint: str, size_ms:
 
 
 # ------------------------------------------------------------------ routing
+def write_routed(routed: DataFrame, batch_id: int, out_root: str, order: str = "seq",
+                 publish: Callable[[DataFrame], None] | None = None) -> None:
+    """The outputs of one routed micro-batch (tagged by sink): topic records, dimension rows and counts, under one
+    commit record (``sources.commits``).  ``publish`` takes the topic records (``topic, value, key, headers``) in place of
+    the topic files.  ``order`` must order the records of a primary key totally: between equal values any one of the rows
+    survives an upsert."""
+    routed = routed.persist()
+
+    def write(batch: CM.Batch) -> None:
+        main = routed.where(F.col("stream") == "main")
+        if publish:
+            publish(CM.stamp(RT.topic_value(main, keep=(order,)), batch_id, "topics", [order, "topic", "value"]).drop(order))
+            batch.published("topics")
+        else:
+            batch.write(RT.topic_value(main), "topics", partition_by=("topic",), fmt="json")
+        side = routed.where(F.col("stream") == "side")
+        batch.write(SK.dimension_rows(side, order), "dims", partition_by=("sink_table",))
+        # per-batch counts: routed records and empty payloads the upsert skipped
+        batch.write(routed.agg(
+            F.sum((F.col("stream") == "main").cast("long")).alias("topic_records"),
+            F.sum((F.col("stream") == "side").cast("long")).alias("dimension_records"),
+            F.sum(((F.col("stream") == "side") & (F.size("data") == 0)).cast("long")).alias("skipped_empty")), "metrics")
+
+    try:
+        CM.write_all(routed.sparkSession, out_root, batch_id, write)
+    finally:
+        routed.unpersist()
+
+
 def route_batch(batch: DataFrame, batch_id: int, config: Callable[[SparkSession], DataFrame],
                 out_root: str, order: str = "seq", dim_schema: str | None = None,
                 envelopes: bool = False, publish: Callable[[DataFrame], None] | None = None) -> None:
     """Entry B for one micro-batch: normalise, route with the current config
-    snapshot, write topic records and upsert dimensions.  With
-    ``dim_schema`` the dimension tables of the config are created first.
-    ``envelopes=True`` reads normalised envelopes (a CDC1 topic) instead of
-    raw change events.  ``publish`` takes the topic records (``topic, value``)
-    in place of the topic files under ``out_root``.  ``order`` must order the records of a primary key
-    totally: between equal values any one of the rows survives an upsert."""
+    snapshot and ``write_routed``.  With ``dim_schema`` the dimension tables of
+    the config are created first.  ``envelopes=True`` reads normalised
+    envelopes (a CDC1 topic) instead of raw change events."""
     spark = batch.sparkSession
     latest = RT.latest_config(RT.config_versions(config(spark)))
     if dim_schema:
         RT.create_dimension_tables(spark, latest, schema=dim_schema)
     norm = CDC.parse_envelopes(batch) if envelopes else CDC.normalize_change_events(batch)
-    routed = RT.tag_by_sink(RT.route_latest(norm, latest)).persist()
-    try:
-        records = RT.topic_value(routed.where(F.col("stream") == "main"))
-        if publish:
-            publish(records)
-        else:
-            SK.write_topics(records, f"{out_root}/topics", batch_id)
-        side = routed.where(F.col("stream") == "side")
-        SK.upsert_dimension(side, f"{out_root}/dims", batch_id, order)
-        # per-batch counts: routed records and empty payloads the upsert skipped
-        metrics = routed.agg(
-            F.sum((F.col("stream") == "main").cast("long")).alias("topic_records"),
-            F.sum((F.col("stream") == "side").cast("long")).alias("dimension_records"),
-            F.sum(((F.col("stream") == "side") & (F.size("data") == 0)).cast("long")).alias("skipped_empty"))
-        SK.write_batch(metrics, f"{out_root}/metrics", batch_id)
-    finally:
-        routed.unpersist()
+    write_routed(RT.tag_by_sink(RT.route_latest(norm, latest)), batch_id, out_root, order, publish)
 
 
 def routing_query(changes: DataFrame, config: Callable[[SparkSession], DataFrame], out_root: str,
