@@ -67,9 +67,13 @@ def _start(df: DataFrame, name: str, ckpt: str, fn, trigger: dict | None) -> Str
     return w.trigger(**(trigger or {"processingTime": "3 seconds"})).start()
 
 
-def cdc_ingest(spark, source, sink, ckpt, trigger=None, databases=None, tables=None):
-    """Change feed -> normalised envelopes (CDC1) on ``ods_base_db``."""
-    feed, dirty = CDC.split_dirty_changes(read_source(spark, source, CHANGE_SCHEMA))
+def cdc_ingest(spark, source, sink, ckpt, trigger=None, databases=None, tables=None, snapshot=None, pk="id"):
+    """Change feed -> normalised envelopes (CDC1) on ``ods_base_db``.  ``snapshot`` is the source of the chunk rows that
+    ``connectors.snapshot_in_chunks`` writes; they come first or among the changes, and yield to newer ones."""
+    feed = read_source(spark, source, CHANGE_SCHEMA)
+    if snapshot:
+        feed = J.handover_stream(feed.select("seq", "topic", "value"), read_source(spark, snapshot, "low long, topic string, value string"), pk)
+    feed, dirty = CDC.split_dirty_changes(feed)
     feed = SC.change_feed(feed, databases, tables)
     env = CDC.envelope_json(CDC.normalize_change_events(feed)).select("seq", F.col("envelope").alias("value"))
     dirty = dirty.select("seq", "reason", "value")
@@ -182,6 +186,8 @@ def main(argv=None) -> None:
     ap.add_argument("--window-ms", type=int, default=10_000, help="jump-detail: bounce window")
     ap.add_argument("--databases", nargs="*", help="cdc-ingest: databases to read")
     ap.add_argument("--tables", nargs="*", help="cdc-ingest: tables to read (db.table)")
+    ap.add_argument("--snapshot", help="cdc-ingest: source of a snapshot's chunk rows")
+    ap.add_argument("--pk", default="id", help="cdc-ingest: primary key of the snapshot's tables")
     ap.add_argument("--dim-root", help="base-db: folder of the dimension log")
     ap.add_argument("--zone", default="UTC", help="unique-visit: time zone of the days")
     ap.add_argument("--lateness-ms", type=int, default=60_000, help="window-demo: allowed lateness")
@@ -194,7 +200,7 @@ def main(argv=None) -> None:
     if a.app == "base-db":
         kw.update(config_path=a.config_path, dim_root=a.dim_root)
     if a.app == "cdc-ingest":
-        kw.update(databases=a.databases, tables=a.tables)
+        kw.update(databases=a.databases, tables=a.tables, snapshot=a.snapshot, pk=a.pk)
     if a.app == "unique-visit":
         kw["zone"] = a.zone
     if a.app == "window-demo":

@@ -16,6 +16,7 @@ from larkspur.functions import json as J
 from larkspur.functions import text as TX
 from larkspur.functions import time as TM
 from larkspur.operators import cdc as CDC
+from larkspur.operators import handover as HO
 from larkspur.operators import logs as L
 from larkspur.operators import patterns as P
 from larkspur.operators import routing as RT
@@ -302,6 +303,21 @@ def cdc_snapshot(spark, d):
     return n.select("topic", "operation", "dbname", "table", _data_json().alias("data_json"))
 
 
+def _handover(spark, d):
+    items = table(spark, d, "lineitem")
+    return HO.handover(R.order_snapshot_chunks(table(spark, d, "orders"), items), R.order_state_changes(items), ["state"])
+
+
+@query
+def cdc_handover(spark, d):
+    return _handover(spark, d)
+
+
+@query
+def cdc_handover_state(spark, d):
+    return HO.current_rows(_handover(spark, d), ["state"])
+
+
 @query
 def change_feed_tables(spark, d):
     feed = SC.change_feed(_change_feed(spark, d), tables=["shop.lineitem", "shop.customer"])

@@ -248,6 +248,24 @@ ra AS (
 """.replace("__SNAPSHOT__", _snapshot_values())
 
 
+# Orders that change while their snapshot is read in chunks (records.order_state_changes, order_snapshot_chunks).
+_HAND = """
+ch AS (
+  SELECT CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_orderkey END AS key,
+         (l_orderkey * 10 + l_linenumber + CASE WHEN l_suppkey % 4 = 0 THEN 20000 ELSE 0 END) * 1000000
+           + (l_partkey * 1000 + l_suppkey) % 1000000 AS seq,
+         CASE WHEN l_returnflag = 'R' THEN 'd' ELSE 'u' END AS op,
+         'part ' || CAST(l_partkey AS VARCHAR) || ' of ' || CAST(l_suppkey AS VARCHAR) AS state
+  FROM lineitem),
+base AS (SELECT o_orderkey AS key, o_orderstatus AS state FROM orders),
+seen AS (SELECT key, arg_max(struct_pack(op := op, state := state), (seq, state, op)) AS l FROM ch
+         WHERE seq <= (key // 500 * 5000 + 2000) * 1000000 GROUP BY key),
+snap AS (SELECT coalesce(b.key, s.key) AS key, coalesce(b.key, s.key) // 500 * 5000 * 1000000 AS low,
+                (coalesce(b.key, s.key) // 500 * 5000 + 5000) * 1000000 AS high, coalesce(s.l.state, b.state) AS state
+         FROM base b FULL JOIN seen s ON s.key = b.key WHERE s.key IS NULL OR s.l.op <> 'd')
+"""
+
+
 def _json_of(kv: str) -> str:
     return f"""'{{' || array_to_string(list_transform({kv}, lambda p: '"' || p.k || '":' || p.v), ',') || '}}'"""
 
@@ -274,6 +292,16 @@ SELECT o_orderkey * 10 AS seq, CASE o_orderkey % 10 WHEN 0 THEN 'bad_text' WHEN
 SELECT 'snapshot.shop.customer' AS topic, 'read' AS operation, 'shop' AS dbname, 'customer' AS "table",
        '{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name
        || '","c_nationkey":' || CAST(c_nationkey AS VARCHAR) || '}' AS data_json FROM customer""",
+    "cdc_handover": _with(_HAND + """
+SELECT key, seq AS pos, op, state FROM ch
+UNION ALL
+SELECT key, low, 'r', state FROM snap WHERE NOT EXISTS (
+  SELECT 1 FROM ch WHERE ch.key = snap.key AND ch.seq > snap.low AND ch.seq <= snap.high)"""),
+    # the truth that the handover must reach: the last change of all, or the order as it was
+    "cdc_handover_state": _with(_HAND + """,
+fin AS (SELECT key, arg_max(struct_pack(op := op, state := state), (seq, state, op)) AS l FROM ch GROUP BY key)
+SELECT coalesce(b.key, fin.key) AS key, coalesce(fin.l.state, b.state) AS state
+FROM base b FULL JOIN fin ON fin.key = b.key WHERE fin.key IS NULL OR fin.l.op <> 'd'"""),
     "change_feed_tables": """
 SELECT l_orderkey * 10 + 1 AS seq, 'dbserver.shop.lineitem' AS topic FROM lineitem""",
     "filter_has_data": _with("""

@@ -8,6 +8,8 @@ file-stream source runs the same downstream code in tests.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +87,12 @@ def jdbc_snapshot(spark: SparkSession, url: str, table: str, user: str | None =
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
               .option("upperBound", upper).option("numPartitions", num_partitions))
     return r.load()
+
+
+def snapshot_in_chunks(bounds: Iterable[tuple], read: Callable[..., DataFrame], position: Callable[[], int], out: str) -> None:
+    """SRC3's snapshot phase for a table in use: for every chunk (``bounds``: from, to) note the position that the change
+    feed has reached, then read the chunk and append its events (``read(from, to)``: topic, value) with that low mark to
+    ``out``, where ``jobs.handover_stream`` takes them up.  One chunk is read at a time; a chunk is read in parallel."""
+    for lo, hi in bounds:
+        low = position()
+        read(lo, hi).withColumn("low", F.lit(int(low)).cast("long")).select("low", "topic", "value").write.mode("append").parquet(out)

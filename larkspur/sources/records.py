@@ -175,6 +175,35 @@ def broken_change_events(orders: DataFrame) -> DataFrame:
     return x.withColumn("value", value)
 
 
+# A table that changes while its snapshot is read: order rows, changed by line items.  Every third line number belongs to one
+# busy order, every fourth supplier comes late; a chunk is read between positions low and high, its rows at ``READ_AT``.
+HOT_ORDER, CHUNK_KEYS, LATE_BY, READ_AT = 1, 500, 20_000, 2_000
+PLACE = 1_000_000                # positions between two places of the change stream
+
+
+def order_state_changes(lineitem: DataFrame) -> DataFrame:
+    """``(key, chunk, seq, op, state)``: one change of an order a line item; returned ones delete it."""
+    key = F.when(F.col("l_linenumber") % 3 == 0, F.lit(HOT_ORDER)).otherwise(F.col("l_orderkey")).cast("long")
+    place = F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.when(F.col("l_suppkey") % 4 == 0, LATE_BY).otherwise(0)
+    return lineitem.select(
+        key.alias("key"), F.floor(key / CHUNK_KEYS).alias("chunk"),
+        (place * PLACE + (F.col("l_partkey") * 1000 + F.col("l_suppkey")) % PLACE).alias("seq"),
+        F.when(F.col("l_returnflag") == "R", F.lit("d")).otherwise(F.lit("u")).alias("op"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" of "), F.col("l_suppkey").cast("string")).alias("state"))
+
+
+def order_snapshot_chunks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``(key, chunk, low, high, state)``: the rows a chunked read of the orders finds.  A row is what the table held when
+    its chunk was read: the last change up to then, or the order as it was; deleted rows are not found."""
+    low = F.col("chunk") * (CHUNK_KEYS * 10 * PLACE)
+    seen = (order_state_changes(lineitem).where(F.col("seq") <= low + READ_AT * PLACE)
+            .groupBy("key").agg(F.max(F.struct("seq", "state", "op")).alias("last")))
+    rows = orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("base")).join(seen, "key", "full")
+    return (rows.where("last is null or last.op <> 'd'").withColumn("chunk", F.floor(F.col("key") / CHUNK_KEYS))
+            .select("key", "chunk", low.alias("low"), (low + CHUNK_KEYS * 10 * PLACE).alias("high"),
+                    F.coalesce("last.state", "base").alias("state")))
+
+
 def dimension_config_feed(customer: DataFrame) -> DataFrame:
     """Config change envelopes that send every customer's own table to a dimension: the nation picks columns, primary
     key and table options."""

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.functions import json as J
+from larkspur.functions import text as TX
 from larkspur.functions.time import epoch_to_day, ms_to_ts
 from larkspur.operators import cdc as CDC
 from larkspur.operators import logs as L
@@ -192,6 +193,26 @@ def late_split_query(scores: DataFrame, out_root: str, checkpoint: str, size_ms:
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+# ----------------------------------------------------------------- handover
+CHANGE_SCHEMA = "seq long, topic string, value string"
+
+
+def handover_stream(changes: DataFrame, chunks: DataFrame, pk: str, ttl_ms: int | None = None) -> DataFrame:
+    """SRC3 (stream): change events (seq, topic, value) and the chunk rows of a snapshot (low, topic, value: events of
+    ``cdc.snapshot_events`` with their chunk's low mark) as one feed of change events.  ``pk`` names the primary key in
+    the events' ``after`` (or ``before``); events without one pass as they are."""
+    def keyed(df: DataFrame, at: str, side: int) -> DataFrame:
+        x = J.with_parsed(df, "value", "_hv")
+        own = F.coalesce(*[J.path(F.col("_hv"), f"$.{part}.{pk}") for part in ("after", "before")])
+        name = F.concat_ws(".", *TX.topic_db_table("topic"))
+        return x.select(F.when(own.isNull(), F.concat(F.lit("#"), F.xxhash64("value").cast("string"))).otherwise(F.concat_ws("=", name, own)).alias("key"),
+                        F.lit(side).alias("side"), F.col(at).alias("at"), "topic", "value")
+
+    schema = _schema(changes.sparkSession, CHANGE_SCHEMA)
+    return keyed(changes, "seq", 0).unionByName(keyed(chunks, "low", 1)).groupBy("key").transformWithState(
+        PR.HandoverProcessor(ttl_ms), schema, "Append", "None" if ttl_ms is None else "ProcessingTime")
+
+
 # ------------------------------------------------------------------ routing
 def write_routed(routed: DataFrame, batch_id: int, out_root: str, order: str = "seq",
                  publish: Callable[[DataFrame], None] | None = None) -> None:

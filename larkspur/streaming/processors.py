@@ -266,3 +266,35 @@ class AsOfRouteProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class HandoverProcessor(StatefulProcessor):
+    """SRC3's handover, row by row: a chunk row (``side`` 1, ``at`` its low mark) yields if its key has changed after the
+    mark; a change (``side`` 0) that a chunk row already holds, at or below the mark, is dropped.  Changes of a key come in
+    their order, chunk rows at any time before or after them.  State: a key's last change and last mark, with a
+    processing-time ``ttl_ms`` longer than the snapshot takes, or for good."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "changed long, low long", ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        changed, low = self.seen.get() if self.seen.exists() else (None, None)
+        before = (changed, low)
+        for r in sorted(rows, key=lambda x: (x.side, x.at)):
+            if r.side == 0:
+                changed = r.at if changed is None else max(changed, r.at)
+                if low is not None and r.at <= low:
+                    continue
+            elif changed is not None and changed > r.at or low is not None and low > r.at:
+                continue
+            else:
+                low = r.at
+            yield Row(seq=r.at, topic=r.topic, value=r.value)
+        if (changed, low) != before:
+            self.seen.update((changed, low))
+
+    def close(self) -> None:
+        pass
