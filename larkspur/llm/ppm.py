@@ -62,15 +62,39 @@ def symbols(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(data: np.ndarray, off: np.ndarray):
-    """(codes, text index) of all positions of a slice, some million at a time."""
-    sym, begin = symbols(data, off)
+    """(codes, index of the text) of all positions of a slice, some million at a time."""
+    sym, _ = symbols(data, off)
+    of, done = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(off) + 1), 0
     for lo in range(ORDER, len(sym), PIECE):
         hi = min(lo + PIECE, len(sym))
-        code = np.zeros(hi - lo, np.int64)
-        for j in range(ORDER + 1):
-            code += sym[lo - j:hi - j].astype(np.int64) << (BITS * j)
-        real = np.flatnonzero(sym[lo:hi])
-        yield code[real], np.searchsorted(begin, real + lo, side="right") - 1
+        pair = sym[lo - ORDER + 1:hi].astype(np.int64)
+        pair += sym[lo - ORDER:hi - 1].astype(np.int64) << BITS     # the symbol before each and the symbol
+        code = pair[ORDER - 1:].copy()
+        for j in range(2, ORDER + 1, 2):
+            code += pair[ORDER - 1 - j:len(pair) - j] << (BITS * j)
+        code = code[sym[lo:hi] != 0]
+        yield code, of[done:done + len(code)]
+        done += len(code)
+
+
+def runs(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
+def totals(keys: np.ndarray, of: np.ndarray, value, n: int) -> np.ndarray:
+    """Sum of ``value(keys)`` for each of ``n`` texts, ``of`` being the texts of the keys: keys are looked up once each and
+    in order, which spares the cache."""
+    if n <= 1 << 64 - BITS * (ORDER + 1) and len(keys) and keys.min() >= 0:     # a gram and its text fit one number
+        room = U(64 - BITS * (ORDER + 1))
+        both = np.sort(keys.view(U) << room | of.astype(U))
+        keys, of = (both >> room).view(np.int64), (both & ((U(1) << room) - U(1))).astype(np.int64)
+    else:
+        order = np.argsort(keys)
+        keys, of = keys[order], of[order]
+    head = runs(keys)
+    found = np.repeat(value(keys[head]), np.diff(np.append(head, len(keys))))
+    return np.bincount(of, weights=found, minlength=n)
 
 
 def _chunked(batches):
@@ -88,30 +112,31 @@ def _chunked(batches):
 
 
 class _Tally:
-    """Distinct keys with the number of their training occurrences, merged whenever a few million have gathered."""
+    """Distinct keys with the number of their training occurrences, merged whenever they have doubled."""
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.limit = [], 0, 2_000_000
 
     def add(self, keys: np.ndarray, train: np.ndarray):
-        order = np.argsort(keys, kind="stable")
-        self._put(keys[order], train[order].astype(np.int64))
-        if self.size > 4_000_000:
-            self.parts, self.size = [self.total()], 0
-
-    def _put(self, keys, n):
-        if len(keys):
-            head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            self.parts.append((keys[head], np.add.reduceat(n, head)))
-            self.size += len(head)
+        for mine, learn in ((keys[train], 1), (keys[~train], 0)):
+            mine = np.sort(mine)
+            head = runs(mine)
+            if len(head):
+                self.parts.append((mine[head], np.diff(np.append(head, len(mine))) * learn))
+                self.size += len(head)
+        if self.size > self.limit:
+            self.parts = [self.total()]
+            self.size = len(self.parts[0][0])
+            self.limit = max(self.limit, 2 * self.size)
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         keys, n = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(keys, kind="stable")
+        self.parts = []
+        order = np.argsort(keys)
         keys, n = keys[order], n[order]
-        head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        head = runs(keys)
         return keys[head], np.add.reduceat(n, head)
 
 
@@ -212,13 +237,12 @@ def _scored(tokens: int, types: int):
         base += np.log10(last + 1) - share
         for lo, hi, data, off in text_slices(texts.column("text")):
             for code, text in grams(data, off):
-                score_[lo:hi] += np.bincount(text, weights=lookup(code), minlength=hi - lo)
+                score_[lo:hi] += totals(code, text, lookup, hi - lo)
             h, ptr = word_hashes(data, off, lower=True)
             count, of = np.diff(ptr), np.repeat(np.arange(hi - lo), np.diff(ptr))
-            c = lookup(word_keys(h))
             n_words[lo:hi] += count
-            n_known[lo:hi] += np.bincount(of, weights=c > 0, minlength=hi - lo).astype(np.int64)
-            base[lo:hi] += np.bincount(of, weights=np.log10(c + 1) - share, minlength=hi - lo)
+            n_known[lo:hi] += totals(word_keys(h), of, lambda k: lookup(k) > 0, hi - lo).astype(np.int64)
+            base[lo:hi] += totals(word_keys(h), of, lambda k: np.log10(lookup(k) + 1) - share, hi - lo)
         return pa.table({"doc_id": texts.column("doc_id"), "held_out": pc.invert(texts.column("train")), "n_tokens": n_words,
                          "n_known": n_known, "train_tokens": np.full(n, tokens, np.int64), "base_score": base, "score": score_})
     return score
@@ -232,9 +256,9 @@ def score(docs: DataFrame) -> DataFrame:
     # The larger the chunks, the fewer grams they name between them: tasks take a chunk's worth of neighbouring splits.
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(-(-size // CHUNK_BYTES), spark.sparkContext.defaultParallelism)
-    plain.coalesce(tasks).mapInArrow(_chunked, "doc_id long, train boolean, text string, chunk long").write.parquet(f"{folder}/texts")
+    plain.coalesce(tasks).mapInArrow(_chunked, "doc_id long, train boolean, text string, chunk long").write.option("compression", "zstd").parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
-    texts.mapInArrow(_named, "chunk long, key long, n long").write.parquet(f"{folder}/named")
+    texts.mapInArrow(_named, "chunk long, key long, n long").write.option("compression", "zstd").parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")
     named.groupBy("key").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
