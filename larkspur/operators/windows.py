@@ -71,6 +71,13 @@ def bounds_text(sum_last: DataFrame, key: str = "name") -> DataFrame:
         F.col(key), F.lit(","), F.col("score_sum").cast("string"), F.lit(","), F.col("last_time")))
 
 
+def fired_text(fired: DataFrame, size_ms: int, key: str = "name") -> DataFrame:
+    """WIN3 on firing results (key, window_start_ms, fire_no, score_sum, n_rows, last_ts): the display ``text`` added."""
+    x = (fired.withColumn("window_end_ms", F.col("window_start_ms") + F.lit(size_ms))
+         .withColumn("last_time", TM.format_event_time("last_ts", millis=False)))
+    return bounds_text(x, key).drop("window_end_ms", "last_time")
+
+
 def max_before(df: DataFrame, ts: str = "ts_ms", order: Sequence[str] = ("arrival_ms", "seq"),
                max_rows: int | None = None, out: str = "_maxprev") -> DataFrame:
     """The largest event time of the records that arrived strictly before each record (null for the first)."""

@@ -92,6 +92,20 @@ def visible(rows: DataFrame, committed: DataFrame) -> DataFrame:
     return rows.join(committed.select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi")
 
 
+def retire(spark: SparkSession, root: str, names: Sequence[str], before: int) -> None:
+    """Remove the folders of batches below ``before`` of outputs that only the next batch reads (state tables)."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for name in names:
+        folder = jvm.Path(f"{root.rstrip('/')}/{name}")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            continue
+        for entry in files.listStatus(folder):
+            batch = entry.getPath().getName().partition("batch_id=")[2]
+            if batch.isdigit() and int(batch) < before:
+                files.delete(entry.getPath(), True)
+
+
 # ------------------------------------------------------------------ queue rows
 def stamp(rows: DataFrame, batch_id: int, name: str, identity: Sequence[Column | str]) -> DataFrame:
     """``rows`` with ``key`` (``batch:output:row:occurrence``) and the batch in ``headers``.

@@ -161,6 +161,17 @@ def window_sum_stream(scores: DataFrame, size: str, delay_ms: int, lateness_ms:
     return W.window_sum(s, size, slide)
 
 
+ARRIVAL_WINDOW = "name string, window_start_ms long, window_end_ms long, score_sum long, n_rows long, last_ts long"
+
+
+def arrival_window_stream(scores: DataFrame, size_ms: int, order=("arrival_ms", "seq")) -> DataFrame:
+    """WIN6 (stream): windows of processing time, closed by timers; drive it with a processing-time trigger, as such a
+    query keeps running batches without data until its timers have fired."""
+    x = scores.select("name", F.col("score").cast("long").alias("score"), "ts_ms", *order)
+    return x.groupBy("name").transformWithState(PR.ArrivalWindowProcessor(size_ms, order), _schema(scores.sparkSession, ARRIVAL_WINDOW),
+                                                "Append", "ProcessingTime")
+
+
 def late_split_batch(batch: DataFrame, batch_id: int, state_path: str, out_root: str,
                      size_ms: int, delay_ms: int, lateness_ms: int,
                      order=("arrival_ms", "seq"), order_value: str = "arrival_ms") -> None:

@@ -298,3 +298,44 @@ class HandoverProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ArrivalWindowProcessor(StatefulProcessor):
+    """WIN6: sums over windows of processing time, per key (timeMode="ProcessingTime").
+
+    A row belongs to the window in which its micro-batch is processed, whatever its event time; nothing is ever late.  The window's
+    accumulators (sum, rows, event time of the last element) wait in map state; a processing-time timer at its end emits and removes
+    them, with or without later input.  Output rows: ``name, window_start_ms, window_end_ms, score_sum, n_rows, last_ts``."""
+
+    def __init__(self, size_ms: int, order: Sequence[str] = ("arrival_ms", "seq")):
+        self.size, self.order = size_ms, list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.h = handle
+        self.open = handle.getMapState("open", "start long", "score_sum long, n_rows long, last_ts long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        start = timerValues.getCurrentProcessingTimeInMs() // self.size * self.size
+        if self.open.containsKey((start,)):
+            total, n, last = self.open.getValue((start,))
+        else:
+            total, n, last = 0, 0, None
+            self.h.registerTimer(start + self.size)
+        newest = None
+        for r in rows:
+            total, n = total + (r.score or 0), n + 1
+            at = tuple(r[c] for c in self.order)
+            if newest is None or at > newest:
+                newest, last = at, r.ts_ms
+        self.open.updateValue((start,), (total, n, last))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.size
+        if self.open.containsKey((start,)):
+            total, n, last = self.open.getValue((start,))
+            self.open.removeKey((start,))
+            yield Row(name=key[0], window_start_ms=start, window_end_ms=start + self.size, score_sum=total, n_rows=n, last_ts=last)
+
+    def close(self) -> None:
+        pass
