@@ -326,8 +326,8 @@ def change_feed_tables(spark, d):
 
 @query
 def filter_has_data(spark, d):
-    env = CDC.filter_has_data(R.cdc_envelopes(table(spark, d, "orders")))
-    v = F.try_parse_json("value")
+    env = CDC.with_data(R.cdc_envelopes(table(spark, d, "orders")))
+    v = F.col("_dv")
     return env.select("seq", F.try_variant_get(v, "$.operation", "string").alias("operation"),
                       F.try_variant_get(v, "$.data.o_orderstatus", "string").alias("status"))
 

@@ -15,14 +15,14 @@ OP_NAMES = {"c": "create", "u": "update", "d": "delete", "r": "read"}
 DATA_TYPE = "map<string,variant>"
 
 
-def normalize_change_events(df: DataFrame, value: str = "value", topic: str | None = "topic") -> DataFrame:
+def normalize_change_events(df: DataFrame, value: str = "value", topic: str | None = "topic", parsed: str | None = None) -> DataFrame:
     """CDC1: ``{before, after, op, source}`` -> ``data`` (``after`` or an empty
     map), ``operation`` (lower-case name), ``dbname``, ``table``.
 
     ``before`` is ignored; a delete therefore carries empty ``data``.  The
     database / table come from ``source`` and fall back to the topic
-    ``<server>.<db>.<table>``."""
-    x = J.with_parsed(df, value, "_cv")
+    ``<server>.<db>.<table>``.  ``parsed`` names the parsed value where ``df`` has it."""
+    x = df.withColumnRenamed(parsed, "_cv") if parsed else J.with_parsed(df, value, "_cv")
     v = F.col("_cv")
     after = F.try_variant_get(v, "$.after", DATA_TYPE)
     op = F.lower(J.path(v, "$.op", "string"))
@@ -51,13 +51,15 @@ def split_dirty_changes(df: DataFrame, value: str = "value") -> tuple[DataFrame,
     return x.where(F.col("reason").isNull()).drop("reason"), x.where(F.col("reason").isNotNull())
 
 
-def tag_dirty_changes(df: DataFrame, value: str = "value") -> DataFrame:
-    """``df`` with ``reason``: null for a change event, else why it is dirty (one parse, one pass)."""
+def tag_dirty_changes(df: DataFrame, value: str = "value", keep: str | None = None) -> DataFrame:
+    """``df`` with ``reason``: null for a change event, else why it is dirty (one parse, one pass), and the parsed value
+    under the name ``keep``."""
     x = J.with_parsed(df, value, "_cv")
     op = F.lower(J.path(F.col("_cv"), "$.op", "string"))
     reason = (F.when(~J.is_json_object(F.col("_cv")), F.lit(BAD_TEXT)).when(op.isNull(), F.lit(NO_OP))
               .when(~op.isin(*OP_NAMES), F.lit(UNKNOWN_OP)))
-    return x.withColumn("reason", reason).drop("_cv")
+    x = x.withColumn("reason", reason)
+    return x.withColumnRenamed("_cv", keep) if keep else x.drop("_cv")
 
 
 def snapshot_events(rows: DataFrame, db: str, table: str, server: str = "snapshot") -> DataFrame:
@@ -89,7 +91,12 @@ def envelope_json(norm: DataFrame) -> DataFrame:
 
 def filter_has_data(df: DataFrame, value: str = "value") -> DataFrame:
     """JSN5: keep envelopes whose ``data`` key is present."""
-    return df.where(F.coalesce(J.has_path(J.parse_lenient(value), "$.data"), F.lit(False)))
+    return with_data(df, value).drop("_dv")
+
+
+def with_data(df: DataFrame, value: str = "value") -> DataFrame:
+    """``filter_has_data`` with the parsed envelope ``_dv``, so that what reads it next need not parse again."""
+    return J.with_parsed(df, value, "_dv").where(F.coalesce(J.has_path(F.col("_dv"), "$.data"), F.lit(False)))
 
 
 def from_timestamp(df: DataFrame, ts_col: str, from_ms: int) -> DataFrame:

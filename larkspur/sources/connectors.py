@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions import json as J
 from larkspur.functions import text as TX
 
 
@@ -60,17 +61,26 @@ def file_text_stream(spark: SparkSession, path: str, fmt: str = "parquet", schem
 def change_feed(records: DataFrame, databases: list[str] | None = None,
                 tables: list[str] | None = None, value: str = "value", topic: str = "topic") -> DataFrame:
     """SRC3 / SRC4: change events of whole databases or a table list
-    (``db.table`` names), filtered on the event's ``source`` block with the
-    topic ``<server>.<db>.<table>`` as fallback."""
-    v = F.try_parse_json(F.col(value))
-    db = F.coalesce(F.try_variant_get(v, "$.source.db", "string"), TX.topic_db_table(topic)[0])
-    tb = F.coalesce(F.try_variant_get(v, "$.source.table", "string"), TX.topic_db_table(topic)[1])
+    (``db.table`` names), by the event's ``source`` block or, without one, the
+    topic ``<server>.<db>.<table>``; one parse a record."""
+    if not databases and not tables:
+        return records
+    x = J.with_parsed(records, value, "_fv")
+    db = F.coalesce(J.path(F.col("_fv"), "$.source.db"), TX.topic_db_table(topic)[0])
+    tb = F.coalesce(J.path(F.col("_fv"), "$.source.table"), TX.topic_db_table(topic)[1])
+    x = x.select(*records.columns, db.alias("_db"), tb.alias("_tb"))
+    return of_tables(x, databases, tables, "_db", "_tb").drop("_db", "_tb")
+
+
+def of_tables(events: DataFrame, databases: list[str] | None = None, tables: list[str] | None = None,
+              db: str = "dbname", table: str = "table") -> DataFrame:
+    """SRC3 / SRC4 on events whose database and table are columns (CDC1's output)."""
     cond = F.lit(True)
     if databases:
-        cond = cond & db.isin(*databases)
+        cond = cond & F.col(db).isin(*databases)
     if tables:
-        cond = cond & F.concat_ws(".", db, tb).isin(*tables)
-    return records.where(cond)
+        cond = cond & F.concat_ws(".", F.col(db), F.col(table)).isin(*tables)
+    return events.where(cond)
 
 
 def jdbc_snapshot(spark: SparkSession, url: str, table: str, user: str | None = None,

@@ -2,12 +2,15 @@
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur import apps as A
 from larkspur import catalog as C
 from larkspur.operators import patterns as P
+from larkspur.sources import commits as CM
 from larkspur.sources import records as R
+from larkspur.sources import sinks as SK
 from larkspur.sources.tables import table
 from tests.test_streaming import SF, _write_chunks
 
@@ -64,33 +67,54 @@ def test_cdc_ingest_and_base_db_apps(spark, scratch, monkeypatch):
     sent = []
     monkeypatch.setattr(A.SK, "write_kafka_batch", lambda df, bootstrap, topic=None: sent.extend(map(tuple, df.collect())))
     _wait(A.base_db(spark, f"files:{scratch}/ods_in", "kafka:broker:9092", f"{scratch}/ck3", f"{scratch}/config", NOW))
-    assert sorted(sent) == sorted(map(tuple, exp.collect()))
-
-
-def test_window_demo_app(spark, scratch):
+    assert sorted(r[:2] for r in sent) == sorted(map(tuple, exp.collect())) and len({r[2] for r in sent}) == len(sent)
+
+
+def test_base_db_app_with_a_live_config_feed(spark, scratch):
+    """Each record is routed by the config before it, with both feeds as streams; the commit record covers all outputs."""
+    env = lambda i: '{"data":{"id":"%d","city":"c%d"},"operation":"create","dbname":"shop","table":"stores"}' % (i, i)
+    cfg = lambda sink, cols, to: ('{"data":{"source_table":"stores","operate_type":"create","sink_type":"%s","sink_table":"%s",'
+                                  '"sink_columns":"%s","sink_pk":"id","sink_extend":null},"type":"insert"}') % (sink, to, cols)
+    rows = [(i, env(i)) for i in range(10, 50)] + [(10**6, env(0))]
+    spark.createDataFrame(rows, "seq long, value string").repartition(4).write.parquet(f"{scratch}/ods")
+    feed = [(15, cfg("kafka", "id", "dwd_store")), (25, cfg("kafka", "id,city", "dwd_store")), (35, cfg("hbase", "id,city", "dim_store"))]
+    spark.createDataFrame(feed, "seq long, value string").repartition(3).write.parquet(f"{scratch}/cfg")
+    _wait(A.base_db(spark, f"files:{scratch}/ods", f"files:{scratch}/out", f"{scratch}/ck", trigger=NOW,
+                    config_source=f"files:{scratch}/cfg", apart_ms=10_000))
+    got = {r.value for r in CM.read_output(spark, f"{scratch}/out", "topics", "json").collect()}
+    assert got == {'{"id":"%d"}' % i for i in range(16, 26)} | {'{"city":"c%d","id":"%d"}' % (i, i) for i in range(26, 36)}
+    dims = {r.pk: r.data for r in SK.read_dimension(spark, f"{scratch}/out/dims").collect()}
+    assert set(dims) == {str(i) for i in range(36, 50)} and dims["40"] == {"id": "40", "city": "c40"}
+
+
+def test_window_demo_app(spark, scratch, monkeypatch):
     lines = R.score_lines(table(spark, SF, "events")).select(F.col("seq").alias("rec_id"), "value", "arrival_ms")
-    _write_chunks(lines.select("rec_id", "value", "arrival_ms"), f"{scratch}/in", ["arrival_ms", "rec_id"], n=8)
-    _wait(A.window_demo(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW,
-                        size="1 day", delay_ms=C.DELAY_MS, lateness_ms=C.LATENESS_MS))
-    res = spark.read.parquet(f"{scratch}/out/window_result")
-    assert res.count() > 0 and "score_sum" in res.columns
-    def rows(path):   # an output with no rows in any batch has no partitions
-        parts = [d for d in os.listdir(path) if d.startswith("batch_id=")] if os.path.isdir(path) else []
-        return spark.read.parquet(path).count() if parts else 0
-
-    assert rows(f"{scratch}/out/late/main") + rows(f"{scratch}/out/late/late") == lines.count()
+    # files in arrival order, numbered in it: the app's order is that of the record numbers
+    _write_chunks(lines.withColumn("rec_id", F.row_number().over(Window.orderBy("arrival_ms", "rec_id")).cast("long")).select("rec_id", "value"),
+                  f"{scratch}/in", ["rec_id"], n=4)
+    size = dict(size="1 day", delay_ms=C.DELAY_MS, lateness_ms=C.LATENESS_MS)
+    _wait(A.window_demo(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW, **size))
+    out = CM.read_output(spark, f"{scratch}/out/window-demo", "results")
+    late = CM.read_output(spark, f"{scratch}/out/window-demo", "late")
+    n_late = C.late_classify(spark, SF).where("class = 'late'").count()
+    assert late.count() == n_late > 0 and out.count() > 0
+    name, start, text = out.select("name", "window_start_ms", "text").first()
+    assert text.split(",")[1] == name and text.split(",")[0].count("-") == 5      # two dates and the dash between
+    sent = {}
+    monkeypatch.setattr(A.SK, "write_kafka_batch", lambda df, bootstrap, topic=None: sent.setdefault(topic, []).extend(df.collect()))
+    _wait(A.window_demo(spark, f"files:{scratch}/in", "kafka:broker:9092", f"{scratch}/ck2", NOW, **size))
+    assert len(sent["window_late"]) == n_late and sorted(r.value for r in sent["window_result"]) == sorted(r.text for r in out.collect())
+    assert len({r.key for r in sent["window_result"]}) == out.count()
 
 
 def test_login_alert_app(spark, scratch):
     rows = [(i, '{"userId":"%s","ipAddress":"ip","eventType":"%s","timestamp":%d}' % (u, t, ts))
-            for i, (u, t, ts) in enumerate([("user_1", "fail", 2000), ("user_1", "fail", 3000),
-                                            ("user_2", "fail", 4000), ("user_1", "fail", 5000),
-                                            ("user_2", "success", 6000), ("user_2", "fail", 7000),
-                                            ("user_2", "fail", 8000), ("zz", "success", 10 ** 9)])]
+            for i, (u, t, ts) in enumerate([("ann", "fail", 110), ("bob", "fail", 120), ("ann", "fail", 130), ("bob", "fail", 140),
+                                            ("bob", "success", 150), ("ann", "fail", 160), ("bob", "fail", 170), ("zz", "success", 10 ** 9)])]
     spark.createDataFrame(rows, "rec_id long, value string").coalesce(1).write.parquet(f"{scratch}/in")
     _wait(A.login_alert(spark, f"files:{scratch}/in", f"files:{scratch}/out", f"{scratch}/ck", NOW))
     out = [r.value for r in spark.read.parquet(f"{scratch}/out/login_alert").collect()]
-    assert out == ["user_1 failed to log in 3 times in a row at: 2000, 3000, 5000"]
+    assert out == ["ann failed to log in 3 times in a row at: 110, 130, 160"]
 
 
 def test_unique_visit_app(spark, scratch):

@@ -13,8 +13,8 @@ def test_kafka_source_options():
     o = SC.kafka_source_options("b:9092", "ods_base_log", group_id="g")
     assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "ods_base_log",
                  "startingOffsets": "earliest", "kafka.group.id": "g"}
-    t = SC.kafka_source_options("b:9092", "ods_base_db", starting=1_647_569_000_000)
-    assert t["startingTimestamp"] == "1647569000000" and "startingOffsets" not in t
+    t = SC.kafka_source_options("b:9092", "ods_base_db", starting=1_700_000_123_000)
+    assert t["startingTimestamp"] == "1700000123000" and "startingOffsets" not in t
 
 
 def test_kafka_sink_options():
