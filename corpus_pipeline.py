@@ -27,10 +27,20 @@ SHINGLE, PERCENT = 5, 80
 ORACLE_SQL = None
 
 
+def _whole(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with each row also as one struct, under a name that no column has: whatever an operator adds or replaces,
+    the row comes out as it went in."""
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.struct(*[F.col(f"`{c}`") for c in docs.columns])), name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = langid.train(docs.where(~F.coalesce(langid.held_out(F.col("doc_id")), F.lit(True))))
-    found = langid.predict(docs, profiles)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+    rows, whole = _whole(docs)
+    found = langid.predict(rows.select("text", whole), profiles, keep=[whole])
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(f"{whole}.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +49,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Items shorter than a seed are no evidence of a leak: a document may well hold one common word."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = string_tiling.contaminated(docs.select("doc_id", "text"), bench).select("doc_id").distinct()
+    found = string_tiling.contaminated(docs.select("doc_id", "text"), bench).where(F.col("item_words") >= string_tiling.K)
+    found = found.select("doc_id").distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = pareto_mix.mix(docs)
-    return (mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-            .select(docs.columns))
+    rows, whole = _whole(docs)
+    mixed = pareto_mix.mix(rows.select("doc_id", "text", "source", whole))
+    return mixed.where("copies > 0").select(F.explode(F.array_repeat(whole, F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
