@@ -332,7 +332,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, h
     pairs = cut(_bitmap_filter(pairs.select("a", "b", "na", "nb", "bits_a", "bits_b"), percent))
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     arrays = _arrays(docs, cut(ends.join(classes.select("id", "k1"), "id")), k)
-    links = _verify(pairs, arrays, percent)
+    links = cut(_verify(pairs, arrays, percent))  # a stage of its own: one Python worker a core, not two in a row
     comp = cut(components(links))
     if not many.isEmpty():
         more = cut(_hot_links(many.select("token", "id"), comp, classes, docs, k, percent, tile))
