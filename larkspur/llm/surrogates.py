@@ -42,9 +42,13 @@ _TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 _PARTICLES = "von|vom|van|der|den|de|du|di|da|do|dos|das|del|della|des|la|las|le|los|zu|zum|zur|ter|ten|bin|ibn|el|al|af|av|y|e"
 _SECRET_WORD = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+# Of any length and script, with apostrophes; each run of such characters is read once, from its start to its end.
+_LOCAL = r"\p{L}\p{M}\p{N}._%+'’-"
+EMAIL = rf"(?<![{_LOCAL}])[{_LOCAL}]++@[\p{{L}}\p{{M}}\p{{N}}-]++(?:\.[\p{{L}}\p{{M}}\p{{N}}-]++)++"
 # What stands before the key word (db_, client-) stays as it is; the value is read to its end, without going back.
-SECRET = rf"(?i:{_SECRET_WORD})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[^\s\"',;]{{6,}}+"
+# After a colon, `secret` and `token` may be plain prose, so there a value needs six characters; else any will do.
+SECRET = (rf"(?i:{_SECRET_WORD})[\"']?[ \t]{{0,3}}(?:=|(?<!(?i:secret|token)[\"' \t]{{0,4}}):|:(?=[ \t]{{0,3}}[\"']?[^\s\"',;]{{6}}))"
+          r"[ \t]{0,3}[\"']?[^\s\"',;]++")
 ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 # A further digit of a phone, at most three separators on; a card number after a space is not part of it.
@@ -176,6 +180,8 @@ def _same_shape(x: Column, stream: Column, lower: str = "abcdefghijklmnopqrstuvw
                                     .when(F.rlike(c, F.lit("[a-z]")), _pick(lower, _byte(stream, i)))
                                     .when(F.rlike(c, F.lit("[A-Z]")), _pick(upper, _byte(stream, i)))
                                     .when(F.rlike(c, F.lit("[а-я]")), _pick("абвгдежзиклмнопрстуфхцчшэюя", _byte(stream, i)))
+                                    .when(F.rlike(c, F.lit(r"\p{Lu}")), _pick(upper, _byte(stream, i)))
+                                    .when(F.rlike(c, F.lit(r"[\p{L}\p{N}]")), _pick(lower, _byte(stream, i)))
                                     .otherwise(c)), "")
 
 
