@@ -130,16 +130,13 @@ def refire_results(classified: DataFrame, key: str = "name", value: str = "score
     re-fire records in arrival order: the running sum at a re-fire record is
     its firing result, so no join back to the on-time totals is needed."""
     g = [key, "window_start_ms"]
-    on_time = (classified.where(F.col("class") == ON_TIME).groupBy(*g)
-               .agg(F.sum(F.col(value).cast("bigint")).alias("score_sum"),
-                    F.count(F.lit(1)).alias("n_rows")))
-    first = on_time.select(*g, F.lit(0).cast("long").alias("fire_no"), "score_sum", "n_rows")
     is_re = (F.col("class") == REFIRE).cast("long")
-    r = classified.where(F.col("class") != LATE).withColumn("_re", is_re)
+    r = classified.where(F.col("class") != LATE).withColumn("_re", is_re).withColumn("_v", F.col(value).cast("bigint"))
     r = S.assign_segments(r, g, ["_re", *order], max_rows)
     o = [F.col("_re")] + [F.col(c) for c in order]
-    r = S.with_running(r, g, o, aggs=[(F.col(value).cast("bigint"), "score_sum", "sum"),
-                                      (F.lit(1).cast("long"), "n_rows", "sum"),
-                                      ("_re", "fire_no", "sum")])
-    re = S.drop_segments(r).where(F.col("_re") == 1).select(*g, "fire_no", "score_sum", "n_rows")
-    return first.unionByName(re)
+    r = S.drop_segments(S.with_running(r, g, o, aggs=[("_v", "_sum", "sum"), (F.lit(1).cast("long"), "_rows", "sum"), ("_re", "fire_no", "sum")]))
+    # One aggregate for both: all on-time records share number 0, every re-fire has its own.
+    first = F.col("fire_no") == 0
+    return (r.groupBy(*g, "fire_no").agg(F.sum("_v").alias("_s0"), F.count(F.lit(1)).alias("_n0"), F.max("_sum").alias("_sum"), F.max("_rows").alias("_rows"))
+            .select(*g, "fire_no", F.when(first, F.col("_s0")).otherwise(F.col("_sum")).alias("score_sum"),
+                    F.when(first, F.col("_n0")).otherwise(F.col("_rows")).alias("n_rows")))

@@ -10,9 +10,15 @@ The plan here splits *hot* keys into ordered segments:
 1. ``assign_segments`` takes a hash-based sample of the input (the same
    rows in every branch and recomputation), finds keys whose estimated row
    count exceeds ``max_rows`` and cuts each such key into segments by
-   quantiles of the sampled order tuples.  The hot-key
-   table holds at most ``sample rows / (max_rows * fraction)`` rows, so its
-   broadcast is bounded by construction.  Cold keys keep segment 0.
+   quantiles of a summary of its sampled order tuples.  The summary merges
+   and has a fixed size: of the sampled rows that fall into one of
+   ``SUMMARY`` hash buckets, the one with the smallest hash stays, so no
+   aggregate ever holds more than ``SUMMARY`` tuples of a key.  At most
+   ``SEGMENTS`` segments are made in all: beyond ``SEGMENTS * max_rows`` rows
+   segments grow instead (a hot key is one with more than rows / SEGMENTS
+   rows).  So the table of hot keys and cuts, which is broadcast, has at most
+   ``SEGMENTS`` keys and as many cuts whatever the input's size.  Cold keys
+   keep segment 0.
 2. Window functions run over ``(key, segment)`` so no task holds more than
    about ``max_rows`` rows of one key.
 3. Segment boundaries are stitched with small per-segment summaries (the
@@ -40,6 +46,8 @@ GLOBAL_KEY = "_all"
 DEFAULT_MAX_ROWS = 1_000_000
 # Expected sampled rows of a key at the hot threshold.
 SAMPLE_ROWS_AT_THRESHOLD = 64
+# Most tuples in a key's summary, and most segments (hence hot keys, and cuts) of one frame.
+SUMMARY, SEGMENTS = 1 << 18, 1 << 16
 
 
 def _conf_int(spark: SparkSession, key: str, default: int) -> int:
@@ -70,6 +78,20 @@ def position(cuts: Column, value: Column) -> Column:
     return F.aggregate(steps, start, halve, lambda at: at["lo"])
 
 
+def hot_cuts(sample: DataFrame, keys: Sequence[str], place: Column, step: int, seed: int) -> DataFrame:
+    """(keys, _cuts): the keys with more than ``step`` sampled rows and where to cut them, by their summaries."""
+    own = F.xxhash64(*[F.col(k) for k in keys], place, F.lit(seed + 1))
+    spots = (sample.groupBy(*keys, F.pmod(own, F.lit(SUMMARY)).alias("_spot"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(own.alias("h"), place.alias("at"))).alias("_least")))
+    rows = spots.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).scalar()
+    each = F.greatest(F.lit(float(step)), rows / F.lit(float(SEGMENTS)))      # sampled rows of one segment
+    stats = spots.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.array_sort(F.collect_list("_least.at")).alias("_s"))
+    stats = stats.withColumn("_parts", F.ceil(F.col("_n") / each).cast("int")).where(F.col("_n") > each)
+    cuts = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1),
+                       lambda i: F.get(F.col("_s"), F.floor(i * F.size("_s") / F.col("_parts")).cast("int")))
+    return stats.select(*keys, F.array_distinct(cuts).alias("_cuts"))
+
+
 def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str | Sequence[str],
                     max_rows: int | None = None, seed: int = 17) -> DataFrame:
     """Add ``_seg`` (bigint) and ``_hot`` (boolean) columns.
@@ -94,14 +116,8 @@ def assign_segments(df: DataFrame, keys: Sequence[str], order_value: str | Seque
         h = F.xxhash64(*[F.col(k) for k in keys], *[F.col(c) for c in order], F.lit(seed))
         src = src.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(frac * (1 << 30))))
     place = F.struct(*[F.col(c) for c in order])
-    step = max(1, int(limit * frac))     # sampled rows of one segment
-    stats = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.collect_list(place).alias("_s"))
-             .where(F.col("_n") > F.lit(step)).withColumn("_s", F.array_sort("_s")))
-    cuts = F.transform(F.sequence(F.lit(1), F.floor((F.col("_n") - 1) / F.lit(step)).cast("int")),
-                       lambda i: F.get(F.col("_s"), i * step))
-    # One cut for each ``max_rows`` rows of a hot key: bounded by sampled rows / step.
-    hot = stats.select(*keys, F.array_distinct(cuts).alias("_cuts"))
-    out = df.join(F.broadcast(hot), keys, "left")
+    hot = hot_cuts(src, keys, place, max(1, int(limit * frac)), seed)
+    out = df.join(F.broadcast(hot), keys, "left")      # at most SEGMENTS keys and cuts
     seg = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(position(F.col("_cuts"), place)).cast("long")
     return out.withColumn(SEG, seg).withColumn(HOT, F.col("_cuts").isNotNull()).drop("_cuts")
 

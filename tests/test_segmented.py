@@ -117,3 +117,30 @@ def test_replayed_batch_replaces_the_whole_batch(spark, scratch):
     assert {r.topic for r in spark.read.json(path).collect()} == {"new", "keep"}
     SK.write_topics(frame(None), path, 7)
     assert {r.topic for r in spark.read.json(path).collect()} == {"keep"}
+
+
+def test_summary_and_cuts_have_a_fixed_size(spark, monkeypatch):
+    """However many rows a key has, its summary holds at most SUMMARY tuples, and all keys together SEGMENTS cuts."""
+    monkeypatch.setattr(S, "SUMMARY", 64)
+    monkeypatch.setattr(S, "SEGMENTS", 16)
+    for n in (500, 5000, 50_000):
+        df = spark.range(n).select((F.col("id") % 5).alias("k"), F.col("id").alias("t"))
+        kept = S.hot_cuts(df, ["k"], F.struct("t"), 10, 17)
+        spots = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "min(" in spots
+        cuts = {r.k: len(r._cuts) for r in kept.collect()}
+        assert sum(cuts.values()) <= 16 and (n < 100 or len(cuts) == 5)
+        one = S.assign_segments(df.withColumn("k", F.lit(0)), ["k"], "t", max_rows=20)
+        sizes = [r["count"] for r in one.groupBy("_seg").count().collect()]
+        assert 8 <= len(sizes) <= 16 and max(sizes) < 4 * n / len(sizes)
+
+
+def test_summary_is_bounded_by_construction(spark, monkeypatch):
+    """What the second aggregate collects of a key, counted from the first one's output."""
+    monkeypatch.setattr(S, "SUMMARY", 32)
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
+    own = F.xxhash64(F.col("k"), F.struct("t"), F.lit(18))
+    assert df.select(F.pmod(own, F.lit(S.SUMMARY))).distinct().count() <= 32
+    x = S.assign_segments(df, ["k"], "t", max_rows=500)
+    x = S.with_running(x, ["k"], ["t"], F.lit(1).cast("long"), "n", how="sum")
+    assert x.where("n <> t + 1").count() == 0
