@@ -30,7 +30,7 @@ from larkspur.sources.tables import table
 # the generated events are hours, see FIXTURES.md).
 BOUNCE_WINDOW_MS = 14_400_000
 ZONE = "Asia/Shanghai"
-ALERT_RUN = 3
+ALERT_RUN, ALERT_WITHIN_MS = 3, 36 * 3_600_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -202,6 +202,24 @@ def strict_times_n(spark, d):
                     F.col(f"e{ALERT_RUN}.timestamp").alias("last_ts"), F.concat_ws(",", *ts).alias("ts_list"))
 
 
+def _within(spark, d, kind):
+    m = P.strict_times_within(_logins(spark, d), _fail(), ALERT_RUN, "user_id", "timestamp", "seq", ALERT_WITHIN_MS)
+    events = F.filter(F.array(*[F.col(f"e{i}") for i in range(1, ALERT_RUN + 1)]), lambda e: e.isNotNull())
+    return m.where(F.col("kind") == kind).select(
+        "user_id", F.col("e1.seq").alias("first_seq"), F.col("length").cast("bigint").alias("length"),
+        F.array_join(F.transform(events, lambda e: e["timestamp"].cast("string")), ",").alias("ts_list"))
+
+
+@query
+def strict_times_within(spark, d):
+    return _within(spark, d, P.MATCHED)
+
+
+@query
+def strict_times_timeout(spark, d):
+    return _within(spark, d, P.TIMEOUT)
+
+
 @query
 def strict_runs(spark, d):
     return P.strict_runs(_logins(spark, d), _fail(), "user_id", "timestamp", "seq")

@@ -83,6 +83,31 @@ def strict_times(df: DataFrame, cond: Column, n: int, key: str, ts: str, tie: st
     return S.drop_segments(out).select(key, *[f"e{i}" for i in range(1, n + 1)])
 
 
+def strict_times_within(df: DataFrame, cond: Column, n: int, key: str, ts: str, tie: str, within_ms: int,
+                        payload: Sequence[str] = (), max_rows: int | None = None) -> DataFrame:
+    """CEP6 on CEP4 / CEP5: ``n`` consecutive events meeting ``cond``, all less than ``within_ms`` after the first, and as a
+    side output the partial matches that ran out of time.
+
+    Every event meeting ``cond`` starts a partial match.  It grows while the next event comes in time and meets ``cond``, dies
+    when one in time does not, and times out when the next one is late or there is none.  One row a start that is *matched*
+    (``length`` n) or *timeout* (fewer): ``kind``, ``length`` and ``e1..en`` structs of ``(ts, tie, *payload)``, null from
+    ``length`` on."""
+    cols = [ts, tie, *payload]
+    x = df.withColumn("_c", F.coalesce(cond, F.lit(False)))
+    x = S.assign_segments(x, [key], [ts, tie], max_rows)
+    x = S.with_neighbors(x, [key], [ts, tie], cols + ["_c"], n_next=n - 1)
+    late = [F.col(f"next_{i}").isNull() | (F.col(f"next_{i}.{ts}") - F.col(ts) >= within_ms) for i in range(1, n)]
+    # the first event after the start that is late or does not meet the condition decides
+    state = F.struct(F.lit(MATCHED).alias("kind"), F.lit(n).alias("length"))
+    for i in reversed(range(1, n)):
+        state = (F.when(late[i - 1], F.struct(F.lit(TIMEOUT).alias("kind"), F.lit(i).alias("length")))
+                 .when(~F.col(f"next_{i}._c"), F.lit(None)).otherwise(state))
+    x = x.where(F.col("_c")).withColumn("_state", state).where(F.col("_state").isNotNull())
+    first = [F.struct(*[F.col(c) for c in cols]).alias("e1")]
+    more = [F.when(F.col("_state.length") > i, F.struct(*[F.col(f"next_{i}.{c}").alias(c) for c in cols])).alias(f"e{i + 1}") for i in range(1, n)]
+    return x.select(key, "_state.kind", "_state.length", *first, *more)
+
+
 def strict_runs(df: DataFrame, cond: Column, key: str, ts: str, tie: str,
                 min_len: int = 1, max_rows: int | None = None) -> DataFrame:
     """CEP7: maximal runs of consecutive events meeting ``cond`` (gaps and

@@ -278,6 +278,22 @@ def _dim_col(c: str) -> str:
     return f"list_filter(pkv, lambda p: p.k = '{c}')[1].s AS {c}"
 
 
+_WITHIN = """
+nx AS (
+  SELECT user_id, seq, "timestamp" AS t, event_type = 'fail' AS c,
+         lead("timestamp", 1) OVER w AS t2, lead(event_type = 'fail', 1) OVER w AS c2,
+         lead("timestamp", 2) OVER w AS t3, lead(event_type = 'fail', 2) OVER w AS c3
+  FROM li WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", seq)),
+pm AS (
+  SELECT user_id, seq, t, t2, t3,
+         CASE WHEN t2 IS NULL OR t2 - t >= 129600000 THEN 1 WHEN NOT c2 THEN 0
+              WHEN t3 IS NULL OR t3 - t >= 129600000 THEN 2 WHEN NOT c3 THEN 0 ELSE 3 END AS n
+  FROM nx WHERE c)
+SELECT user_id, seq AS first_seq, CAST(n AS BIGINT) AS length,
+       CAST(t AS VARCHAR) || CASE WHEN n > 1 THEN ',' || CAST(t2 AS VARCHAR) ELSE '' END
+         || CASE WHEN n > 2 THEN ',' || CAST(t3 AS VARCHAR) ELSE '' END AS ts_list FROM pm WHERE """
+SQL.update({"strict_times_within": _with(_WITHIN + "n = 3"), "strict_times_timeout": _with(_WITHIN + "n IN (1, 2)")})
+
 SQL.update({
     "cdc_normalize": _with(_CDC + f"""
 SELECT "table", seq, operation, dbname, CAST(len(kv) AS BIGINT) AS n_keys, {_json_of('kv')} AS data_json FROM cdc"""),

@@ -138,17 +138,18 @@ def bounce_stream(pages: DataFrame, window_ms: int = 10_000) -> DataFrame:
         PR.BounceProcessor(window_ms), schema, "Append", "EventTime")
 
 
-STRICT_SCHEMA = "key string, first_seq long, first_ts long, last_ts long, ts_list string"
+STRICT_SCHEMA = "key string, kind string, length int, first_seq long, first_ts long, last_ts long, ts_list string"
 
 
 def strict_times_stream(events: DataFrame, cond, n: int, key: str, ts: str = "ts_ms",
-                        seq: str = "seq") -> DataFrame:
-    """CEP4 / CEP5 (stream): monotonous watermark, event-time timers."""
+                        seq: str = "seq", within_ms: int | None = None, bucket_ms: int = 1000) -> DataFrame:
+    """CEP4 / CEP5 / CEP6 (stream): monotonous watermark, event-time timers; timed-out partial matches are rows of
+    ``kind`` timeout."""
     x = (events.withColumn("_ts", ms_to_ts(F.col(ts))).withWatermark("_ts", "0 seconds")
          .select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(seq).alias("seq"),
                  F.coalesce(cond, F.lit(False)).alias("c"), "_ts"))
     schema = _schema(events.sparkSession, STRICT_SCHEMA)
-    return x.groupBy("key").transformWithState(PR.StrictTimesProcessor(n), schema, "Append", "EventTime")
+    return x.groupBy("key").transformWithState(PR.StrictTimesProcessor(n, within_ms, bucket_ms), schema, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ windows

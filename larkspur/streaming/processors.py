@@ -73,164 +73,155 @@ class UniqueVisitProcessor(StatefulProcessor):
         pass
 
 
-_BUF = "ts_ms long, rec_id long, is_entry boolean, page_id string, value string"
+class Buckets:
+    """Rows that wait for the watermark, in map state keyed by time bucket: one timer a bucket, and a timer reads and
+    removes its own bucket only, however many rows wait behind it."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, bucket_ms: int):
+        self.h, self.ms = handle, bucket_ms
+        self.map = handle.getMapState(name, "bucket long", "rows string")
+        self.latest = handle.getValueState(f"{name}_latest", "bucket long")
+
+    def add(self, rows: Sequence[tuple]) -> None:
+        """Rows are tuples of JSON values whose first is the time in ms."""
+        new: dict[int, list] = {}
+        for r in rows:
+            new.setdefault(r[0] // self.ms, []).append(r)
+        for b, more in new.items():
+            old = json.loads(self.map.getValue((b,))[0]) if self.map.containsKey((b,)) else []
+            if not old:
+                self.h.registerTimer((b + 1) * self.ms)     # all of the bucket is at or below the watermark then
+            self.map.updateValue((b,), (json.dumps(old + more),))
+        if new and (not self.latest.exists() or self.latest.get()[0] < max(new)):
+            self.latest.update((max(new),))
+
+    def reached(self, fired_ms: int, watermark_ms: int) -> int:
+        """Up to when all rows have been handed out: the watermark, if no bucket is left behind this timer (a timer set now for
+        a time the watermark has passed would wait for the next batch), else the timer's time."""
+        return watermark_ms if (self.latest.get()[0] + 1) * self.ms <= fired_ms else fired_ms
+
+    def wake(self, at_ms: int) -> None:
+        """A timer at the first bucket's end from ``at_ms`` on, when all rows before ``at_ms`` have been handed out."""
+        self.h.registerTimer(-(-at_ms // self.ms) * self.ms)
+
+    def due(self, fired_ms: int) -> list[tuple]:
+        """The rows of the bucket that this timer stands for, and out of the state."""
+        b = fired_ms // self.ms - 1
+        if not self.map.containsKey((b,)):
+            return []
+        rows = [tuple(r) for r in json.loads(self.map.getValue((b,))[0])]
+        self.map.removeKey((b,))
+        return rows
 
 
 class BounceProcessor(StatefulProcessor):
     """CEP1-CEP3 in event time (timeMode="EventTime").
 
-    Rows are buffered until the watermark passes them, then consumed in
+    Rows wait in time buckets until the watermark has passed them, then are consumed in
     ``(ts, rec_id)`` order by a one-slot partial match: an entry followed by
     an entry within ``window_ms`` is *matched*; a pending entry whose next
     event is at least ``window_ms`` later, or that is still pending when the
-    watermark reaches ``ts + window_ms``, is a *timeout*.  Output rows:
+    watermark has passed ``ts + window_ms``, is a *timeout*.  Output rows:
     ``mid, rec_id, ts_ms, page_id, kind, value`` (the record's text)."""
 
-    def __init__(self, window_ms: int = 10_000):
-        self.w = window_ms
+    def __init__(self, window_ms: int = 10_000, bucket_ms: int | None = None):
+        self.w, self.ms = window_ms, bucket_ms or max(1, window_ms // 10)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.h = handle
-        self.buf = handle.getListState("buffer", _BUF)
-        self.pending = handle.getValueState("pending", _BUF)
+        self.waiting = Buckets(handle, "waiting", self.ms)
+        self.pending = handle.getValueState("pending", "ts_ms long, rec_id long, page_id string, value string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts_ms, r.rec_id, bool(r.is_entry), r.page_id, r.value) for r in rows]
-        if new:
-            self.buf.appendList(new)
-            self.h.registerTimer(min(x[0] for x in new))
+        self.waiting.add([(r.ts_ms, r.rec_id, bool(r.is_entry), r.page_id, r.value) for r in rows])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        rows = sorted((tuple(x) for x in self.buf.get()), key=lambda x: x[:2]) if self.buf.exists() else []
-        ready = [x for x in rows if x[0] <= wm]
-        rest = [x for x in rows if x[0] > wm]
-        p = tuple(self.pending.get()) if self.pending.exists() else None
-        mid = key[0]
-        out = []
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        p = before = tuple(self.pending.get()) if self.pending.exists() else None
 
         def found(p, kind):
-            return Row(mid=mid, rec_id=p[1], ts_ms=p[0], page_id=p[3], kind=kind, value=p[4])
+            return Row(mid=key[0], rec_id=p[1], ts_ms=p[0], page_id=p[2], kind=kind, value=p[3])
 
-        for e in ready:
-            if p is not None and e[0] - p[0] >= self.w:
-                out.append(found(p, "timeout"))
+        for ts, rec, entry, page, text in sorted(self.waiting.due(fired), key=lambda x: x[:2]):
+            if p is not None and ts - p[0] >= self.w:
+                yield found(p, "timeout")
                 p = None
             if p is not None:
-                if e[2]:
-                    out.append(found(p, "matched"))
+                if entry:
+                    yield found(p, "matched")
                 p = None
-            if e[2]:
-                p = e
-        if p is not None and p[0] + self.w <= wm:
-            out.append(found(p, "timeout"))
+            if entry:
+                p = (ts, rec, page, text)
+        if p is not None and p[0] + self.w <= self.waiting.reached(fired, timerValues.getCurrentWatermarkInMs()):
+            yield found(p, "timeout")
             p = None
-        if ready:
-            self.buf.clear()
-            if rest:
-                self.buf.appendList(rest)
-        if p is None:
-            self.pending.clear()
-        else:
-            self.pending.update(p)
-            self.h.registerTimer(p[0] + self.w)
-        if rest:
-            self.h.registerTimer(rest[0][0])
-        return iter(out)
+        if p != before:
+            if p is None:
+                self.pending.clear()
+            else:
+                self.pending.update(p)
+                self.waiting.wake(p[0] + self.w)
 
     def close(self) -> None:
         pass
 
 
-_RUN = "ts long, seq long, c boolean"
-
-
 class StrictTimesProcessor(StatefulProcessor):
-    """CEP4 / CEP5 in event time: ``n`` consecutive events meeting the
-    condition (strict contiguity, overlapping matches kept).
+    """CEP4 / CEP5 / CEP6 in event time: ``n`` consecutive events meeting the
+    condition (strict contiguity, overlapping matches kept), with ``within_ms``
+    all of them less than that after the first.
 
-    Rows are buffered until the watermark passes them and consumed in
+    Rows wait in time buckets until the watermark has passed them and are consumed in
     ``(ts, seq)`` order; the last ``n - 1`` matching events of the current
-    run are kept as state.  Output rows: ``key, first_seq, first_ts,
-    last_ts, ts_list``."""
+    run are the starts of partial matches.  A start that is still partial
+    ``within_ms`` later is a *timeout* of as many events as it has.  Output rows: ``key, kind,
+    length, first_seq, first_ts, last_ts, ts_list``."""
 
-    def __init__(self, n: int = 3):
-        self.n = n
+    def __init__(self, n: int = 3, within_ms: int | None = None, bucket_ms: int = 1000):
+        self.n, self.w, self.ms = n, within_ms, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.h = handle
-        self.buf = handle.getListState("buffer", _RUN)
-        self.run = handle.getListState("run", _RUN)
+        self.waiting = Buckets(handle, "waiting", self.ms)
+        self.run = handle.getValueState("run", "events string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts, r.seq, bool(r.c)) for r in rows]
-        if new:
-            self.buf.appendList(new)
-            self.h.registerTimer(min(x[0] for x in new))
+        self.waiting.add([(r.ts, r.seq, bool(r.c)) for r in rows])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(tuple(x) for x in self.buf.get()) if self.buf.exists() else []
-        ready = [x for x in rows if x[0] <= wm]
-        rest = [x for x in rows if x[0] > wm]
-        run = sorted(tuple(x) for x in self.run.get()) if self.run.exists() else []
-        out = []
-        for e in ready:
-            if not e[2]:
-                run = []
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        run = [tuple(x) for x in json.loads(self.run.get()[0])] if self.run.exists() else []
+        before = list(run)
+
+        def found(events, kind):
+            return Row(key=key[0], kind=kind, length=len(events), first_seq=events[0][1], first_ts=events[0][0], last_ts=events[-1][0],
+                       ts_list=",".join(str(x[0]) for x in events))
+
+        def expired(now):
+            """The starts that are too old at ``now``, oldest first, each with the events that followed it."""
+            while self.w is not None and run and run[0][0] + self.w <= now:
+                yield found(list(run), "timeout")
+                run.pop(0)
+
+        for ts, seq, ok in sorted(self.waiting.due(fired)):
+            yield from expired(ts)
+            if not ok:
+                run.clear()
                 continue
-            run.append(e)
-            if len(run) >= self.n:
-                m = run[-self.n:]
-                out.append(Row(key=key[0], first_seq=m[0][1], first_ts=m[0][0], last_ts=m[-1][0],
-                               ts_list=",".join(str(x[0]) for x in m)))
-            run = run[-(self.n - 1):] if self.n > 1 else []
-        if ready:
-            self.buf.clear()
-            if rest:
-                self.buf.appendList(rest)
-            self.run.clear()
-            if run:
-                self.run.appendList(run)
-        if rest:
-            self.h.registerTimer(rest[0][0])
-        return iter(out)
+            run.append((ts, seq))
+            if len(run) == self.n:
+                yield found(list(run), "matched")
+                run.pop(0)
+        yield from expired(self.waiting.reached(fired, timerValues.getCurrentWatermarkInMs()))
+        if run != before:
+            self.run.update((json.dumps(run),))
+            if self.w is not None and run:
+                self.waiting.wake(run[0][0] + self.w)
 
     def close(self) -> None:
         pass
 
 
-class Buckets:
-    """Rows that wait for the watermark, in map state keyed by time bucket: one timer a bucket, and a timer reads and
-    removes its own bucket only, however many rows wait behind it."""
-
-    def __init__(self, handle: StatefulProcessorHandle, name: str, bucket_ms: int):
-        self.h, self.ms = handle, bucket_ms
-        self.map = handle.getMapState(name, "bucket long", "rows string")
-
-    def add(self, rows: Sequence[tuple]) -> None:
-        """Rows are tuples of JSON values whose first is the time in ms."""
-        new: dict[int, list] = {}
-        for r in rows:
-            new.setdefault(r[0] // self.ms, []).append(r)
-        for b, more in new.items():
-            old = json.loads(self.map.getValue((b,))[0]) if self.map.containsKey((b,)) else []
-            if not old:
-                self.h.registerTimer((b + 1) * self.ms)     # all of the bucket is at or below the watermark then
-            self.map.updateValue((b,), (json.dumps(old + more),))
-
-    def due(self, fired_ms: int) -> list[tuple]:
-        """The rows of the bucket that this timer stands for, and out of the state."""
-        b = fired_ms // self.ms - 1
-        if not self.map.containsKey((b,)):
-            return []
-        rows = [tuple(r) for r in json.loads(self.map.getValue((b,))[0])]
-        self.map.removeKey((b,))
-        return rows
-
-
 class AsOfRouteProcessor(StatefulProcessor):
     """RTE2 + RTE3 in event time: config rows and data records of one (table, operation, salt) in one operator.
 
