@@ -49,7 +49,8 @@ def repair_is_new(logs: DataFrame, key: str = "mid", flag: str = "is_new",
     Plan: a partial aggregate (min order per key over ``"1"`` rows, map-side
     combined) joined back on the key.  A hot key is split by AQE's skew join
     rather than sent through one window task."""
-    o = F.struct(*[F.col(c) for c in order])
+    # of one column plainly: a minimum of structs would need a sorted aggregate
+    o = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     first = (logs.where(F.col(flag) == "1")
              .groupBy(key).agg(F.min(o).alias("_first_new")))
     joined = logs.join(first, key, "left")

@@ -60,8 +60,11 @@ def repair_is_new_stream(clean: DataFrame, order=("rec_id",), ttl_ms: int | None
     trigger)."""
     schema = _schema(clean.sparkSession, REPAIR_SCHEMA)
     mode = "None" if ttl_ms is None else "ProcessingTime"
-    return clean.groupBy("mid").transformWithState(
+    clean = clean.select(schema.fieldNames())
+    claims = F.coalesce(F.col("is_new") == "1", F.lit(False))
+    fixed = clean.where(claims).groupBy("mid").transformWithState(
         PR.IsNewRepairProcessor(schema, order=order, ttl_ms=ttl_ms), schema, "Append", mode)
+    return clean.where(~claims).unionByName(fixed)      # only records that claim to be new meet the state
 
 
 def split_log_outputs(batch: DataFrame, write: Callable[[DataFrame, str], None]) -> None:
