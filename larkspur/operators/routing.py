@@ -122,15 +122,15 @@ def pk_value(data: Column, sink_pk: Column) -> Column:
     return F.try_variant_get(F.element_at(data, pk), "$", "string")
 
 
-def dim_upsert_latest(hbase_rows: DataFrame, order: Sequence[str] | str) -> DataFrame:
+def dim_upsert_latest(hbase_rows: DataFrame, order: Sequence[str] | str, keep: str | None = None) -> DataFrame:
     """SNK4 (batch form): the surviving row per (sink_table, primary key)
-    after upserting records in arrival ``order``.  Records with an empty
+    after upserting records in arrival ``order`` (kept as column ``keep``).  Records with an empty
     payload (deletes) upsert nothing and are skipped."""
     o = F.col(order) if isinstance(order, str) else F.struct(*[F.col(c) for c in order])
     x = (hbase_rows.where(F.size("data") > 0)
          .withColumn("pk", pk_value(F.col("data"), F.col("sink_pk"))))
-    g = x.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), o).alias("data"))
-    return g
+    last = [F.max(o).alias(keep)] if keep else []
+    return x.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), o).alias("data"), *last)
 
 
 def dim_columns(dims: DataFrame, columns: Sequence[str]) -> DataFrame:

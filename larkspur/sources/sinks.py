@@ -49,16 +49,29 @@ def write_topics(topic_value: DataFrame, path: str, batch_id: int) -> None:
     write_batch(topic_value, path, batch_id, partition_by=("topic",), fmt="json")
 
 
-def dimension_rows(hbase_rows: DataFrame, order: str | Sequence[str]) -> DataFrame:
-    """SNK4: a batch's surviving row per (sink_table, pk), values by column name, all as strings."""
+#: Hash buckets of a dimension log: reading a key and compacting touch one at a time.
+BUCKETS = 16
+
+
+def bucket_of(pk, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(pk), F.lit(buckets)).cast("int")
+
+
+def dimension_rows(hbase_rows: DataFrame, order: str | Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """SNK4: a batch's surviving row per (sink_table, pk): values by column name, all as strings, the row's own order ``at``
+    beside them, and the key's ``bucket``."""
     as_text = F.transform_values(F.col("data"), lambda k, v: F.try_variant_get(v, "$", "string"))
-    return RT.dim_upsert_latest(hbase_rows, order).select("sink_table", "pk", as_text.alias("data"))
+    return RT.dim_upsert_latest(hbase_rows, order, keep="at").select(
+        "sink_table", "pk", as_text.alias("data"), "at", bucket_of(F.col("pk"), buckets).alias("bucket"))
 
 
 def upsert_dimension(hbase_rows: DataFrame, path: str, batch_id: int, order: str | Sequence[str]) -> None:
-    """SNK4: append the batch's ``dimension_rows`` to an upsert log; readers merge on read (latest batch, then latest
-    order)."""
-    write_batch(dimension_rows(hbase_rows, order), path, batch_id, partition_by=("sink_table",))
+    """SNK4: append the batch's ``dimension_rows`` to an upsert log; readers merge on read (latest order, then latest
+    batch)."""
+    write_batch(dimension_rows(hbase_rows, order), path, batch_id, partition_by=LOG_FOLDERS)
+
+
+LOG_FOLDERS = ("bucket", "sink_table")
 
 
 def _dimension_log(spark: SparkSession, path: str) -> DataFrame:
@@ -71,28 +84,50 @@ def _dimension_log(spark: SparkSession, path: str) -> DataFrame:
     parts = [p for p in (log, CM.read_if_there(lambda: spark.read.parquet(f"{path}_compact"))) if p is not None]
     if not parts:
         raise ValueError(f"no dimension log at {path}")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def _current(log: DataFrame) -> DataFrame:
+    """One row a (sink_table, pk): the latest by the rows' own order, then by batch.  Of logs without the order kept, by batch."""
+    rank = F.struct("at", "batch_id") if "at" in log.columns else F.col("batch_id")
+    kept = [F.max("at").alias("at")] if "at" in log.columns else []
+    return log.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), rank).alias("data"), *kept)
 
 
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """Current dimension rows: the newest batch's value per (sink_table, pk), snapshots included."""
+def read_dimension(spark: SparkSession, path: str, pk: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Current dimension rows (sink_table, pk, data), snapshots included; with ``pk``, of that key, read from its bucket only."""
     log = _dimension_log(spark, path)
-    return (log.groupBy("sink_table", "pk")
-               .agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data")))
+    if pk is not None:
+        log = log.where((F.col("bucket") == bucket_of(F.lit(pk), buckets)) & (F.col("pk") == pk))
+    return _current(log).select("sink_table", "pk", "data")
 
 
-def compact_dimension(spark: SparkSession, path: str, upto_batch: int) -> None:
-    """Fold batches ``<= upto_batch`` of an upsert log into one snapshot
-    written to ``<path>_compact`` (as batch ``upto_batch``, same layout).
-    ``read_dimension`` takes the snapshot with the log's later batches, so the
-    folded log partitions and older snapshots can then be retired.  Re-running
-    is idempotent."""
+def compact_dimension(spark: SparkSession, path: str, upto_batch: int, retire: bool = False) -> None:
+    """Fold batches ``<= upto_batch`` of an upsert log and older snapshots into one snapshot under ``<path>_compact`` (as batch
+    ``upto_batch``), a bucket at a time.
+
+    ``retire`` then removes what the snapshot before this one had already folded: its log batches and the snapshots older than it.
+    So readers that are under way keep their files for one round, an interrupted round loses nothing, and the folders stay as
+    many as two rounds make.  Re-running is idempotent."""
+    path = path.rstrip("/")
+    snapshots = CM.read_if_there(lambda: spark.read.parquet(f"{path}_compact"))
+    before = None if snapshots is None else snapshots.where(F.col("batch_id") < upto_batch).agg(F.max("batch_id")).first()[0]
     log = _dimension_log(spark, path).where(F.col("batch_id") <= upto_batch)
-    snap = log.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), F.col("batch_id")).alias("data"))
-    # Cut from its own target first: a re-run reads the snapshot folder that it then overwrites.
-    snap = snap.checkpoint() if spark.sparkContext.getCheckpointDir() else snap.persist()
-    snap.count()
-    write_batch(snap, f"{path.rstrip('/')}_compact", upto_batch, partition_by=("sink_table",))
+    # Not from its own target: a re-run replaces a snapshot that is already there from the log and the older ones.
+    if snapshots is not None:
+        folded = snapshots.where(F.col("batch_id") == upto_batch)
+        if not folded.isEmpty():
+            return
+    if "bucket" not in log.columns:
+        write_batch(_current(log), f"{path}_compact", upto_batch, partition_by=("sink_table",))
+    else:
+        for b in sorted(r.bucket for r in log.select("bucket").distinct().collect()):     # at most BUCKETS
+            part = _current(log.where(F.col("bucket") == b))
+            part.write.mode("overwrite").partitionBy("sink_table").parquet(f"{path}_compact/batch_id={int(upto_batch)}/bucket={b}")
+    if retire and before is not None:
+        root, _, name = path.rpartition("/")
+        CM.retire(spark, root, (name,), before + 1)
+        CM.retire(spark, root, (f"{name}_compact",), before)
 
 
 def write_kafka_batch(df: DataFrame, bootstrap: str, topic: str | None = None) -> None:

@@ -245,7 +245,7 @@ def write_routed(routed: DataFrame, batch_id: int, out_root: str, order: str = "
         else:
             batch.write(RT.topic_value(main), "topics", partition_by=("topic",), fmt="json")
         side = routed.where(F.col("stream") == "side")
-        batch.write(SK.dimension_rows(side, order), "dims", partition_by=("sink_table",))
+        batch.write(SK.dimension_rows(side, order), "dims", partition_by=SK.LOG_FOLDERS)
         # per-batch counts: routed records and empty payloads the upsert skipped
         batch.write(routed.agg(
             F.sum((F.col("stream") == "main").cast("long")).alias("topic_records"),
