@@ -59,10 +59,15 @@ def _stars(batches):
                                           "b": pa.array([v for _, v in got], pa.int64())})
 
 
-def _settle(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges, contracted in their partitions and cut, with a signature taken on the way."""
+#: Edges that a task of a round takes at least: few edges make few tasks and few checkpoint files, whatever the partitions.
+EDGES = 200_000
+
+
+def _settle(edges: DataFrame, most: int | None = None) -> tuple[DataFrame, tuple]:
+    """The edges (``most`` of them at most, if known), contracted in their partitions and cut, with a signature taken on the way."""
     seen = Observation()
-    out = cut(edges.mapInArrow(_stars, "a long, b long")
+    few = edges if most is None else edges.coalesce(1 + most // EDGES)
+    out = cut(few.mapInArrow(_stars, "a long, b long")
               .observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")))
     return out, (seen.get["n"], seen.get["x"])
 
@@ -83,8 +88,8 @@ def components(edges: DataFrame) -> DataFrame:
         low2 = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low2, "b")
         e, after = _settle(small.select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b").alias("b")), F.struct(
-            F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").where("a <> b"))
+            F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").where("a <> b"), 2 * before[0])
         if after == before:
             break
         before = after
-    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
+    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component")).coalesce(1 + before[0] // EDGES)
