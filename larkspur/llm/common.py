@@ -59,14 +59,14 @@ def _stars(batches):
                                           "b": pa.array([v for _, v in got], pa.int64())})
 
 
-#: Edges that a task of a round takes at least: few edges make few tasks and few checkpoint files, whatever the partitions.
-EDGES = 200_000
+#: Few edges make few tasks and few checkpoint files, whatever the partitions: these many, and one for each so many edges.
+TASKS, EDGES = 8, 200_000
 
 
 def _settle(edges: DataFrame, most: int | None = None) -> tuple[DataFrame, tuple]:
     """The edges (``most`` of them at most, if known), contracted in their partitions and cut, with a signature taken on the way."""
     seen = Observation()
-    few = edges if most is None else edges.coalesce(1 + most // EDGES)
+    few = edges if most is None else edges.coalesce(TASKS + most // EDGES)
     out = cut(few.mapInArrow(_stars, "a long, b long")
               .observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")))
     return out, (seen.get["n"], seen.get["x"])
@@ -92,4 +92,4 @@ def components(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component")).coalesce(1 + before[0] // EDGES)
+    return e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component")).coalesce(TASKS + before[0] // EDGES)
