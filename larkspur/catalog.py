@@ -283,11 +283,11 @@ def _normalized(spark, d):
 
 
 def _data_json(c="data"):
-    return F.to_json(F.to_variant_object(F.col(c)))
+    return F.to_json(c)
 
 
 def _kept(c="data"):
-    return F.array_join(F.array_sort(F.map_keys(F.col(c))), ",")
+    return F.array_join(F.sort_array(F.map_keys(F.col(c))), ",")
 
 
 def _versions(spark, d):

@@ -25,10 +25,8 @@ def normalize_change_events(df: DataFrame, value: str = "value", topic: str | No
     x = df.withColumnRenamed(parsed, "_cv") if parsed else J.with_parsed(df, value, "_cv")
     v = F.col("_cv")
     after = F.try_variant_get(v, "$.after", DATA_TYPE)
-    op = F.lower(J.path(v, "$.op", "string"))
-    name = F.lit(None).cast("string")
-    for code, full in OP_NAMES.items():
-        name = F.when(op == code, F.lit(full)).otherwise(name)
+    names = F.create_map(*[F.lit(x) for pair in OP_NAMES.items() for x in pair])
+    name = F.element_at(names, F.lower(J.path(v, "$.op", "string")))   # one look-up: a chain of whens reads the op anew in each branch
     db = J.path(v, "$.source.db", "string")
     tb = J.path(v, "$.source.table", "string")
     if topic:
@@ -85,7 +83,7 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
 
 def envelope_json(norm: DataFrame) -> DataFrame:
     """JSN7: encode the normalised envelope as JSON text."""
-    rec = F.struct(F.to_variant_object(F.col("data")).alias("data"), "operation", "dbname", "table")
+    rec = F.struct("data", "operation", "dbname", "table")
     return norm.withColumn("envelope", F.to_json(rec))
 
 

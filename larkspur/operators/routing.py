@@ -114,7 +114,7 @@ def tag_by_sink(routed: DataFrame) -> DataFrame:
 def topic_value(kafka_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """SNK2: record-chosen topic: ``topic = sink_table``, ``value = data`` JSON (and the columns to ``keep``)."""
     return kafka_rows.select(F.col("sink_table").alias("topic"),
-                             F.to_json(F.to_variant_object(F.col("data"))).alias("value"), *keep)
+                             F.to_json("data").alias("value"), *keep)
 
 
 def pk_value(data: Column, sink_pk: Column) -> Column:
