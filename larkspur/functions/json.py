@@ -74,9 +74,11 @@ def set_nested_field(v: Column, parent: str, key: str, value: Column) -> Column:
 
 
 def prune_columns(data: Column, columns_csv: Column | str) -> Column:
-    """JSN6: keep the keys listed in a comma list (exact match, no trim)."""
-    cols = F.split(_c(columns_csv), ",")
-    return F.map_filter(data, lambda k, _v: F.array_contains(cols, k))
+    """JSN6: keep the keys listed in a comma list (exact match, no trim).
+
+    The list is split once a record: inside the filter it would be split anew for every key."""
+    lists = F.array(F.split(_c(columns_csv), ","))
+    return F.transform(lists, lambda cols: F.map_filter(data, lambda k, _v: F.array_contains(cols, k)))[0]
 
 
 def object_keys(text: Column | str) -> Column:

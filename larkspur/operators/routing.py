@@ -75,9 +75,10 @@ def _apply(joined: DataFrame) -> DataFrame:
 
 def route_latest(data: DataFrame, latest: DataFrame) -> DataFrame:
     """RTE1: every data record sees the latest config (snapshot semantics).
-    The config side is one row per (table, operation); adaptive execution
-    broadcasts it by its measured size."""
-    cfg = latest.withColumnRenamed("seq", "cfg_seq")
+    The config side is one row per (table, operation) and held by every task,
+    as broadcast state is; left to estimates, a large config feed makes the
+    planner shuffle all records by their few keys."""
+    cfg = F.broadcast(latest.withColumnRenamed("seq", "cfg_seq"))
     # null-safe keys: an inferred isnotnull() filter would otherwise be pushed
     # into the scan and re-run the record parse there
     j = data.join(cfg, data["table"].eqNullSafe(cfg["source_table"])

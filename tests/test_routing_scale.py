@@ -44,3 +44,16 @@ def test_unknown_and_missing_ops_stay_null(spark):
     rows = [(f'{{"op":{op}}}',) for op in ('"t"', "null", '"D"', '"r"', "5")] + [("{}",), ("{bad",)]
     n = CDC.normalize_change_events(spark.createDataFrame(rows, "value string"), topic=None)
     assert [r.operation for r in n.select("operation").collect()] == [None, None, "delete", "read", None, None, None]
+
+
+def test_latest_config_is_broadcast_whatever_the_estimate(spark, large):
+    p = _plan(C.route_latest(spark, SF))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_column_list_is_split_once_a_record(spark):
+    assert "array_contains(split(" not in _plan(C.map_prune_columns(spark, SF))
+    m = F.expr("map('a', 1, 'b', 2, '', 3, 'a,b', 4)")
+    lists = spark.createDataFrame([("a,b",), ("a, b",), ("",), ("b,",), ("a|b",), (None,)], "l string")
+    got = [r[0] for r in lists.select(F.map_keys(J.prune_columns(m, "l"))).collect()]
+    assert got == [["a", "b"], ["a"], [""], ["b", ""], [], []]
