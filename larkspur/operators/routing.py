@@ -131,7 +131,9 @@ def dim_upsert_latest(hbase_rows: DataFrame, order: Sequence[str] | str, keep: s
     x = (hbase_rows.where(F.size("data") > 0)
          .withColumn("pk", pk_value(F.col("data"), F.col("sink_pk"))))
     last = [F.max(o).alias(keep)] if keep else []
-    return x.groupBy("sink_table", "pk").agg(F.max_by(F.col("data"), o).alias("data"), *last)
+    # the key that tells rows apart comes first: sorts compare their first column fastest
+    g = x.groupBy("pk", "sink_table").agg(F.max_by(F.col("data"), o).alias("data"), *last)
+    return g.select("sink_table", "pk", "data", *([keep] if keep else []))
 
 
 def dim_columns(dims: DataFrame, columns: Sequence[str]) -> DataFrame:

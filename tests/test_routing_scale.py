@@ -57,3 +57,8 @@ def test_column_list_is_split_once_a_record(spark):
     lists = spark.createDataFrame([("a,b",), ("a, b",), ("",), ("b,",), ("a|b",), (None,)], "l string")
     got = [r[0] for r in lists.select(F.map_keys(J.prune_columns(m, "l"))).collect()]
     assert got == [["a", "b"], ["a"], [""], ["b", ""], [], []]
+
+
+def test_dimension_rows_are_sorted_by_their_own_key_first(spark):
+    p = _plan(C.dim_upsert_latest(spark, SF))
+    assert "SortAggregate(key=[pk#" in p and "SortAggregate(key=[sink_table#" not in p
