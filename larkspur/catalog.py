@@ -393,7 +393,9 @@ def route_latest(spark, d):
 
 @query
 def route_asof(spark, d):
-    r = _kafka_hbase(RT.route_asof(_normalized(spark, d), _versions(spark, d)))
+    # only what is routed travels with the records: the merge deals all of them out by arrival
+    n = _normalized(spark, d).select("table", "seq", "operation", "data")
+    r = _kafka_hbase(RT.route_asof(n, _versions(spark, d)))
     return r.select(*_ROUTE_COLS, "cfg_seq", _kept().alias("kept_keys"), _data_json().alias("data_json"))
 
 

@@ -62,3 +62,10 @@ def test_column_list_is_split_once_a_record(spark):
 def test_dimension_rows_are_sorted_by_their_own_key_first(spark):
     p = _plan(C.dim_upsert_latest(spark, SF))
     assert "SortAggregate(key=[pk#" in p and "SortAggregate(key=[sink_table#" not in p
+
+
+def test_asof_merge_carries_only_what_is_routed(spark, large):
+    p = _plan(C.route_asof(spark, SF))
+    assert "data, data#" in p                               # the row that travels
+    assert "value, value#" not in p and "topic, topic#" not in p
+    assert "BroadcastHashJoin" in p                         # the last config of each key
