@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import pyarrow as pa
@@ -38,6 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark) -> None:
+    """Spark drops the shuffle files and checkpoints of what nobody refers to any more, but only once the driver collects its
+    garbage, which on a large input may be never: ask for it after a large shuffle."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _stars(batches):
     """Union-find over the edges of one partition, a batch at a time: the same connectivity with an edge a node."""
     for batch in batches:

@@ -5,8 +5,12 @@ Documents link when 100 * |A & B| >= threshold * |A | B| for their sets of ``k``
 1. ``profiles``: set size, a 128-bit key of the set, and a bitmap signature of about size / 2 bits in which each
    shingle flips one bit.  Equal sets form one class; only classes are compared.
 2. Candidates (exact prefix filter): two linked sets share one of the first n - ceil(t n) + 1 shingles under any common
-   order.  The order puts shingles that a count-min sketch of fixed size sees often last, so a passage that many
-   documents share stays out of the prefixes.  A class in a partition sends its prefix once however many copies.
+   order.  The order puts rare shingles first (``rarity``), by two count-min sketches of fixed size: that of words tells
+   how often a shingle would come by chance, on a corpus of any size; that of shingles, whose noise grows with the
+   corpus, puts last what stands out of the noise, so a passage that many documents share stays out of the prefixes.
+   Unrelated documents share frequent words only and hardly meet.  A class in a partition sends its prefix once however many
+   copies.  If many classes still meet in hot shingles (item 4), these go last, whatever the sketches say, and the
+   prefixes are made anew: a passage then stays only in the prefixes of documents that hold little else.
 3. Shingles with up to ``hot`` classes give candidate pairs inside the size bounds.  Bitmaps whose differing bits bound
    the overlap below the threshold drop most; the rest are decided by intersecting the sorted shingle arrays.
 4. A shingle with more classes than that (a large family of near copies) is not expanded into pairs: every member is
@@ -25,12 +29,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .sketch import build, estimate
-from .common import components, cut, small_batches
+from .sketch import build, cells, estimate
+from .common import components, cut, release, small_batches
 from .words import U, mix, short_grams, stream, text_slices, windows, word_hashes
 
 SHINGLE, PERCENT = 4, 85
 HOT, TILE = 64, 256
+#: Where the tiles of hot shingles would hold more than this share of all sets, the hot shingles go last and the prefixes are
+#: made again, so often at most.
+SPARE, PASSES = 0.125, 3
+#: Further back in the order than any level.
+LAST = 1 << 12
 LOG2_WIDTH, MEMBER_BITS = 21, 23
 TOKEN_BITS = 60
 
@@ -38,11 +47,20 @@ TOKEN_BITS = 60
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> list[np.ndarray]:
     """Sorted distinct 60-bit shingle hashes of each text (A-Z lower-cased)."""
     h, ptr = word_hashes(data, off, lower=True)
+    _, before, g = _grams(h, ptr, k)
+    return _sets(h, ptr, before, g, k)
+
+
+def _grams(h: np.ndarray, ptr: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For shingles as they stand: (index of the first word, shingles before each text, hash)."""
     at, _, before = windows(ptr, k)
-    g = short_grams(h, at, k, 3) >> U(64 - TOKEN_BITS)
+    return at, before, short_grams(h, at, k, 3) >> U(64 - TOKEN_BITS)
+
+
+def _sets(h: np.ndarray, ptr: np.ndarray, before: np.ndarray, g: np.ndarray, k: int) -> list[np.ndarray]:
     m = stream(k, 3)
     out = []
-    for i in range(len(off) - 1):
+    for i in range(len(ptr) - 1):
         n = ptr[i + 1] - ptr[i]
         if n >= k:
             x = np.sort(g[before[i]:before[i + 1]])
@@ -96,46 +114,82 @@ def profiles(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def _frequency(docs: DataFrame, k: int, log2_width: int) -> np.ndarray:
+    """Sketches of the shingles (once a text) and of the words (as often as they stand)."""
     def keys_of(batch):
         for _, _, data, off in text_slices(batch.column("text")):
-            sets = shingle_sets(data, off, k)
+            h, ptr = word_hashes(data, off, lower=True)
+            _, before, g = _grams(h, ptr, k)
+            sets = _sets(h, ptr, before, g, k)
             if sets:
-                yield np.concatenate(sets)
+                yield [np.concatenate(sets), h]
 
-    return build(docs.select("text"), keys_of, 1, log2_width, 65535)
+    return build(docs.select("text"), keys_of, 2, log2_width, (1 << 31) - 1)
 
 
-def _ordered(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The set in the common order, as sortable tokens: log2 of the estimated frequency, then the shingle."""
-    level = np.log2(np.maximum(estimate(sketch, s), 1)).astype(U)
-    return np.sort((level << U(TOKEN_BITS)) | s)
+def rarity(sketch: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """What orders shingles, in eighths of log2 of a count and made once, so that all tasks agree: for each cell of the
+    shingles' sketch the level it bounds a count by and whether the count stands out of the cell's noise, for each cell of
+    the words' sketch its level, and the level to take from the sum of ``k`` words to get the count by chance."""
+    def level(count):
+        return np.round(8 * np.log2(np.maximum(count, 1))).astype(np.uint8)
 
+    shingles, words = sketch
+    noise = shingles.mean()
+    clear = shingles - noise
+    sure = clear > 6 * np.sqrt(noise)
+    return level(np.where(sure, clear, shingles)), sure, level(words), (k - 1) * int(level(words.sum(dtype=np.float64)))
 
-def _prefixes(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
-    """Rows (token, k1, n): the prefix of each class, once per partition."""
+
+def prefixes(data: np.ndarray, off: np.ndarray, k: int, percent: int, order: tuple,
+             late: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted set, its prefix in the common order) of each text.
+
+    Shingles in the sketch ``late`` come last.  Else a shingle comes by its count where the sketch is sure of it, or by what
+    its words make likely within the sketch's bound; then by its hash."""
+    bound, sure, words, off_chance = order
+    width = len(bound).bit_length() - 1
+    h, ptr = word_hashes(data, off, lower=True)
+    at, before, g = _grams(h, ptr, k)
+    upto = np.concatenate([[0], np.cumsum(words[cells(h, 1, width)], dtype=np.int64)])
+    chance = upto[at + k] - upto[at] - off_chance
+    out = []
+    for i, s in enumerate(_sets(h, ptr, before, g, k)):
+        p = len(s) + (-percent * len(s)) // 100 + 1
+        if p < len(s):  # so the text has windows
+            likely = np.empty(len(s), np.int64)
+            likely[np.searchsorted(s, g[before[i]:before[i + 1]])] = chance[before[i]:before[i + 1]]
+            cell = cells(s, 0, width)
+            most = bound[cell].astype(np.int64)
+            score = np.where(sure[cell], most, np.minimum(likely, most))
+            if late is not None:
+                score += LAST * (estimate(late, s) > 0)
+            out.append((s, s[np.argsort(score.astype(np.int16), kind="stable")[:p]]))
+        else:
+            out.append((s, s[:p]))
+    return out
+
+
+def _prefixes(docs: DataFrame, k: int, percent: int, order, late) -> DataFrame:
+    """Rows (token, k1): the prefix of each class, once per partition."""
     def run(batches):
         done: set[int] = set()
         for batch in batches:
             for _, _, data, off in text_slices(batch.column("text")):
-                tokens, keys, sizes = [], [], []
-                for s in shingle_sets(data, off, k):
+                tokens, keys = [], []
+                for s, p in prefixes(data, off, k, percent, order.value, late and late.value):
                     if not len(s):
                         continue
                     key = set_key(s)
                     if key[0] in done:
                         continue
                     done.add(key[0])
-                    n = len(s)
-                    p = _ordered(s, sketch.value)[:n + (-percent * n) // 100 + 1]
                     tokens.append(p)
                     keys.append(np.full(len(p), key[0], np.int64))
-                    sizes.append(np.full(len(p), n, np.int32))
                 if tokens:
-                    yield pa.RecordBatch.from_pydict({
-                        "token": pa.array(np.concatenate(tokens).view(np.int64)),
-                        "k1": pa.array(np.concatenate(keys)), "n": pa.array(np.concatenate(sizes))})
+                    yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(tokens).view(np.int64)),
+                                                      "k1": pa.array(np.concatenate(keys))})
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "token long, k1 long, n int")
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "token long, k1 long")
 
 
 def _bitmap_filter(pairs: DataFrame, percent: int) -> DataFrame:
@@ -248,6 +302,17 @@ def _tile_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def _band(percent: int):
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.001 / percent))).cast("int")
+
+
+def _tiled(hot: DataFrame, percent: int, tile: int) -> int:
+    """Shingles in the tiles of ``_hot_links`` at most: if all members were one family without a link."""
+    bands = hot.select("id", "n").distinct().groupBy(_band(percent).alias("band")).agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    bands = {r["band"]: r for r in bands.collect()}  # a row for each band of sizes, which are a logarithm's
+    return sum(r["n"] * sum(-(-bands[x]["c"] // tile) for x in (b - 1, b, b + 1) if x in bands) for b, r in bands.items())
+
+
 def _hot_links(hot: DataFrame, comp: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int,
                tile: int) -> DataFrame:
     """Links among members (token, id) of hot shingles that the components so far do not already connect."""
@@ -259,9 +324,8 @@ def _hot_links(hot: DataFrame, comp: DataFrame, classes: DataFrame, docs: DataFr
     sizes = member.groupBy("family", "comp").agg(F.count("*").alias("c"))
     main = sizes.groupBy("family").agg(F.max(F.struct("c", F.col("comp"))).alias("m"), F.sum("c").alias("total")).where("m.c < total")
     # Banded by size: linked sets differ by less than one band, so a tile joins a band with itself or the next.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.001 / percent))).cast("int")
     member = (member.join(main.select("family", F.col("m.comp").alias("main")), "family")
-              .withColumn("rest", F.col("comp") != F.col("main")).withColumn("band", band))
+              .withColumn("rest", F.col("comp") != F.col("main")).withColumn("band", _band(percent)))
     many = member.groupBy("family", "band", "rest").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("blocks"))
     member = member.join(many, ["family", "band", "rest"]).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -301,28 +365,41 @@ def _hot_links(hot: DataFrame, comp: DataFrame, classes: DataFrame, docs: DataFr
     return placed.select("tile", "id", "side", "comp", "n", "bits", "arr").mapInArrow(run, "a long, b long")
 
 
+def _shared(docs: DataFrame, classes: DataFrame, k: int, percent: int, order, late) -> DataFrame:
+    """Rows (token, id, n, c, lead): the shingles in several classes' prefixes, with their classes, how many and the smallest."""
+    by_token = Window.partitionBy("token")
+    pre = (_prefixes(docs, k, percent, order, late)
+           .withColumn("lo", F.min("k1").over(by_token)).withColumn("hi", F.max("k1").over(by_token))
+           .where("lo < hi").select("token", "k1").distinct())
+    pre = cut(pre.join(classes.select("k1", "id", "n"), "k1").select("token", "id", "n"))
+    release(docs.sparkSession)
+    return pre.join(pre.groupBy("token").agg(F.count("*").alias("c"), F.min("id").alias("lead")), "token")
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, hot: int = HOT, tile: int = TILE,
-                    log2_width: int = LOG2_WIDTH) -> DataFrame:
+                    log2_width: int = LOG2_WIDTH, spare: float = SPARE) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id): component_id is the smallest doc_id reachable by links."""
     spark = docs.sparkSession
     docs = small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     prof = cut(profiles(docs, k))
     classes = cut(prof.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n")
                   .agg(F.min("doc_id").alias("id"), F.first("bits").alias("bits")))
-    sketch = spark.sparkContext.broadcast(_frequency(docs, k, log2_width))
-    by_token = Window.partitionBy("token")
-    pre = (_prefixes(docs, k, percent, sketch)
-           .withColumn("lo", F.min("k1").over(by_token)).withColumn("hi", F.max("k1").over(by_token))
-           .where("lo < hi").select("token", "k1").distinct())
-    pre = cut(pre.join(classes.select("k1", "id", "n"), "k1").select("token", "id", "n"))
-    freq = pre.groupBy("token").agg(F.count("*").alias("c"), F.min("id").alias("lead"))
-    pre = pre.join(freq, "token")
-    few = pre.where(F.col("c") <= hot)
+    order = spark.sparkContext.broadcast(rarity(_frequency(docs, k, log2_width), k))
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    late = before = None
+    for left in reversed(range(PASSES)):
+        pre = _shared(docs, classes, k, percent, order, late)
+        many = cut(pre.where(F.col("c") > hot).select("token", "id", "n", "lead"))
+        tiled = _tiled(many, percent, tile)
+        if not left or tiled <= spare * total or before and 2 * tiled > before:
+            break  # the prefixes of any pass are complete
+        found = build(many.select("token").distinct(), lambda batch: [batch.column("token").to_numpy().view(U)], 1, MEMBER_BITS, 1)
+        late, before = spark.sparkContext.broadcast(np.maximum(found, late.value) if late else found), tiled
+    cold = pre.where(F.col("c") <= hot)
     near = f"(least(na, nb) * 100 >= {percent} * greatest(na, nb))"
-    pairs = (few.select("token", F.col("id").alias("a"), F.col("n").alias("na"))
-             .join(few.select("token", F.col("id").alias("b"), F.col("n").alias("nb")), "token")
+    pairs = (cold.select("token", F.col("id").alias("a"), F.col("n").alias("na"))
+             .join(cold.select("token", F.col("id").alias("b"), F.col("n").alias("nb")), "token")
              .where(f"a < b and {near}"))
-    many = cut(pre.where(F.col("c") > hot).select("token", "id", "n", "lead"))
     lead = many.join(classes.select(F.col("id").alias("lead"), F.col("n").alias("nl")), "lead")
     pairs = pairs.select("a", "b").unionByName(
         lead.select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("nl").alias("na"), F.col("n").alias("nb"))
@@ -334,7 +411,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, h
     arrays = _arrays(docs, cut(ends.join(classes.select("id", "k1"), "id")), k)
     links = cut(_verify(pairs, arrays, percent))  # a stage of its own: one Python worker a core, not two in a row
     comp = cut(components(links))
-    if not many.isEmpty():
+    if tiled:
         more = cut(_hot_links(many.select("token", "id"), comp, classes, docs, k, percent, tile))
         if not more.isEmpty():
             comp = components(comp.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(more))

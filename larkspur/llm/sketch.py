@@ -1,7 +1,7 @@
 """Count-min sketches of hashed keys: built per partition, merged by block in the cluster, of one fixed size.
 
-Counters saturate at ``cap``; an estimate is never below min(true count, cap).  The merged sketch has ``depth`` rows of
-2**log2_width counters whatever the input's size, so sending it to every task has a proven bound."""
+Counters saturate at ``cap`` (below 2**31); an estimate is never below min(true count, cap).  The merged sketch has
+``depth`` rows of 2**log2_width counters whatever the input's size, so sending it to every task has a proven bound."""
 
 from __future__ import annotations
 
@@ -31,10 +31,11 @@ def _add(counts: np.ndarray, cell: np.ndarray, cap: int) -> None:
     counts[at] = np.minimum(counts[at].astype(np.int64) + n, cap).astype(counts.dtype)
 
 
-def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], depth: int, log2_width: int,
-          cap: int) -> np.ndarray:
-    """Sketch (depth x width) of the uint64 keys that ``keys_of`` draws from each Arrow batch of ``df``."""
-    dtype = np.uint8 if cap < 256 else np.uint16
+def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray | list[np.ndarray]]], depth: int,
+          log2_width: int, cap: int) -> np.ndarray:
+    """Sketch (depth x width) of the uint64 keys that ``keys_of`` draws from each Arrow batch of ``df``: an array of keys
+    counts in every row, a list of arrays gives each row keys of its own."""
+    dtype = np.uint8 if cap < 1 << 8 else np.uint16 if cap < 1 << 16 else np.uint32
     size = depth << log2_width
 
     def partial(batches):
@@ -43,9 +44,10 @@ def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray
             for keys in keys_of(batch):
                 if counts is None:
                     counts = np.zeros(size, dtype)
-                seen = seen or len(keys) > 0
-                for r in range(depth):
-                    _add(counts[r << log2_width:(r + 1) << log2_width], cells(keys, r, log2_width), cap)
+                own = keys if isinstance(keys, list) else [keys] * depth
+                seen = seen or any(len(x) > 0 for x in own)
+                for r, x in enumerate(own):
+                    _add(counts[r << log2_width:(r + 1) << log2_width], cells(x, r, log2_width), cap)
         if seen:
             for b, part in enumerate(np.split(counts, BLOCKS)):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int32()),
